@@ -5,8 +5,8 @@ stay. Generators of high recall propose further spans, which may overlap: keyed
 bare secrets, local phone numbers, national numbers, account numbers and spelled-out
 addresses. Each proposal gets features of its format and its context; boosted trees,
 calibrated per kind by isotonic regression, score it, and the threshold of its kind
-selects it. A selected span that overlaps a base span or an earlier selected one is
-left out.
+selects it. A selected span that lies within a base span or overlaps an earlier
+selected one is left out; one that reaches beyond a base span stays beside it.
 
 No table holds labels of such spans. So the trees are fitted on a fixed, seeded set of
 ``TRAINING_ROWS`` made-up lines with proposals of known truth; their features come from
@@ -39,7 +39,7 @@ from .common import let, text_or_empty
 #: Kinds in the order in which spans of the same start are listed; the first four are base kinds.
 KINDS = ["email", "ip", "card", "phone", "secret", "local_phone", "national_id", "account", "spelled_email"]
 BASE_KINDS = 4
-TRAINING_ROWS = 3000
+TRAINING_ROWS = 4000
 #: Calibrated probability from which a proposal is redacted.
 REDACT_FROM = 0.9
 #: Characters before a proposal that count as its context.
@@ -57,6 +57,7 @@ GENERATORS = {
     "secret": [
         r"(?i)(?<![a-z0-9])(?:password|passwd|passphrase|pwd|token|secret|api[_-]?key|access[_-]?key|private[_-]?key|bearer|auth)[\"']?[ ]{0,2}[=:][ ]{0,2}[\"']?[A-Za-z0-9+/_.=-]{6,}+[\"']?",
         r"(?<![A-Za-z0-9_-])(?=[A-Za-z_-]*+[0-9])[A-Za-z0-9_-]{16,}+",
+        r"(?<![A-Za-z0-9_-])(?:AKIA|ASIA)[A-Z0-9]{16}(?![A-Za-z0-9_-])",
     ],
     "local_phone": [r"(?<![0-9+.-])\(?[0-9]{2,4}\)?[ .-][0-9]{3,4}[ .-][0-9]{3,4}(?![0-9.-])"],
     "national_id": [r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"],
@@ -64,7 +65,7 @@ GENERATORS = {
     "spelled_email": [r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+[ ]?[\[({][ ]?(?i:at)[ ]?[\])}][ ]?[A-Za-z0-9-]++(?:[ ]?[\[({][ ]?(?i:dot)[ ]?[\])}][ ]?[A-Za-z0-9-]++|\.[A-Za-z0-9-]++)++"],
 }
 #: What a text must contain to be worth the generators.
-WORTH = r"[0-9]|[=:]|[\[({][ ]?(?i:at)[ ]?[\])}]"
+WORTH = r"[0-9]|[=:]|AKIA|ASIA|[\[({][ ]?(?i:at)[ ]?[\])}]"
 KEYWORDS = {
     "secret_word": r"(?i)password|passwd|pwd|token|secret|key|credential|auth",
     "phone_word": r"(?i)phone|tel|call|fax|mobile|cell|dial|handy|numéro|teléfono",
@@ -229,6 +230,7 @@ class SpanModel:
 def training_lines(rows: int = TRAINING_ROWS, seed: int = 7) -> list[tuple[str, int]]:
     """Made-up lines and whether their proposals are personal data."""
     r = random.Random(seed)
+    digit_heavy = "00112233445566778899abcdef"
     hexes, base = "0123456789abcdef", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
     pick = lambda alphabet, n: "".join(r.choice(alphabet) for _ in range(n))
     num = lambda n: pick("0123456789", n)
@@ -242,7 +244,8 @@ def training_lines(rows: int = TRAINING_ROWS, seed: int = 7) -> list[tuple[str,
     yes = [
         lambda: f"{r.choice(['password', 'passwd', 'pwd', 'Password'])}{r.choice(['=', ': ', ' = '])}{mixed(r.choice([hexes, base]), r.randint(8, 24))}",
         lambda: f'{r.choice(["token", "secret", "api_key", "access_key", "apikey"])} = "{mixed(r.choice([hexes, base]), r.randint(12, 44))}"',
-        lambda: "AKIA" + pick("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", 13) + num(1) + pick("ABCDEFGH", 2),
+        lambda: r.choice(["AKIA", "ASIA"]) + pick(r.choice(["ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"]), 16),
+        lambda: f'{r.choice(["token", "secret", "api_key"])} = "{mixed(digit_heavy, r.randint(16, 44))}"',
         lambda: r.choice(["ghp_", "sk-", "xoxb-", ""]) + mixed(base, r.randint(24, 40)),
         lambda: mixed(hexes, r.choice([32, 40, 64])),
         lambda: f"{r.choice(['phone', 'tel', 'call', 'fax', 'mobile'])}{r.choice([': ', ' ', '. '])}({num(3)}) {num(3)}-{num(4)}",
@@ -303,18 +306,21 @@ def fit(spark: SparkSession, rows: int = TRAINING_ROWS, redact_from: float = RED
 
 
 def _settled(base: Column, added: Column) -> Column:
-    """All base spans and the selected ones that overlap no base span and no earlier selected one."""
+    """All base spans, and the selected ones that lie in no base span and overlap no earlier selected one."""
     together = F.sort_array(F.concat(base, added))
-    none = F.struct(_none(SPANS).alias("out"), F.lit(0).alias("reach"))
+    none = F.struct(_none(SPANS).alias("out"), F.lit(0).alias("reach"), F.lit(0).alias("base_reach"))
 
     def step(acc: Column, s: Column) -> Column:
-        stays = (s["kind"] < BASE_KINDS) | (s["start"] >= acc["reach"])
-        return F.when(stays, F.struct(F.array_append(acc["out"], s).alias("out"), F.greatest(acc["reach"], s["end"]).alias("reach"))).otherwise(acc)
-
-    def clear(out: Column) -> Column:
-        return F.filter(out, lambda s, k: (s["kind"] < BASE_KINDS) | F.coalesce(F.get(out, k + 1)["start"] >= s["end"], F.lit(True)))
-
-    return let(F.aggregate(together, none, step, lambda acc: acc["out"]), clear)
+        is_base = s["kind"] < BASE_KINDS
+        stays = is_base | ((s["start"] >= acc["reach"]) & (s["end"] > acc["base_reach"]))
+        grown = F.struct(
+            F.array_append(acc["out"], s).alias("out"),
+            F.when(is_base, acc["reach"]).otherwise(s["end"]).alias("reach"),
+            F.when(is_base, F.greatest(acc["base_reach"], s["end"])).otherwise(acc["base_reach"]).alias("base_reach"),
+        )
+        return F.when(stays, grown).otherwise(acc)
+
+    return F.aggregate(together, none, step, lambda acc: acc["out"])
 
 
 OUTPUTS = ["base_spans", "spans"]
