@@ -143,14 +143,12 @@ def fit_isotonic(margin: np.ndarray, y: np.ndarray) -> Isotonic:
     """Pool-adjacent-violators over rows that the trees have not seen."""
     if len(margin) == 0:
         return Isotonic([0.0], [0.0])
-    order = np.argsort(margin, kind="stable")
+    # rows of equal margin are one observation before anything is pooled
+    values, place = np.unique(margin, return_inverse=True)
+    sums, counts = np.bincount(place, y), np.bincount(place)
     blocks: list[list[float]] = []  # lowest and highest margin, sum of y, count
-    for m, v in zip(margin[order].tolist(), y[order].tolist()):
-        if blocks and blocks[-1][1] == m:
-            blocks[-1][2] += v
-            blocks[-1][3] += 1
-        else:
-            blocks.append([m, m, v, 1])
+    for m, v, n in zip(values.tolist(), sums.tolist(), counts.tolist()):
+        blocks.append([m, m, v, n])
         while len(blocks) > 1 and blocks[-2][2] * blocks[-1][3] >= blocks[-1][2] * blocks[-2][3]:
             _, high, total, count = blocks.pop()
             blocks[-1][1] = high
