@@ -22,13 +22,13 @@ RECORD = (
 )
 
 
-def _refuse(condition: Column, value: Column, message: str) -> Column:
-    return F.when(condition, F.raise_error(F.lit(message)).cast("string")).otherwise(value)
-
-
 def _typed(json: Column, field: T.StructField, required: bool, place: str) -> Column:
     """One value of a JSON object: an explicit null is null, an absent one an error where required."""
-    value = F.from_json(json, T.StructType([field]), {"mode": "FAILFAST"})[field.name]
+    if isinstance(field.dataType, (T.ArrayType, T.StructType, T.MapType)):
+        value = F.from_json(json, T.StructType([field]), {"mode": "FAILFAST"})[field.name]
+    else:  # services write 64-bit numbers as strings, bytes in base64
+        text = F.get_json_object(json, f"$['{field.name}']")
+        value = F.unbase64(text) if isinstance(field.dataType, T.BinaryType) else text.cast(field.dataType)
     if not required:
         return value
     present = F.array_contains(F.json_object_keys(json), field.name)
@@ -49,10 +49,10 @@ def expand(records: DataFrame, schema: T.StructType, primary_key: Sequence[str],
     rest = [f for f in schema.fields if f.name not in set(primary_key)]
     if len(key) != len(set(primary_key)) or not key:
         raise ValueError("the primary key must be columns of the schema")
-    captures = F.col("capture_type")
     if mode == "full":
-        captures = _refuse(captures != "NEW_ROW_AND_OLD_VALUES", captures, "a full changelog needs new rows and old values")
-    flat = records.withColumn("capture_type", captures).select("table", "commit_ts", "commit_nanos", "record_sequence", "mod_type", "capture_type", F.posexplode("mods").alias("mod_number", "m"))
+        refuse = F.raise_error(F.lit("a full changelog needs new rows and old values")).cast("boolean")
+        records = records.filter(F.when(F.col("capture_type") == "NEW_ROW_AND_OLD_VALUES", True).otherwise(refuse))
+    flat = records.select("table", "commit_ts", "commit_nanos", "record_sequence", "mod_type", F.posexplode("mods").alias("mod_number", "m"))
 
     def row(kind: str, source: str) -> Column:
         values = {f.name: _typed(F.col("m.keys"), f, True, "keys") for f in key}
