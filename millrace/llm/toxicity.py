@@ -100,7 +100,7 @@ def features(text: str, lexicon: Lexicon) -> list[float]:
     masked = [w for w in lower.split() if _INNER.search(w)] if _INNER.search(lower) else []
     revealed = ["".join(_WORD.findall(w.translate(DISGUISES))) for w in masked]
     revealed += [re.sub(r"[\W_]", "", m) for m in _SPACED.findall(lower)]
-    hidden = sum(1 for w in revealed if lexicon.strength(w) > 0 and w not in known)
+    hidden = sum(1 for w in revealed if lexicon.strength(w) > 0)
     letters = sum(map(len, words)) or 1
     strengths = [lexicon.strength(words[i]) for i in at]
     capitals = _CAPITALS.findall(text)
