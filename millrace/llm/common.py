@@ -57,3 +57,11 @@ def text_or_empty(col: str | Column = "text") -> Column:
 def let(value: Column, body) -> Column:
     """``body(value)`` with ``value`` computed once, also inside nested lambdas."""
     return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` doesn't have."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name

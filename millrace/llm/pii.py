@@ -368,10 +368,22 @@ def redacted(text: Column, spans: Column) -> Column:
 
 
 def redact(docs: DataFrame, model: SpanModel | None = None) -> DataFrame:
-    """The documents with all found spans redacted; a null text stays null. ``n_chars``, if there, follows the text."""
-    found = find_spans(docs, model)
-    text = F.when(F.col("text").isNull(), F.col("text")).otherwise(redacted(F.col("text"), F.col("spans")))
-    out = found.withColumn("text", text)
-    if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.size("spans") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
-    return out.select(*docs.columns)
+    """The documents with all found spans redacted, and all their columns.
+
+    A null text stays null. ``n_chars``, if there, follows a text that changes.
+    """
+    # other columns wait inside a struct, whatever their names
+    held = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc"), "text")
+    found = find_spans(held, model)
+    text = F.when(F.col("text").isNull(), F.col("text")).otherwise(redacted(F.col("text"), F.col("spans"))).alias("_text")
+    out = found.select("_doc", "spans", text)
+
+    def column(name: str) -> Column:
+        given = F.col(f"_doc.`{name}`")
+        if name == "text":
+            return F.col("_text").alias(name)
+        if name == "n_chars":
+            return F.when(F.size("spans") > 0, F.length("_text").cast(docs.schema[name].dataType)).otherwise(given).alias(name)
+        return given.alias(name)
+
+    return out.select([column(c) for c in docs.columns])

@@ -15,7 +15,7 @@ Defined results: a null or empty text is scored like any other, from features th
 all zero; a document with several labels counts as toxic if one says so, null labels
 are left out; without any usable label all scores are 0; an empty table gives an empty
 table; texts of any length are read whole. Other columns are carried along by
-``score`` and ``keep_clean``, except those with the names of their outputs.
+``keep_clean``, and by ``score`` but for those with the names of its outputs.
 """
 
 from __future__ import annotations
@@ -32,6 +32,7 @@ from pyspark.sql import types as T
 
 from .boosting import BoostedTrees, Isotonic, fit_isotonic, fit_trees
 from .bpe import _with, slices
+from .common import free_name
 
 #: Labelled rows used for fitting, and lexicon entries kept, at most.
 SAMPLE_ROWS = 12_000
@@ -214,9 +215,9 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Toxicity
     return ToxicityModel(lexicon, trees, fit_isotonic(trees.margin(x[half == 1]), y[half == 1]))
 
 
-def score(docs: DataFrame, model: ToxicityModel, threshold: float = THRESHOLD) -> DataFrame:
-    """All columns with ``score`` and ``predicted``."""
-    schema = _with(docs.schema, T.StructField("score", T.DoubleType(), False), T.StructField("predicted", T.IntegerType(), False))
+def score(docs: DataFrame, model: ToxicityModel, threshold: float = THRESHOLD, score_name: str = "score", predicted_name: str = "predicted") -> DataFrame:
+    """All columns with the score and whether it reaches the threshold."""
+    schema = _with(docs.schema, T.StructField(score_name, T.DoubleType(), False), T.StructField(predicted_name, T.IntegerType(), False))
     kept = schema.names[:-2]
 
     def run(batches):
@@ -229,5 +230,6 @@ def score(docs: DataFrame, model: ToxicityModel, threshold: float = THRESHOLD) -
 
 
 def keep_clean(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """The documents that are not predicted toxic, with their columns."""
-    return score(docs, fit(docs, labels), threshold).filter("predicted = 0").select(*docs.columns)
+    """The documents that are not predicted toxic, with all their columns."""
+    names = free_name(docs, "_score"), free_name(docs, "_toxic")
+    return score(docs, fit(docs, labels), threshold, *names).filter(F.col(names[1]) == 0).select(*docs.columns)

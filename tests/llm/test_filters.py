@@ -101,6 +101,8 @@ def test_toxicity_edges(spark, docs, no_docs):
     assert {r["score"] for r in toxicity.score(docs, model).collect()} == {0.0}
     assert toxicity.score(no_docs, model).count() == 0
     assert toxicity.score(docs, toxicity.fit(docs, labels)).count() == docs.count()
+    clean = toxicity.keep_clean(docs, labels)
+    assert clean.columns == docs.columns and clean.filter("score IS NOT NULL").count() == 0
     assert toxicity.fit(no_docs, labels).scores(["x"]).tolist() == [0.0]
 
 
