@@ -43,11 +43,11 @@ _SPACE = "\t-\r \x85\xa0"
 _SPACE_WIDE = _SPACE + "  -     　"
 
 
-def _category_ranges(major: str) -> str:
-    """The code points of one general category, as the inside of a character class."""
+def _category_ranges(category: str) -> str:
+    """The code points of one general category, or of all that begin so, as the inside of a character class."""
     out, start = [], None
     for cp in range(sys.maxunicode + 2):
-        inside = cp <= sys.maxunicode and unicodedata.category(chr(cp))[0] == major
+        inside = cp <= sys.maxunicode and unicodedata.category(chr(cp)).startswith(category)
         if inside and start is None:
             start = cp
         elif not inside and start is not None:
@@ -76,6 +76,24 @@ def splitter(kind: str, wide: bool) -> re.Pattern:
     return make(_LATIN_L, _LATIN_N, _SPACE)
 
 
+@lru_cache(maxsize=1)
+def _unassigned() -> re.Pattern:
+    """Code points that Python's Unicode tables don't know; a tokenizer's may."""
+    return re.compile(f"[{_category_ranges('Cn')}]")
+
+
+def split_byte_level(text: str) -> list[str]:
+    """The pre-tokens of a text without special strings."""
+    if is_latin1(text):
+        return splitter("byte_level", False).findall(text)
+    if _unassigned().search(text):
+        from tokenizers import pre_tokenizers
+
+        cut = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=True).pre_tokenize_str(text)
+        return [text[start:end] for _, (start, end) in cut]
+    return splitter("byte_level", True).findall(text)
+
+
 def is_latin1(text: str) -> bool:
     if text.isascii():
         return True
@@ -96,7 +114,8 @@ def _byte_alphabet() -> dict[str, int]:
 class PairIndexBpe:
     """Encoder and decoder for a byte-level BPE vocabulary file."""
 
-    def __init__(self, path: str = VOCABULARY):
+    def __init__(self, path: str = VOCABULARY, cache_limit: int = CACHE_LIMIT):
+        self.cache_limit = cache_limit
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         alphabet = _byte_alphabet()
@@ -205,7 +224,7 @@ class PairIndexBpe:
 
     def _learn(self, tokens: set[str]) -> dict[str, bytes]:
         """Packed ids for all of ``tokens``; short ones stay in the worker's cache."""
-        if len(self._new) > CACHE_LIMIT:
+        if len(self._new) > self.cache_limit:
             self._old, self._new = self._new, {}
         new, old = self._new, self._old
         missing = []
@@ -224,12 +243,11 @@ class PairIndexBpe:
         return long
 
     def _pieces(self, text: str) -> list[str]:
-        find = splitter("byte_level", not is_latin1(text)).findall
         if self._special is None or not any(s in text for s in self.special):
-            return find(text)
+            return split_byte_level(text)
         out = []
         for i, part in enumerate(self._special.split(text)):
-            out.extend([part] if i % 2 else find(part))
+            out.extend([part] if i % 2 else split_byte_level(part))
         return out
 
     def encode_batch(self, texts: list[str], specials: bool = True) -> list[bytes]:
@@ -243,7 +261,7 @@ class PairIndexBpe:
         distinct: set[str] = set()
         held = 0
         for text in texts:
-            pieces = self._pieces(text) if specials else splitter("byte_level", not is_latin1(text)).findall(text)
+            pieces = self._pieces(text) if specials else split_byte_level(text)
             group.append(pieces)
             distinct.update(pieces)
             held += len(pieces)
@@ -269,9 +287,9 @@ class PairIndexBpe:
 
 
 @lru_cache(maxsize=2)
-def codec(path: str = VOCABULARY) -> PairIndexBpe:
+def codec(path: str = VOCABULARY, cache_limit: int = CACHE_LIMIT) -> PairIndexBpe:
     """One codec, with its cache, for each worker process."""
-    return PairIndexBpe(path)
+    return PairIndexBpe(path, cache_limit)
 
 
 def _with(schema: T.StructType, *fields: T.StructField) -> T.StructType:
