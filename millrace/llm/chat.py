@@ -32,6 +32,8 @@ from .common import text_or_empty
 
 TURN, SAYS, END = "<|turn|>", "<|says|>", "<|end|>"
 TRAINED_ROLES = ("assistant",)
+#: Pre-tokens that a worker remembers; turns are few beside documents.
+CACHE_LIMIT = 40_000
 
 # Control strings of this and other templates, behind the first character.
 _HEAD = r"([<\[])"
@@ -54,7 +56,7 @@ def unescape(text: str) -> str:
 
 def reserved_ids(path: str = VOCABULARY) -> tuple[int, int, int]:
     """Ids of turn, says and end: the first three behind the vocabulary."""
-    size = len(codec(path).token_bytes)
+    size = len(codec(path, CACHE_LIMIT).token_bytes)
     return size, size + 1, size + 2
 
 
@@ -77,7 +79,7 @@ def format_turns(conversations: DataFrame, path: str = VOCABULARY) -> DataFrame:
     )
 
     def run(batches):
-        bpe = codec(path)
+        bpe = codec(path, CACHE_LIMIT)
         turn_id, says_id, end_id = reserved_ids(path)
         conv, tokens, chars = object(), 0, 0
         for whole in batches:
@@ -135,7 +137,7 @@ def read_back(formatted: DataFrame, path: str = VOCABULARY, ordered: bool = True
         formatted = formatted.repartition("conv_id").sortWithinPartitions("conv_id", "token_start")
 
     def run(batches):
-        bpe = codec(path)
+        bpe = codec(path, CACHE_LIMIT)
         turn_id, says_id, end_id = reserved_ids(path)
         out: list[tuple] = []
         conv, state = object(), None

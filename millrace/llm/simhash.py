@@ -33,6 +33,8 @@ NODE_LIMIT = 20_000
 #: Members or nodes that form one node of the next level.
 FAN_OUT = 32
 HASH_SEED = 42
+#: Ids of dropped documents that are sent to every task; more are joined by a shuffle.
+BROADCAST_IDS = 1_000_000
 
 _LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 
@@ -344,5 +346,7 @@ def first_of_each(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGLE)
     Of repeated rows with the same doc_id all stay, as do rows without a doc_id.
     """
     groups = near_duplicates(docs, radius, shingle)
-    drop = groups.filter("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(drop, "doc_id", "left_anti")
+    drop = checkpointed(groups.filter("doc_id <> component_id").select("doc_id").distinct())
+    if drop.count() <= BROADCAST_IDS:  # then the texts need not move
+        drop = F.broadcast(drop)
+    return docs.join(drop, "doc_id", "left_anti").select(*docs.columns)
