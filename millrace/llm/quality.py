@@ -146,8 +146,8 @@ class Estimate:
 def estimates(docs: DataFrame, sample: int = SAMPLE) -> list[Estimate]:
     """Share rejected and seconds taken, for each rule alone on a bounded sample."""
     # a limit at the root of a query reads only as many partitions as it needs
-    head = docs.select("text").limit(sample).collect()
-    some = docs.sparkSession.createDataFrame(head, "text string").coalesce(1).cache()
+    head = [F.lit(row["text"] or "") for row in docs.select("text").limit(sample).collect()]
+    some = docs.sparkSession.range(1).select(F.explode(F.array(*head).cast("array<string>")).alias("text")).cache()
     try:
         found = some.agg(F.count("*").alias("n"), *[F.sum(F.when(r.of_text, 1).otherwise(0)).alias(r.name) for r in rules()]).first()
         out = []
