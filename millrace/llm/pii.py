@@ -284,8 +284,14 @@ def training_lines(rows: int = TRAINING_ROWS, seed: int = 7) -> list[tuple[str,
     return lines
 
 
+#: Fitted models by their parameters; the lines are seeded, so each has but one.
+_FITTED: dict[tuple[int, float], SpanModel] = {}
+
+
 def fit(spark: SparkSession, rows: int = TRAINING_ROWS, redact_from: float = REDACT_FROM) -> SpanModel:
-    """Trees on one half of the made-up lines, cutoffs per kind from the other."""
+    """Trees on one half of the made-up lines, cutoffs per kind from the other; fitted once a process."""
+    if (rows, redact_from) in _FITTED:
+        return _FITTED[rows, redact_from]
     told = json.dumps([{"text": t, "truth": y, "half": (k // 2) % 2} for k, (t, y) in enumerate(training_lines(rows))], ensure_ascii=True)
     lines = spark.range(1).select(F.inline(F.from_json(F.lit(told), "array<struct<text:string,truth:int,half:int>>")))
     # the proposals of a line share its truth
@@ -299,7 +305,8 @@ def fit(spark: SparkSession, rows: int = TRAINING_ROWS, redact_from: float = RED
     for kind in range(BASE_KINDS, len(KINDS)):
         at = (x[:, 0] == kind) & (half == 1)
         cutoffs[kind] = fit_isotonic(margin[at], y[at]).threshold(redact_from) if at.any() else float("inf")
-    return SpanModel(trees, cutoffs)
+    _FITTED[rows, redact_from] = SpanModel(trees, cutoffs)
+    return _FITTED[rows, redact_from]
 
 
 # -- the operator
