@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .bpe import slices
-from .common import checkpointed, text_or_empty
+from .common import checkpointed, free_name, text_or_empty
 
 RADIUS = 3
 SHINGLE = 3
@@ -350,3 +350,28 @@ def first_of_each(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGLE)
     if drop.count() <= BROADCAST_IDS:  # then the texts need not move
         drop = F.broadcast(drop)
     return docs.join(drop, "doc_id", "left_anti").select(*docs.columns)
+
+
+def keep_first(docs: DataFrame, roots: DataFrame) -> DataFrame:
+    """One row of each component, with all its columns: that of the smallest doc_id.
+
+    ``roots`` has the component of texts, each named by its xxhash64 as ``vertex``; a
+    text that it lacks is a component of its own. A row without a doc_id stays only
+    where its component has no other, and of repeated rows one stays.
+    """
+    keys = [free_name(docs, k) for k in ("_none", "_id", "_text")]
+    doc_id = F.col("doc_id").cast("long")
+    keyed = docs.select("*", doc_id.isNull().alias(keys[0]), F.coalesce(doc_id, F.lit(0)).alias(keys[1]), F.xxhash64(text_or_empty("text")).alias(keys[2]))
+    rows = checkpointed(keyed.groupBy(*keys).agg(F.count("*").alias("n")).select(*[F.col(k).alias(c) for k, c in zip(keys, ("none", "id", "vertex"))], "n"))
+    named = rows.join(roots, "vertex", "left").withColumn("component", F.coalesce("component", "vertex"))
+    first = checkpointed(named.groupBy("component").agg(F.min(F.struct("none", "id", "vertex")).alias("first")).select("first.*"))
+    same = ["none", "id", "vertex"]
+    drop = rows.join(first, same, "left_anti").select(*same, F.lit(False).alias("repeated"))
+    again = rows.filter("n > 1").join(first, same, "left_semi").select(*same, F.lit(True).alias("repeated"))
+    drop = checkpointed(drop.unionByName(again).select(*[F.col(c).alias(k) for k, c in zip(keys, same)], "repeated"))
+    n, repeated = drop.agg(F.count("*"), F.count_if("repeated")).first()
+    small = F.broadcast if n <= BROADCAST_IDS else lambda x: x  # then the texts need not move
+    kept = keyed.join(small(drop.select(*keys)), keys, "left_anti")
+    if repeated:
+        kept = kept.unionByName(keyed.join(small(drop.filter("repeated").select(*keys)), keys, "left_semi").dropDuplicates(keys))
+    return kept.select(*docs.columns)
