@@ -6,7 +6,8 @@ The SHA-256 of the form is hash-joined to the digests of known licence texts, so
 an entire text can match, in any layout. Notices of one line, which often stand inside
 other texts, are looked up the same way, line by line and without leaving the row.
 
-The known table has some tens of rows and is therefore broadcast.
+The long texts stand in ``license_texts``; ``scan`` takes a table of further ones. Known
+digests are broadcast up to BROADCAST_LICENSES of them, and shuffled beyond.
 
 Defined results: a null text counts as empty, and a text whose canonical form is empty
 matches nothing; texts of any length are digested whole; equal rows get equal results;
@@ -15,12 +16,13 @@ an empty table gives an empty table. Other columns are left out.
 
 from __future__ import annotations
 
-from functools import reduce
+from functools import cache, reduce
+from importlib import resources
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import text_or_empty
+from .common import checkpointed, text_or_empty
 
 # Pairs of equivalent spellings, lower case.
 SPELLINGS = [
@@ -90,6 +92,18 @@ NOTICES = {
     "LicenseRef-All-Rights-Reserved": ["All rights reserved."],
 }
 
+#: What may stand before a short licence text, apart from copyright lines.
+_TITLES = {
+    "MIT": ["", "MIT License", "The MIT License", "The MIT License (MIT)"],
+    "ISC": ["", "ISC License", "The ISC License"],
+    "BSD-2-Clause": ["", "BSD 2-Clause License", "The 2-Clause BSD License"],
+    "BSD-3-Clause": ["", "BSD 3-Clause License", "The 3-Clause BSD License"],
+}
+#: After this line long texts tell how to apply them; they are known with and without that.
+_END_OF_TERMS = "END OF TERMS AND CONDITIONS"
+#: Known digests that are sent to every task; more are joined by a shuffle.
+BROADCAST_LICENSES = 100_000
+
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -105,11 +119,36 @@ def canonical_digest(text: Column) -> Column:
     return F.when(form != "", F.sha2(form, 256))
 
 
-def known_digests(spark: SparkSession) -> DataFrame:
-    """license_id and digest of every licence text and notice."""
-    rows = [(k, t) for k, t in LICENSES.items()] + [(k, t) for k, texts in NOTICES.items() for t in texts]
-    entries = F.array(*[F.struct(F.lit(k).alias("license_id"), F.lit(t).alias("text")) for k, t in rows])
-    return spark.range(1).select(F.inline(entries)).select("license_id", canonical_digest(F.col("text")).alias("digest")).dropDuplicates(["digest"])
+def known_texts() -> list[tuple[str, str]]:
+    """License id and text of every known licence, in each of its usual forms, and of every notice."""
+    out = [(k, t) for k, t in LICENSES.items()] + [(k, t) for k, texts in NOTICES.items() for t in texts]
+    for k, titles in _TITLES.items():
+        body = LICENSES[k].removeprefix(f"{k} License\n\n")
+        out += [(k, f"{title}\n\n{rights}\n{body}") for title in titles for rights in ("", "All rights reserved.")]
+    for file in sorted(resources.files(__package__).joinpath("license_texts").iterdir(), key=lambda f: f.name):
+        text = file.read_text(encoding="utf-8")
+        out.append((file.name.removesuffix(".txt"), text))
+        if _END_OF_TERMS in text:
+            terms = text[: text.index(_END_OF_TERMS)]
+            out += [(out[-1][0], terms), (out[-1][0], terms + _END_OF_TERMS)]
+    return out
+
+
+@cache
+def _default_digests() -> list[tuple[str, str]]:
+    """Computed once a process, so that the long texts stay out of the plans."""
+    rows = SparkSession.active().createDataFrame(known_texts(), "license_id string, text string")
+    return [tuple(r) for r in rows.select("license_id", canonical_digest(F.col("text"))).collect()]
+
+
+def known_digests(spark: SparkSession, known: DataFrame | None = None) -> DataFrame:
+    """license_id and digest of every known text and notice, and of those of ``known`` (license_id, text), which go first."""
+    entries = F.array(*[F.struct(F.lit(k).alias("license_id"), F.lit(d).alias("digest")) for k, d in _default_digests()])
+    rows = spark.range(1).select(F.inline(entries)).withColumn("place", F.lit(1))
+    if known is not None:
+        given = known.select("license_id", canonical_digest(F.col("text")).alias("digest"), F.lit(0).alias("place"))
+        rows = given.filter("digest IS NOT NULL AND license_id IS NOT NULL").unionByName(rows)
+    return rows.groupBy("digest").agg(F.min(F.struct("place", "license_id"))["license_id"].alias("license_id")).select("license_id", "digest")
 
 
 def notice_lines(text: Column) -> Column:
@@ -120,11 +159,19 @@ def notice_lines(text: Column) -> Column:
     return F.filter(F.transform(lines, lambda x: F.try_element_at(known, canonical(x))), lambda k: k.isNotNull())
 
 
-def scan(docs: DataFrame) -> DataFrame:
-    """doc_id, digest, license_id of the entire text (or null), its notices and how many lines they are."""
+def scan(docs: DataFrame, known: DataFrame | None = None) -> DataFrame:
+    """doc_id, digest, license_id of the entire text (or null), its notices and how many lines they are.
+
+    ``known`` adds licence texts (license_id, text) to those known by default.
+    """
     text = text_or_empty("text")
     digested = docs.select("doc_id", canonical_digest(text).alias("digest"), notice_lines(text).alias("_notices"))
-    found = digested.join(F.broadcast(known_digests(docs.sparkSession)), "digest", "left")
+    digests = known_digests(docs.sparkSession, known)
+    if known is not None:
+        digests = checkpointed(digests)
+    if known is None or digests.count() <= BROADCAST_LICENSES:
+        digests = F.broadcast(digests)
+    found = digested.join(digests, "digest", "left")
     return found.select(
         "doc_id",
         "digest",

@@ -66,6 +66,20 @@ def test_licences(spark, docs, no_docs):
     assert known.count() == known.select("digest").distinct().count()
 
 
+def test_whole_long_licences_and_given_ones(spark):
+    from pathlib import Path
+
+    texts = {f.stem: f.read_text() for f in (Path(licenses.__file__).parent / "license_texts").iterdir()}
+    assert {"Apache-2.0", "GPL-3.0", "LGPL-3.0", "MPL-2.0", "CC0-1.0", "Unlicense", "BSL-1.0"} <= set(texts)
+    rows = [(k, t) for k, t in texts.items()] + [("Apache-2.0", texts["Apache-2.0"].split("END OF TERMS")[0])]
+    rows += [(None, "x " + texts["GPL-3.0"]), ("Own-1", "My OWN terms.")]
+    df = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(rows)], "doc_id long, text string")
+    own = spark.createDataFrame([("Own-1", "My own terms"), ("Own-2", None)], "license_id string, text string")
+    out = licenses.scan(df, own)
+    assert {r["doc_id"]: r["license_id"] for r in out.collect()} == {i: k for i, (k, _) in enumerate(rows)}
+    assert licenses.scan(df).filter("doc_id = %d" % (len(rows) - 1)).first()["license_id"] is None
+
+
 def toxic_set(spark, n=1200):
     r = np.random.default_rng(1)
     clean = [f"word{i}" for i in range(80)]
