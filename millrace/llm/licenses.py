@@ -1,7 +1,7 @@
 """License scans by canonical digest lookup.
 
-A text is brought into a canonical form: ASCII letters in lower case, copyright lines
-away, equivalent spellings made one, punctuation and blanks joined into single spaces.
+A text is brought into a canonical form: ASCII letters in lower case, lines that state a
+copyright away, equivalent spellings made one, punctuation and blanks joined into single spaces.
 The SHA-256 of the form is hash-joined to the digests of known licence texts, so only
 an entire text can match, in any layout. Notices of one line, which often stand inside
 other texts, are looked up the same way, line by line and without leaving the row.
@@ -44,6 +44,19 @@ SPELLINGS = [
     ("https://", "http://"),
 ]
 
+#: A line that states a copyright: behind an optional comment mark the word or sign with
+#: a sign, a year or its placeholder, or a name. A line of the body that merely begins with
+#: the word ("copyright notice, this list ...") or with an item "(c)" is none.
+COPYRIGHT_STATEMENT = (
+    "(?m)^[ \\t]*(?:(?:[#;%!]+|/{2,}|/?\\*+|--+|<!--|(?i:dnl|rem)(?=[ \\t]))[ \\t]*)?(?:"
+    "(?i:copyright)[ \\t:]*(?:\\([cC]\\)|©|[\\[<{(]?(?:[0-9]{4}|[0-9]{2}[yY]{2}|[yY]{4}|(?i:years?)[\\]>})])|[\\[<{](?i:name|copyright|holder|owner))"
+    "|Copyright[ \\t:]+(?:by[ \\t]+)?(?!(?i:notices?|holders?|owners?|licen[cs]es?|laws?|acts?|interests?|statements?|and|or|rights?)\\b)\\p{Lu}"
+    "|(?i:copyright)[ \\t]+by[ \\t]+\\p{Lu}"
+    "|©"
+    "|\\([cC]\\)[ \\t]*(?:(?i:copyright)|[\\[<{]?(?:[0-9]{4}|[yY]{4}))"
+    ")[^\\n]*$"
+)
+#: What the oracle's SQL removes, which knows no comment marks and takes lines of the body as well.
 COPYRIGHT_LINE = "(?m)^[ \\t]*(?:copyright|\\(c\\)|©)[^\\n]*$"
 NOT_A_WORD = "[\\x00-/:-@\\[-`{-\\x7f]+"
 
@@ -108,7 +121,7 @@ _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
 def canonical(text: Column) -> Column:
-    lower = F.regexp_replace(F.translate(text, _UPPER, _LOWER), COPYRIGHT_LINE, "")
+    lower = F.translate(F.regexp_replace(text, COPYRIGHT_STATEMENT, ""), _UPPER, _LOWER)
     spelled = reduce(lambda t, pair: F.replace(t, F.lit(pair[0]), F.lit(pair[1])), SPELLINGS, lower)
     return F.trim(F.regexp_replace(spelled, NOT_A_WORD, " "))
 
@@ -154,8 +167,7 @@ def known_digests(spark: SparkSession, known: DataFrame | None = None) -> DataFr
 def notice_lines(text: Column) -> Column:
     """The licence ids of the lines that are a known notice as a whole, in order."""
     known = F.map_from_entries(F.array(*[F.struct(canonical(F.lit(t)), F.lit(k)) for k, texts in NOTICES.items() for t in texts]))
-    # only lines about as long as a notice can be one
-    lines = F.filter(F.split(text, "\n", -1), lambda x: F.length(x).between(10, 400) & x.rlike("(?i)licen|reserved|released"))
+    lines = F.filter(F.split(text, "\n", -1), lambda x: x.rlike("(?i)licen|reserved|released"))
     return F.filter(F.transform(lines, lambda x: F.try_element_at(known, canonical(x))), lambda k: k.isNotNull())
 
 

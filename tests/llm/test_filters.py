@@ -80,6 +80,30 @@ def test_whole_long_licences_and_given_ones(spark):
     assert licenses.scan(df).filter("doc_id = %d" % (len(rows) - 1)).first()["license_id"] is None
 
 
+def test_licences_in_any_layout(spark):
+    import textwrap
+
+    wanted, n = {}, 0
+    for k in ("ISC", "BSD-2-Clause", "BSD-3-Clause", "MIT"):
+        paragraphs = licenses.LICENSES[k].split("\n")
+        for width in (30, 45, 60, 72, 79, 10_000):
+            body = "\n".join(textwrap.fill(p, width) for p in paragraphs)
+            # the clause at the start of a line, as usual layouts have it
+            body = body.replace(" copyright notice", "\ncopyright notice")
+            for statement in ("Copyright (c) 2020 Someone", "Copyright 2019-2021, The Authors", "Copyright Jane Doe <j@x.example>", "(C) 2001 Someone", "Copyright (c) <year> <name>"):
+                text = statement + "\n\n" + body
+                for mark in ("", "# ", " * ", "// "):
+                    wanted[n] = (k, "\n".join(mark + x for x in text.split("\n")))
+                    n += 1
+    wanted[n] = ("BSD-3-Clause", "Copyright (c) 1999 X\nAll rights reserved.\n\n" + licenses.LICENSES["BSD-3-Clause"])
+    wanted[n + 1] = (None, licenses.LICENSES["ISC"].replace("copyright notice and this", "\nthis"))
+    wanted[n + 2] = (None, licenses.LICENSES["MIT"] + "\n(c) You must pay.")
+    df = spark.createDataFrame([(i, t) for i, (_, t) in wanted.items()], "doc_id long, text string")
+    assert {r["doc_id"]: r["license_id"] for r in licenses.scan(df).collect()} == {i: k for i, (k, _) in wanted.items()}
+    wide = spark.createDataFrame([(1, "x\nAll" + " " * 500 + "rights reserved.")], "doc_id long, text string")
+    assert licenses.scan(wide).first()["n_notice_lines"] == 1
+
+
 def toxic_set(spark, n=1200):
     r = np.random.default_rng(1)
     clean = [f"word{i}" for i in range(80)]
