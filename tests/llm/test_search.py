@@ -16,7 +16,7 @@ def brute_top_k(rows, k=20):
     for q, v in usable:
         if q % 20 == 0:
             scored = sorted(((-sum(a * b for a, b in zip(v, w)), i) for i, w in usable if i != q))[:k]
-            out |= {(q, n + 1, i, -s) for n, (s, i) in enumerate(scored)}
+            out |= {(q, n + 1, i, min(max(-s, 1 - 2**63), 2**63 - 1)) for n, (s, i) in enumerate(scored)}  # ends of the range of a long
     return out
 
 
@@ -26,9 +26,37 @@ def test_top_k(spark):
     rows += [(400 + i, rows[40][1]) for i in range(60)]  # one very common vector
     rows += [(500, None), (501, [0.1, None] + [0.0] * 6), (502, [float("nan")] * 8), (503, [float("inf")] * 8), (None, [0.1] * 8), (504, [0.5, -0.5]), (505, []), (520, [3e38] * 8)]
     df = spark.createDataFrame([(i, v, 1, "x") for i, v in rows], "vec_id long, embedding array<float>, score int, components string").repartition(5)
-    wanted = brute_top_k([x for x in rows if x[0] != 520])
-    for block in (32, 1024):
-        assert {tuple(x) for x in topk.search(df, block=block).collect()} == wanted
+    wanted = brute_top_k(rows)
+    for block, shelf in ((32, 600), (1024, topk.SHELF_VALUES)):
+        assert {tuple(x) for x in topk.search(df, block=block, shelf_values=shelf).collect()} == wanted
+
+
+def test_top_k_of_large_components_and_repeated_ids(spark):
+    r = random.Random(6)
+    rows = [(i, [r.gauss(0, 1) * 10.0 ** r.choice([0, 0, 0, 3, 8, 9, 12, 17, 30]) for _ in range(r.choice([3, 3, 3, 0, 1, 7]))]) for i in range(150)]
+    rows += [(100, [1e300] * 3), (7, [-1e307, 1e307, 0.5]), (7, [-1e307, 1e307, 0.5]), (9, [1.7e308]), (200, [2.0**35 / 64]), (201, [2.0**35 / 64]), (202, [2e10, 0.0]), (203, [1.0, 1.0])]
+    rows += [(40, rows[40][1])] * 3 + [(300, [0.25] * 3000)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    # of rows that share an id the least vector is the query, all are candidates
+    ints = [(i, [int(np.floor(64 * x)) if abs(64 * x) < 2**53 else int(64 * x) for x in v]) for i, v in rows if all(np.isfinite(64.0 * x) for x in v)]
+    queries = {q: min(v for i, v in ints if i == q) for q, _ in ints if q % 20 == 0}
+    wanted = []
+    for q, v in queries.items():
+        scored = sorted((-sum(a * b for a, b in zip(v, w)), i) for i, w in ints if i != q)[:20]
+        wanted += [(q, n + 1, i, min(max(-s, -(2**63) + 1), 2**63 - 1)) for n, (s, i) in enumerate(scored)]
+    for block, shelf in ((16, 64), (1024, topk.SHELF_VALUES)):
+        assert sorted(tuple(x) for x in topk.search(df, block=block, shelf_values=shelf).collect()) == sorted(wanted)
+
+
+def test_products_are_exact_at_every_size():
+    r = random.Random(7)
+    for top in (2**10, 2**25, 2**29, 2**35, 2**61):
+        a, b = ([[r.randint(-top, top) for _ in range(5)] for _ in range(6)] for _ in range(2))
+        got = topk.exact_products(np.array(a), np.array(b))
+        assert got.tolist() == [[sum(x * y for x, y in zip(v, w)) for w in b] for v in a]
+    assert int(topk.exact_products(np.array([[2**35]]), np.array([[2**35]]))[0, 0]) == 2**70
+    assert topk.clipped(np.array([[2**70, -(2**70), 5]], object)).tolist() == [[2**63 - 1, 1 - 2**63, 5]]
+    assert topk.wide_key(-(2**80)) < topk.wide_key(-5) < topk.wide_key(2**63) < topk.wide_key(2**90)
 
 
 def test_pruning_leaves_blocks_out(spark):
@@ -36,7 +64,15 @@ def test_pruning_leaves_blocks_out(spark):
     r = random.Random(1)
     rows = [(i, [(5.0 if d == i % 16 else 0.0) + r.random() / 10 for d in range(16)]) for i in range(640)]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
-    assert {tuple(x) for x in topk.search(df, block=16).collect()} == brute_top_k(rows)
+    for shelf in (256, 1024, topk.SHELF_VALUES):
+        assert {tuple(x) for x in topk.search(df, block=16, shelf_values=shelf).collect()} == brute_top_k(rows)
+    # visits of one group: the k-th score rises on the way
+    ints = np.array([[int(np.floor(64 * x)) for x in v] for _, v in sorted(rows, key=lambda x: x[0] % 16)])
+    ids = np.array(sorted(range(640), key=lambda i: i % 16))
+    blocks = [(ids[s : s + 16], ints[s : s + 16]) for s in range(0, 640, 16)]
+    best = topk.Best(np.full(32, np.iinfo(np.int64).min), np.full(32, np.iinfo(np.int64).max), 20)
+    scored = topk.visit(ints[::20], ids[::20], blocks, np.stack([m.max(axis=0) for _, m in blocks]), np.stack([m.min(axis=0) for _, m in blocks]), best)
+    assert scored < 32 * 40 / 4
 
 
 def test_top_k_small_and_empty(spark):
