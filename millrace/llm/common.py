@@ -8,7 +8,8 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-TOKENIZER_DIR = "/opt/tokenizers"
+#: A key with more than this share of all rows is hot; there are at most so many hot keys.
+HOT_KEYS = 10_000
 
 #: Words are maximal runs of anything but the ASCII blanks.
 WORD = "[^\\x20\\x09-\\x0D]+"
@@ -20,7 +21,12 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def tokenizer_path(name: str) -> str:
-    return f"{TOKENIZER_DIR}/{name}"
+    """Where this machine has a tokenizer: a bare name is one of the public tokenizers, anything else a path."""
+    if "/" in name:
+        return name
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -35,6 +41,8 @@ def shared_dir(spark: SparkSession) -> str:
             spark.sparkContext.setCheckpointDir(configured)
         return configured.rstrip("/")
     if spark.sparkContext.getCheckpointDir() is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="millrace-"))
     return spark.sparkContext.getCheckpointDir().rstrip("/")
 
@@ -44,6 +52,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether Spark's file system for a path has it."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """``df`` computed once and read back from the shared folder, without its lineage."""
     shared_dir(df.sparkSession)
@@ -65,3 +79,18 @@ def free_name(df: DataFrame, name: str) -> str:
     while name.lower() in taken:
         name += "_"
     return name
+
+
+def joined_by_key(rows: DataFrame, key: str, table: DataFrame, table_key: str, count: str, total: int) -> DataFrame:
+    """``rows`` with the columns of ``table``, which has one row for each key that occurs.
+
+    ``count`` is the column of ``table`` that says how many of the ``total`` rows have the
+    key. The hot keys, over total / HOT_KEYS rows each and so fewer than HOT_KEYS, are
+    broadcast and their rows stay where they are; only the others are shuffled.
+    """
+    is_hot = F.col(count) > total // HOT_KEYS
+    by_key = F.col(key) == F.col(table_key)
+    hot = F.broadcast(table.filter(is_hot))
+    found = rows.join(hot, by_key)
+    others = rows.join(F.broadcast(table.filter(is_hot).select(table_key)), by_key, "left_anti").join(table.filter(~is_hot), by_key)
+    return found.unionByName(others)

@@ -1,14 +1,17 @@
 """SimHash near-duplicates with a Gray-order hierarchical index.
 
 Fingerprints that differ in at most ``radius`` bits agree on at least one of
-``radius + 1`` bands. A band's value is the topmost node of the index: the masked bit
-pattern that its members share. A node with too many members is split the same way on
-the bits that its pattern leaves open, until all nodes are small; since the distance
-must lie in the open bits, no pair is lost. Within a node the members are sorted by
-Gray rank, so that neighbours share most bits; runs of them form lower nodes that hold
-the bits common to the run, and those again form higher ones. Two nodes are compared by
-the bits in which their shared patterns differ, and a pair of nodes whose differences
-already exceed the radius is pruned with all its members.
+``radius + 1`` bands, and so on any bits of it. The topmost nodes of the index are the
+values of the leading bits of each band, as many of these as give nodes of some
+NODE_SIZE members: the masked bit pattern that the members share. A node with too many
+members is split the same way on the bits that its pattern leaves open, until all nodes
+are small; since the distance must lie in the open bits, no pair is lost. Within a node
+the members are sorted by Gray rank, so that neighbours share most bits; runs of
+FAN_OUT of them form lower nodes that hold the bits common to the run, and those again
+form higher ones, up to one. From there down two nodes meet with the differences that
+their parents have shown; the bits that only they have fixed add to these, and a pair of
+nodes whose sum exceeds the radius is pruned with all its members. This is the only way
+in which members meet, in nodes of any size.
 
 A node reports links as a forest (each linked fingerprint once), never all its pairs.
 Components come from alternating star contraction over these links.
@@ -16,22 +19,23 @@ Components come from alternating star contraction over these links.
 
 from __future__ import annotations
 
+from functools import lru_cache
 from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bpe import slices
-from .common import checkpointed, free_name, text_or_empty
+from .common import checkpointed, free_name, joined_by_key, text_or_empty
 
 RADIUS = 3
 SHINGLE = 3
-#: Members of a node that one task compares; larger nodes are split further.
-NODE_LIMIT = 20_000
+#: Members that a topmost node should have, and those that it may have before it is split further.
+NODE_SIZE, NODE_LIMIT = 256, 20_000
 #: Members or nodes that form one node of the next level.
-FAN_OUT = 32
+FAN_OUT = 8
 HASH_SEED = 42
 #: Ids of dropped documents that are sent to every task; more are joined by a shuffle.
 BROADCAST_IDS = 1_000_000
@@ -88,54 +92,65 @@ def gray_rank(codes: np.ndarray) -> np.ndarray:
     return rank
 
 
-def _levels(codes: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
-    """From the members up: the bits that each node's members share, and which bits these are."""
-    full = np.full(len(codes), np.uint64(0xFFFFFFFFFFFFFFFF))
-    levels = [(codes, full)]
-    while len(levels[-1][0]) > 1:
-        pattern, mask = levels[-1]
-        starts = np.arange(0, len(pattern), FAN_OUT)
-        ones = np.bitwise_and.reduceat(pattern & mask, starts)  # 1 in all members
-        zeros = np.bitwise_and.reduceat(~pattern & mask, starts)  # 0 in all members
-        levels.append((ones, ones | zeros))
-    return levels
+class Level:
+    """Nodes of one level of many indexes: the bits that a node's members share, which bits these are, and its children."""
+
+    def __init__(self, group: np.ndarray, pattern: np.ndarray, mask: np.ndarray, starts: np.ndarray, stops: np.ndarray):
+        self.group, self.pattern, self.mask, self.starts, self.stops = group, pattern, mask, starts, stops
 
+    def above(self) -> Level:
+        """Runs of FAN_OUT nodes of a group as one node each."""
+        first = np.flatnonzero(np.concatenate([[True], self.group[1:] != self.group[:-1]]))
+        place = np.arange(len(self.group)) - np.repeat(first, np.diff(np.append(first, len(self.group))))
+        starts = np.flatnonzero(place % FAN_OUT == 0)
+        ones = np.bitwise_and.reduceat(self.pattern & self.mask, starts)  # 1 in all members
+        zeros = np.bitwise_and.reduceat(~self.pattern & self.mask, starts)  # 0 in all members
+        return Level(self.group[starts], ones, ones | zeros, starts, np.append(starts[1:], len(self.group)))
 
-def _children(nodes: np.ndarray, count: int) -> tuple[np.ndarray, np.ndarray]:
-    """For each node its children, as (position in nodes, child)."""
-    child = nodes[:, None] * FAN_OUT + np.arange(FAN_OUT)
-    inside = child < count
-    return np.nonzero(inside)[0], child[inside]
+
+def _levels(group: np.ndarray, codes: np.ndarray) -> list[Level]:
+    """From the members up to one node for each group; the codes of a group are in Gray order."""
+    none = np.zeros(0, np.int64)
+    levels = [Level(group, codes, np.full(len(codes), np.uint64(0xFFFFFFFFFFFFFFFF)), none, none)]
+    while len(levels) == 1 or (levels[-1].group[1:] == levels[-1].group[:-1]).any():
+        levels.append(levels[-1].above())
+    return levels
 
 
-def linked_pairs(codes: np.ndarray, radius: int):
-    """All pairs of different positions whose codes differ in at most ``radius`` bits.
+def linked_pairs(group: np.ndarray, codes: np.ndarray, radius: int, visited: list[int] | None = None):
+    """All pairs of different positions of a group whose codes differ in at most ``radius`` bits.
 
-    ``codes`` are distinct. Yields arrays (i, j) of positions, a bounded number of
-    node pairs at a time, so that dense nodes need little memory.
+    Equal values of ``group`` are neighbours, the codes of a group distinct. Yields
+    arrays (i, j) of positions, a bounded number of node pairs at a time, so that dense
+    nodes need little memory. ``visited`` takes the numbers of pairs that met.
     """
     if len(codes) < 2:
         return
-    order = np.argsort(gray_rank(codes))
-    levels = _levels(codes[order])
-    top = len(levels) - 1
-    stack = [(top, np.zeros(1, np.int64), np.zeros(1, np.int64))]
+    order = np.lexsort((gray_rank(codes), np.cumsum(np.concatenate([[0], group[1:] != group[:-1]]))))
+    levels = _levels(group[order], codes[order])
+    roots = np.arange(len(levels[-1].group))
+    stack = [(len(levels) - 1, roots, roots, np.zeros(len(roots), np.int64))]
+    child = np.arange(FAN_OUT)
     while stack:
-        level, left, right = stack.pop()
+        level, left, right, differences = stack.pop()
         if level == 0:
             yield order[left], order[right]
             continue
-        below = len(levels[level - 1][0])
-        for s in range(0, len(left), 512):
-            at, a = _children(left[s : s + 512], below)
-            at2, b = _children(right[s : s + 512][at], below)
-            a = a[at2]
-            ordered = a <= b if level > 1 else a < b
-            a, b = a[ordered], b[ordered]
-            pattern, mask = levels[level - 1]
-            near = np.bitwise_count((pattern[a] ^ pattern[b]) & mask[a] & mask[b]) <= radius
+        here, below = levels[level], levels[level - 1]
+        for s in range(0, len(left), 4096):
+            p, q = left[s : s + 4096], right[s : s + 4096]
+            a, b = here.starts[p][:, None, None] + child[:, None], here.starts[q][:, None, None] + child
+            met = (a < here.stops[p][:, None, None]) & (b < here.stops[q][:, None, None]) & (a <= b if level > 1 else a < b)
+            at, i, j = np.nonzero(met)
+            a, b, p, q = here.starts[p[at]] + i, here.starts[q[at]] + j, p[at], q[at]
+            # what the parents have compared is counted already
+            fresh = below.mask[a] & below.mask[b] & ~(here.mask[p] & here.mask[q])
+            total = differences[s : s + 4096][at] + np.bitwise_count((below.pattern[a] ^ below.pattern[b]) & fresh)
+            if visited is not None:
+                visited.append(len(a))
+            near = total <= radius
             if near.any():
-                stack.append((level - 1, a[near], b[near]))
+                stack.append((level - 1, a[near], b[near], total[near]))
 
 
 def _roots(n: int, pairs) -> np.ndarray:
@@ -162,41 +177,19 @@ def _roots(n: int, pairs) -> np.ndarray:
     return label
 
 
-def _pairs_of_small_nodes(group: np.ndarray, codes: np.ndarray, radius: int):
-    """Near pairs within runs of equal ``group``, whose members form one lowest node each."""
-    for step in range(1, len(codes)):
-        same = group[step:] == group[:-step]
-        if not same.any():
-            return
-        i = np.flatnonzero(same)
-        near = np.bitwise_count(codes[i] ^ codes[i + step]) <= radius
-        if near.any():
-            yield i[near], i[near] + step
-
-
 def node_links(group: np.ndarray, vertices: np.ndarray, codes: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
     """Links of whole nodes, given as runs of equal ``group``: (vertex, a smaller vertex of its tree)."""
-    starts = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]]))
-    sizes = np.diff(np.append(starts, len(group)))
-    out_a, out_b = [], []
-
-    def report(at: np.ndarray, pairs):
-        by_vertex = at[np.argsort(vertices[at], kind="stable")]
-        place = np.empty(len(group), np.int64)
-        place[by_vertex] = np.arange(len(by_vertex))
-        label = _roots(len(by_vertex), ((place[i], place[j]) for i, j in pairs))
-        linked = np.flatnonzero(label != np.arange(len(label)))
-        out_a.append(vertices[by_vertex[linked]])
-        out_b.append(vertices[by_vertex[label[linked]]])
-
-    small = np.flatnonzero(np.repeat((sizes > 1) & (sizes <= FAN_OUT), sizes))
-    if len(small):
-        report(small, ((small[i], small[j]) for i, j in _pairs_of_small_nodes(group[small], codes[small], radius)))
-    for s, n in zip(starts.tolist(), sizes.tolist()):
-        if n > FAN_OUT:
-            report(np.arange(s, s + n), ((s + i, s + j) for i, j in linked_pairs(codes[s : s + n], radius)))
-    empty = np.zeros(0, np.int64)
-    return np.concatenate([empty, *out_a]), np.concatenate([empty, *out_b])
+    crowded = np.zeros(len(group), bool)
+    same = group[1:] == group[:-1]
+    crowded[1:] |= same
+    crowded[:-1] |= same
+    at = np.flatnonzero(crowded)
+    by_vertex = at[np.argsort(vertices[at], kind="stable")]
+    place = np.empty(len(group), np.int64)
+    place[by_vertex] = np.arange(len(by_vertex))
+    label = _roots(len(by_vertex), ((place[at[i]], place[at[j]]) for i, j in linked_pairs(group[at], codes[at], radius)))
+    linked = np.flatnonzero(label != np.arange(len(label)))
+    return vertices[by_vertex[linked]], vertices[by_vertex[label[linked]]]
 
 
 # -- the upper nodes
@@ -213,37 +206,55 @@ def _mask(bits: list[int]) -> int:
     return value - (1 << 64) if value >= 1 << 63 else value
 
 
-def _split(nodes: DataFrame, radius: int, depth: int) -> DataFrame:
-    """Each member under its nodes of the next level.
+def _top_width(n: int, radius: int) -> int:
+    """Leading bits of a band whose values divide n fingerprints into nodes of some NODE_SIZE."""
+    return min(max(-(-n // NODE_SIZE) - 1, 0).bit_length(), 64 // (radius + 1))
+
+
+@lru_cache(maxsize=65_536)
+def _next_masks(mask: int, radius: int, depth: int, width: int) -> tuple[int, ...]:
+    """The masks of the nodes below those of a mask, which says which bits a node's pattern fixes.
 
-    ``mask`` says which bits a node's pattern fixes. At each depth all nodes fix bands
-    of the same layout, so the few masks are known beforehand.
+    The topmost nodes fix ``width`` bits of their band, the next the whole of it, those
+    below a band of the open bits each.
     """
-    masks = [[]]
-    for _ in range(depth):
-        masks = [m + band for m in masks for band in _bands([b for b in range(64) if b not in set(m)], radius)]
-    known = {_mask(m): [_mask(m + band) for band in _bands([b for b in range(64) if b not in set(m)], radius)] for m in masks}
-    choices: Column = None
-    for fixed, following in known.items():
-        value = F.array(*[F.lit(x).cast("long") for x in following])
-        choices = F.when(F.col("mask") == F.lit(fixed).cast("long"), value) if choices is None else choices.when(F.col("mask") == F.lit(fixed).cast("long"), value)
-    return (
-        nodes.select("vertex", "code", F.explode(choices).alias("mask"))
-        .withColumn("pattern", F.col("code").bitwiseAND(F.col("mask")))
-    )
+    fixed = [b for b in range(64) if mask >> b & 1]
+    if depth == 0:
+        following = [band[len(band) - width :] for band in _bands(list(range(64)), radius)]
+    elif depth == 1:
+        following = [band for band in _bands(list(range(64)), radius) if set(fixed) <= set(band)]
+    else:
+        following = [fixed + band for band in _bands([b for b in range(64) if b not in set(fixed)], radius)]
+    return tuple(sorted({_mask(x) for x in following}))
+
+
+def _split(nodes: DataFrame, radius: int, depth: int, width: int) -> DataFrame:
+    """Each member under its nodes of the next level."""
+
+    def run(batches):
+        for batch in batches:
+            vertex, code, mask = (batch.column(c).to_numpy() for c in ("vertex", "code", "mask"))
+            for m in np.unique(mask).tolist():
+                at = np.flatnonzero(mask == m)
+                for below in _next_masks(m, radius, depth, width):
+                    columns = [vertex[at], code[at], np.full(len(at), below), code[at] & np.int64(below)]
+                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["vertex", "code", "mask", "pattern"])
+
+    return nodes.select("vertex", "code", "mask").mapInArrow(run, "vertex long, code long, mask long, pattern long")
 
 
-def near_links(codes: DataFrame, radius: int = RADIUS, node_limit: int = NODE_LIMIT) -> DataFrame:
+def near_links(codes: DataFrame, n: int, radius: int = RADIUS, node_limit: int = NODE_LIMIT) -> DataFrame:
     """Links (a, b) that connect exactly the vertices connected by near codes.
 
-    ``codes`` has distinct ``code`` values with a ``vertex`` each.
+    ``codes`` has ``n`` distinct ``code`` values with a ``vertex`` each.
     """
+    width = _top_width(n, radius)
     nodes = codes.select("vertex", "code", F.lit(0).cast("long").alias("mask"), F.lit(0).cast("long").alias("pattern"))
     found = None
     for depth in range(64):
-        nodes = _split(nodes, radius, depth)
+        nodes = _split(nodes, radius, depth, width)
         # once few bits are open a node can't have many members
-        last = 64 - _fixed_bits(depth + 1, radius) <= (node_limit - 1).bit_length() - 1
+        last = 64 - _fixed_bits(depth + 1, radius, width) <= (node_limit - 1).bit_length() - 1
         large = None if last else checkpointed(nodes.groupBy("mask", "pattern").count().filter(F.col("count") > node_limit))
         done = last or large.isEmpty()
         links = _links_in(nodes if done else nodes.join(large, ["mask", "pattern"], "left_anti"), radius)
@@ -254,9 +265,9 @@ def near_links(codes: DataFrame, radius: int = RADIUS, node_limit: int = NODE_LI
     return found
 
 
-def _fixed_bits(depth: int, radius: int) -> int:
-    fixed = 0
-    for _ in range(depth):
+def _fixed_bits(depth: int, radius: int, width: int) -> int:
+    fixed = width if depth == 1 else 0
+    for _ in range(depth - 1):
         fixed += (64 - fixed) // (radius + 1)
     return fixed
 
@@ -330,14 +341,21 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGL
     table gives an empty table. Other columns are left out.
     """
     prints = checkpointed(fingerprints(docs, shingle))
-    # one vertex for all copies of a fingerprint, named by its smallest document
-    codes = checkpointed(prints.groupBy("fingerprint").agg(F.min("doc_id").alias("vertex")).withColumnRenamed("fingerprint", "code"))
-    links = near_links(codes.filter("vertex IS NOT NULL"), radius, node_limit)
-    roots = components(links)
-    named = codes.join(roots, "vertex", "left").select("code", F.coalesce("component", "vertex").alias("component_id"))
-    return prints.join(named, prints["fingerprint"] == named["code"]).select(
-        "doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id"
+    # one vertex for all copies of a fingerprint
+    codes = checkpointed(prints.groupBy(F.col("fingerprint").alias("code")).agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("rows")))
+    n, rows = codes.agg(F.count("*"), F.coalesce(F.sum("rows"), F.lit(0))).first()
+    roots = checkpointed(components(near_links(codes.select("code", F.col("code").alias("vertex")), n, radius, node_limit)))
+    rooted = codes.join(roots, codes["code"] == roots["vertex"], "left").withColumn("component", F.coalesce("component", "code"))
+    # a component is named by its smallest document
+    named = rooted.groupBy("component").agg(F.min("doc_id").alias("component_id"), F.count("*").alias("n_codes"))
+    linked = named.filter("n_codes > 1")
+    labels = checkpointed(
+        rooted.join(linked.select("component", "component_id"), "component", "left").select(
+            "code", "rows", F.when(F.col("component_id").isNotNull(), F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id")
+        )
     )
+    out = joined_by_key(prints, "fingerprint", labels, "code", "rows", rows)
+    return out.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def first_of_each(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGLE) -> DataFrame:

@@ -149,8 +149,8 @@ def test_large_nodes_are_split_without_loss(spark):
     values = sorted(values)
     wanted = brute_components(dict(enumerate(values)))
     df = spark.createDataFrame([(i, v - (1 << 64) if v >> 63 else v) for i, v in enumerate(values)], "vertex long, code long")
-    for limit in (20_000, 60):
-        found = {x["vertex"]: x["component"] for x in simhash.components(simhash.near_links(df, 3, limit)).collect()}
+    for limit, n in ((20_000, len(values)), (60, len(values)), (20_000, 100_000_000), (20_000, 1)):
+        found = {x["vertex"]: x["component"] for x in simhash.components(simhash.near_links(df, n, 3, limit)).collect()}
         assert {i: found.get(i, i) for i in range(len(values))} == wanted
 
 
@@ -162,7 +162,38 @@ def test_long_chains_become_one_component(spark):
 
 def test_linked_pairs_equal_brute_force():
     r = np.random.default_rng(2)
-    codes = np.unique(np.concatenate([r.integers(0, 1 << 12, 500), r.integers(0, 1 << 62, 500)]).astype(np.uint64))
-    got = {tuple(sorted(p)) for i, j in simhash.linked_pairs(codes, 3) for p in zip(i.tolist(), j.tolist())}
-    wanted = {(i, j) for j in range(len(codes)) for i in range(j) if int(codes[i] ^ codes[j]).bit_count() <= 3}
-    assert got == wanted
+    codes, group = [], []
+    for g, n in enumerate([1, 2, 3, 7, 8, 9, 64, 65, 1, 500]):
+        some = np.unique(np.concatenate([r.integers(0, 1 << 12, n), r.integers(0, 1 << 62, n)]).astype(np.uint64))
+        codes.append(r.permutation(some))
+        group.append(np.full(len(some), (g * 7) % 5))
+    codes, group = np.concatenate(codes), np.concatenate(group)
+    run = np.cumsum(np.concatenate([[0], group[1:] != group[:-1]]))
+    got = sorted(tuple(sorted(p)) for i, j in simhash.linked_pairs(group, codes, 3) for p in zip(i.tolist(), j.tolist()))
+    wanted = [(i, j) for j in range(len(codes)) for i in range(j) if run[i] == run[j] and int(codes[i] ^ codes[j]).bit_count() <= 3]
+    assert got == sorted(wanted)
+
+
+def test_whole_groups_are_pruned():
+    # 200 crowds of 20 codes each, far from each other
+    r = np.random.default_rng(5)
+    centres = r.integers(0, 1 << 63, 200).astype(np.uint64)
+    codes = np.unique(np.concatenate([centres ^ (np.uint64(1) << np.uint64(b)) for b in r.integers(0, 64, 20)]))
+    visited = []
+    pairs = sum(len(i) for i, _ in simhash.linked_pairs(np.zeros(len(codes), np.int64), codes, 3, visited))
+    all_pairs = len(codes) * (len(codes) - 1) // 2
+    assert pairs > 0 and sum(visited) < all_pairs / 4
+
+
+def test_hot_fingerprints_and_rows_without_an_id(spark):
+    same = "one text that very many rows share, word for word"
+    rows = [(i, same) for i in range(3, 300)] + [(None, same), (None, "only rows without an id have this text"), (None, "only rows without an id have this text"), (1, "alone"), (1, "alone"), (2, "another one")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    out = simhash.near_duplicates(df).collect()
+    of = {}
+    for x in out:
+        of.setdefault(x["fingerprint"], []).append((x["doc_id"], x["component_id"]))
+    shared = of[f"{brute_fingerprint(same):016x}"]
+    assert len(out) == len(rows) and len(shared) == 298 and {c for _, c in shared} == {3}
+    assert of[f"{brute_fingerprint(rows[-4][1]):016x}"] == [(None, None)] * 2
+    assert of[f"{brute_fingerprint('alone'):016x}"] == [(1, 1)] * 2
