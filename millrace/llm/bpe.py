@@ -29,7 +29,7 @@ from pyspark.sql import types as T
 
 from .common import tokenizer_path
 
-VOCABULARY = tokenizer_path("byte_bpe_50k.json")
+VOCABULARY = "byte_bpe_50k.json"
 
 #: Pre-tokens that a worker remembers at most, in each of two generations.
 CACHE_LIMIT = 250_000
@@ -116,7 +116,7 @@ class PairIndexBpe:
 
     def __init__(self, path: str = VOCABULARY, cache_limit: int = CACHE_LIMIT):
         self.cache_limit = cache_limit
-        with open(path, encoding="utf-8") as f:
+        with open(tokenizer_path(path), encoding="utf-8") as f:
             spec = json.load(f)
         alphabet = _byte_alphabet()
         vocab = spec["model"]["vocab"]

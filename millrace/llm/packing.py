@@ -17,6 +17,7 @@ item without ids gives no piece; an empty table gives none. Other columns are le
 
 from __future__ import annotations
 
+import json
 import struct
 from functools import lru_cache
 
@@ -26,12 +27,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
 from .bpe import is_latin1, slices, splitter
-from .common import TOKENIZER_DIR, tokenizer_path
+from .common import tokenizer_path
 
-VOCABULARY = tokenizer_path("byte_bpe_50k.json")
+VOCABULARY = "byte_bpe_50k.json"
 END_ID = 0
 MAX_TOKENS, MAX_SEGMENTS, MAX_LOSS = 1024, 64, 1024
-#: Pieces that a task holds at once.
+#: Pieces that a task holds at once; which of them share a sequence depends on it.
 POOL = 1536
 PIECE_CACHE = 400_000
 
@@ -39,14 +40,13 @@ PIECES = "doc_id long, start long, length long, ids binary, doc_tokens long, seq
 
 
 class _PieceIds(dict):
-    """Packed ids of a pre-token, merged when first met."""
+    """Packed ids of a pre-token, asked from the tokenizer when first met."""
 
-    def __init__(self, merge):
-        self.merge = merge
+    def __init__(self, ids_of):
+        self.ids_of = ids_of
 
     def __missing__(self, piece: str) -> bytes:
-        ids = self.merge(piece.encode())
-        packed = struct.pack(f"<{len(ids)}I", *ids)
+        packed = self.ids_of(piece)
         if len(piece) <= 64:
             if len(self) >= PIECE_CACHE:
                 self.clear()
@@ -55,32 +55,33 @@ class _PieceIds(dict):
 
 
 class DocumentIds:
-    """Ids of whole texts under the byte-level vocabulary, plus the end mark.
+    """Ids of whole texts under a tokenizer, plus the end mark.
 
-    Latin-1 texts are cut by a pattern and their pre-tokens looked up; the others,
-    and those with a special string, go to the tokenizer whole.
+    Where the tokenizer cuts texts as the byte-level pattern does and changes nothing
+    before, Latin-1 texts are cut here and their pre-tokens looked up. All others, and
+    texts with a special string, go to the tokenizer whole.
     """
 
     def __init__(self, path: str):
-        import base64
-
-        import tiktoken
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer = Tokenizer.from_file(tokenizer_path(path))
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        with open(path.removesuffix(".json") + ".tiktoken", "rb") as f:
-            ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, f)}
-        merges = tiktoken.Encoding("packing", pat_str=r"[^\n]+|\n+", mergeable_ranks=ranks, special_tokens={})
-        self.pieces = _PieceIds(merges._core_bpe.encode_single_piece)
+        spec = json.loads(self.tokenizer.to_str())
+        cut = spec["pre_tokenizer"] or {}
+        self.by_piece = spec["normalizer"] is None and cut.get("type") == "ByteLevel" and not cut["add_prefix_space"] and cut.get("use_regex", True)
+        self.pieces = _PieceIds(self._whole)
         self.end = struct.pack("<I", END_ID)
 
+    def _whole(self, text: str) -> bytes:
+        ids = self.tokenizer.encode(text, add_special_tokens=False).ids
+        return struct.pack(f"<{len(ids)}I", *ids)
+
     def encode(self, text: str) -> bytes:
-        if not is_latin1(text) or any(s in text for s in self.special):
-            ids = self.tokenizer.encode(text, add_special_tokens=False).ids
-            return struct.pack(f"<{len(ids)}I", *ids) + self.end
+        if not self.by_piece or not is_latin1(text) or any(s in text for s in self.special):
+            return self._whole(text) + self.end
         return b"".join(map(self.pieces.__getitem__, splitter("byte_level", False).findall(text))) + self.end
 
 
@@ -96,6 +97,8 @@ class Packer:
     """
 
     def __init__(self, max_tokens: int, max_segments: int, max_loss: int, first_sequence: int = 0, pool: int = POOL):
+        if min(max_tokens, max_segments, max_loss, pool) < 1:
+            raise ValueError("all limits are at least 1")
         self.limits = np.array([max_tokens, max_segments, max_loss], np.float64)
         self.max_tokens, self.max_segments, self.max_loss = max_tokens, max_segments, max_loss
         self.next_sequence = first_sequence
@@ -236,8 +239,12 @@ def pack(
 
     ``ids`` names a column of packed ids, for example of formatted turns, and
     ``loss_mask`` one with a byte for each of them; without ``ids`` the ``text`` is
-    encoded and ended by id 0, and without ``loss_mask`` every id bears loss.
+    encoded and ended by id 0. Without ``loss_mask`` every id bears loss, as in plain
+    documents, and a ``max_loss`` of ``max_tokens`` never binds; with the masks of
+    formatted turns all three limits do. A limit below 1 is an error.
     """
+    if min(max_tokens, max_segments, max_loss) < 1:
+        raise ValueError("all limits are at least 1")
     columns = ["doc_id", ids or "text"] + ([loss_mask] if loss_mask else [])
 
     def run(batches):

@@ -1,12 +1,17 @@
 """Token counts through a digest cache.
 
-A text's key is the SHA-256 of its normalised content together with the digest of the
-tokenizer's file. Keys are joined to the counts that a Parquet cache holds; of the
-keys that it lacks, each is encoded once, however many rows have it, and the counts
-are appended to the cache. All counts are then read from the cache.
+A text's key is the SHA-256 of its normalised content together with the tokenizer's
+version, which is the digest of its file and the name of the normal form. Keys are
+joined to the counts that a Parquet cache in the shared folder holds from earlier calls;
+of the keys that it lacks, each is encoded once, however many rows have it, and the
+counts are appended to the cache. All counts are then read from the cache.
 
-Normalising joins runs of ASCII blanks into one space, which this tokenizer drops
-anyway; anything further could make or break a special string.
+Only the texts of misses move, each distinct one about once: copies of a hot text meet
+in their own tasks first. The final join sends the counts of hot keys to the rows.
+
+The normal form depends on the tokenizer. For one that lower-cases and drops white space
+it joins runs of ASCII blanks into one space; anything further could make or break a
+special string. For all others it is the text itself.
 
 Defined results: a null text counts as empty, with 0 bytes and 0 tokens; texts of any
 length are counted whole; equal texts share one cache row and each keep their own
@@ -16,6 +21,7 @@ result row; an empty table gives an empty table. Other columns are left out.
 from __future__ import annotations
 
 import hashlib
+import json
 import re
 from functools import lru_cache
 
@@ -24,21 +30,40 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .bpe import is_latin1, slices, splitter
-from .common import BLANK, scratch_path, text_or_empty, tokenizer_path
+from .common import BLANK, HOT_KEYS, checkpointed, exists, joined_by_key, shared_dir, text_or_empty, tokenizer_path
 
-VOCABULARY = tokenizer_path("word_bpe_49k.json")
+VOCABULARY = "word_bpe_49k.json"
 CACHE_LIMIT = 400_000
 CACHE_SCHEMA = "digest string, n_tokens long"
 
+# How a tokenizer file says that it lower-cases, drops white space and cuts as the word pattern does.
+_WORD_NORMALIZER = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]}
+_WORD_SPLIT = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
+
+
+@lru_cache(maxsize=4)
+def drops_blanks(path: str = VOCABULARY) -> bool:
+    """Whether the tokenizer drops white space and counts word by word."""
+    if path.endswith(".model"):
+        return False
+    with open(tokenizer_path(path), encoding="utf-8") as f:
+        spec = json.load(f)
+    cuts = (spec["pre_tokenizer"] or {}).get("pretokenizers", [{}])
+    return spec["normalizer"] == _WORD_NORMALIZER and cuts[0].get("pattern") == {"Regex": _WORD_SPLIT} and cuts[0]["behavior"] == "Removed" and cuts[0]["invert"]
+
 
 @lru_cache(maxsize=4)
 def tokenizer_version(path: str = VOCABULARY) -> str:
-    with open(path, "rb") as f:
-        return hashlib.sha256(f.read()).hexdigest()
+    with open(tokenizer_path(path), "rb") as f:
+        return hashlib.sha256(f.read()).hexdigest() + (" blanks joined" if drops_blanks(path) else " as is")
 
 
-def content_digest(text: Column, version: str) -> Column:
-    return F.sha2(F.concat(F.lit(version), F.trim(F.regexp_replace(text, BLANK, " "))), 256)
+def normalised(text: Column, path: str = VOCABULARY) -> Column:
+    return F.trim(F.regexp_replace(text, BLANK, " ")) if drops_blanks(path) else text
+
+
+def content_digest(content: Column, path: str = VOCABULARY) -> Column:
+    return F.sha2(F.concat(F.lit(tokenizer_version(path)), F.lit("\n"), content), 256)
 
 
 class _WordCounts(dict):
@@ -57,32 +82,46 @@ class _WordCounts(dict):
 
 
 class TokenCounter:
-    """Counts as the tokenizer does; Latin-1 texts go word by word through a cache.
+    """Counts as the tokenizer does; where words don't depend on each other, through a cache of words.
 
     In Latin-1 each character is its own NFC form and lower-cases alone, and a word's
     tokens don't depend on its neighbours, so the sum over words is the whole count.
-    Other texts, and those with a special string, go to the tokenizer whole.
+    Other texts, those with a special string, and all texts of other tokenizers go to
+    the tokenizer whole.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer = Tokenizer.from_file(tokenizer_path(path))
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        self.by_word = drops_blanks(path)
         self.counts = _WordCounts(self.tokenizer)
         special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.special = re.compile("|".join(map(re.escape, special))) if special else None
 
     def count(self, text: str) -> int:
-        if not is_latin1(text) or (self.special is not None and self.special.search(text)):
+        if not self.by_word or not is_latin1(text) or (self.special is not None and self.special.search(text)):
             return len(self.tokenizer.encode(text, add_special_tokens=False).ids)
         return sum(map(self.counts.__getitem__, splitter("word", False).findall(text.lower())))
 
 
+class PieceCounter:
+    """Counts of a sentencepiece model."""
+
+    def __init__(self, path: str):
+        from sentencepiece import SentencePieceProcessor
+
+        self.model = SentencePieceProcessor(model_file=tokenizer_path(path))
+
+    def count(self, text: str) -> int:
+        return len(self.model.encode(text))
+
+
 @lru_cache(maxsize=2)
-def counter(path: str = VOCABULARY) -> TokenCounter:
-    return TokenCounter(path)
+def counter(path: str = VOCABULARY) -> TokenCounter | PieceCounter:
+    return PieceCounter(path) if path.endswith(".model") else TokenCounter(path)
 
 
 def _encode_misses(misses: DataFrame, path: str) -> DataFrame:
@@ -96,30 +135,43 @@ def _encode_misses(misses: DataFrame, path: str) -> DataFrame:
     return misses.mapInArrow(run, CACHE_SCHEMA)
 
 
+def _contents(docs: DataFrame, missed: DataFrame, rows: int, path: str) -> DataFrame:
+    """The content of each missed digest, once."""
+    content = normalised(text_or_empty("text"), path)
+    texts = docs.select(content_digest(content, path).alias("digest"), content.alias("content"))
+    hot = missed.filter(F.col("rows") > rows // HOT_KEYS).select("digest")
+    some = texts.join(missed.filter(F.col("rows") <= rows // HOT_KEYS).select("digest"), "digest", "left_semi")
+    found = some.groupBy("digest").agg(F.first("content").alias("content"))
+    if hot.isEmpty():
+        return found
+    # fewer than HOT_KEYS of them: what has one of them is found where it lies, and copies meet before the shuffle
+    crowded = texts.join(F.broadcast(hot), "digest", "left_semi")
+    return found.unionByName(crowded.groupBy("digest").agg(F.first("content").alias("content")))
+
+
 def count_tokens(docs: DataFrame, cache_path: str | None = None, path: str = VOCABULARY, limit: int = 2048) -> DataFrame:
     """doc_id, n_bytes, n_tokens and whether n_tokens is over ``limit``.
 
-    ``cache_path`` is a shared Parquet folder kept between calls; without one, the
-    call has a fresh cache in the shared folder. The misses are encoded and appended
-    when this is called.
+    ``cache_path`` is a Parquet folder that the driver and all executors see; by default
+    one in the shared folder, which later calls find again. ``path`` is a tokenizers file
+    (.json) or a sentencepiece model. The misses are encoded and appended when this is
+    called; a call that was cut short leaves whole appends only, so the next goes on.
     """
     spark = docs.sparkSession
-    version = tokenizer_version(path)
-    cache_path = cache_path or scratch_path(spark, "token-counts")
-    # makes the folder of a new cache; to an old one it adds no rows
-    spark.range(0).selectExpr("cast(id AS string) AS digest", "id AS n_tokens").write.mode("append").parquet(cache_path)
-
+    cache_path = cache_path or f"{shared_dir(spark)}/token-counts"
     text = text_or_empty("text")
-    keyed = docs.select("doc_id", F.octet_length(text).cast("long").alias("n_bytes"), content_digest(text, version).alias("digest"))
-    # copies within a map task meet before the shuffle, so a hot text travels once per task
-    distinct = (
-        docs.select(content_digest(text, version).alias("digest"), F.trim(F.regexp_replace(text, BLANK, " ")).alias("content"))
-        .join(spark.read.schema(CACHE_SCHEMA).parquet(cache_path).select("digest"), "digest", "left_anti")
-        .groupBy("digest")
-        .agg(F.first("content").alias("content"))
-    )
-    _encode_misses(distinct, path).write.mode("append").parquet(cache_path)
+    keyed = checkpointed(docs.select("doc_id", F.octet_length(text).cast("long").alias("n_bytes"), content_digest(normalised(text, path), path).alias("digest")))
+    digests = checkpointed(keyed.groupBy("digest").agg(F.count("*").alias("rows")))
+
+    def cached() -> DataFrame:
+        return spark.read.schema(CACHE_SCHEMA).parquet(cache_path)
 
+    if not exists(spark, cache_path):
+        spark.createDataFrame([], CACHE_SCHEMA).write.mode("append").parquet(cache_path)
+    missed = checkpointed(digests.join(cached().select("digest"), "digest", "left_anti"))
+    if not missed.isEmpty():
+        _encode_misses(_contents(docs, missed, keyed.count(), path), path).write.mode("append").parquet(cache_path)
     # two calls may have appended the same digest
-    counts = spark.read.schema(CACHE_SCHEMA).parquet(cache_path).groupBy("digest").agg(F.max("n_tokens").alias("n_tokens"))
-    return keyed.join(counts, "digest").select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
+    counts = cached().join(digests, "digest").groupBy("digest", "rows").agg(F.max("n_tokens").alias("n_tokens")).withColumnRenamed("digest", "known")
+    found = joined_by_key(keyed, "digest", checkpointed(counts), "known", "rows", keyed.count())
+    return found.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))

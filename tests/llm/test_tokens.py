@@ -11,11 +11,12 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from millrace.llm import bpe, chat, packing, token_counts
+from millrace.llm.common import tokenizer_path
 
 
 @pytest.fixture(scope="module")
 def byte_level():
-    return Tokenizer.from_file(bpe.VOCABULARY)
+    return Tokenizer.from_file(tokenizer_path(bpe.VOCABULARY))
 
 
 def packed(ids):
@@ -103,7 +104,7 @@ def test_stored_turns_read_back(spark, tmp_path):
 
 
 def test_counts_and_cache(spark, docs, no_docs, tmp_path):
-    library = Tokenizer.from_file(token_counts.VOCABULARY)
+    library = Tokenizer.from_file(tokenizer_path(token_counts.VOCABULARY))
     cache = "file://" + str(tmp_path / "cache")
     first = token_counts.count_tokens(docs, cache).collect()
     texts = {r["doc_id"]: r["text"] or "" for r in docs.select("doc_id", "text").collect()}
@@ -120,7 +121,7 @@ def test_counts_and_cache(spark, docs, no_docs, tmp_path):
 
 
 def test_counter_equals_the_library():
-    library = Tokenizer.from_file(token_counts.VOCABULARY)
+    library = Tokenizer.from_file(tokenizer_path(token_counts.VOCABULARY))
     counter = token_counts.TokenCounter(token_counts.VOCABULARY)
     r = random.Random(2)
     parts = ["don't ", "É", "é", "ß", "12", "!!", " ", "\t", "<|startoftext|>", "<|STARTOFTEXT|>", "日", "İ", "x" * 70, "µ", "\xa0", "\x85", "ª½"]
@@ -129,6 +130,37 @@ def test_counter_equals_the_library():
         assert counter.count(t) == len(library.encode(t, add_special_tokens=False).ids), t
 
 
+def test_other_tokenizers_are_counted_as_their_libraries_do(spark, tmp_path):
+    import sentencepiece
+
+    texts = ["Hello  World 2024", " two  blanks", "a\n\nb", "", "日本 😀 <s> </s>", "Don't"] * 2
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    byte_level = Tokenizer.from_file(tokenizer_path("byte_bpe_50k.json"))
+    pieces = sentencepiece.SentencePieceProcessor(model_file=tokenizer_path("piece_bpe_32k.model"))
+    cache = "file://" + str(tmp_path / "one-cache")
+    for path, n in (("byte_bpe_50k.json", lambda t: len(byte_level.encode(t, add_special_tokens=False).ids)), ("piece_bpe_32k.model", lambda t: len(pieces.encode(t)))):
+        out = {r["doc_id"]: r["n_tokens"] for r in token_counts.count_tokens(df, cache, path).collect()}
+        assert out == {i: n(t) for i, t in enumerate(texts)}
+
+
+def test_only_new_texts_are_encoded(spark, tmp_path, monkeypatch):
+    cache = "file://" + str(tmp_path / "growing")
+    hot = "a text that very many rows share"
+    old = spark.createDataFrame([(i, hot if i % 3 else f"text {i}") for i in range(60)], "doc_id long, text string")
+    token_counts.count_tokens(old, cache)
+    size = spark.read.parquet(cache).count()
+    assert size == 21
+    asked = []
+    encode = token_counts._encode_misses
+    monkeypatch.setattr(token_counts, "_encode_misses", lambda misses, path: asked.append(misses.count()) or encode(misses, path))
+    token_counts.count_tokens(old, cache)
+    assert asked == []  # all hits: nothing is encoded or appended
+    new = old.unionByName(spark.createDataFrame([(100, "entirely new"), (101, "entirely \n new"), (102, hot)], "doc_id long, text string"))
+    out = token_counts.count_tokens(new, cache).collect()
+    assert asked == [1] and spark.read.parquet(cache).count() == size + 1
+    assert len(out) == 63 and {r["n_tokens"] for r in out if r["doc_id"] in (100, 101)} == {2}
+
+
 def check_pieces(rows, ids, limit=1024, segments=64):
     parts, sequences = defaultdict(list), defaultdict(list)
     for r in rows:
@@ -174,3 +206,34 @@ def test_packing_limits_of_all_kinds():
     for p in rows:
         loss[p["sequence_id"]] += sum(masks[p["doc_id"]][p["start"] : p["start"] + p["length"]])
     assert max(loss.values()) <= 20
+
+
+def test_packing_refuses_limits_below_one(docs):
+    for wrong in ({"max_loss": 0}, {"max_segments": 0}, {"max_tokens": -1}):
+        with pytest.raises(ValueError):
+            packing.pack(docs, **wrong)
+
+
+def test_formatted_turns_pack_under_all_three_limits(spark):
+    r = random.Random(3)
+    turns = [(c, t, ("user", "assistant")[t % 2], " ".join(r.choice(["yes", "no", "maybe so", "日本"]) for _ in range(r.randint(0, 60)))) for c in range(80) for t in range(4)]
+    df = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string")
+    formatted = chat.format_turns(df).select((F.col("conv_id") * 10 + F.col("turn")).alias("doc_id"), "ids", "loss_mask").cache()
+    items = {x["doc_id"]: (x["ids"], x["loss_mask"]) for x in formatted.collect()}
+    rows = packing.pack(formatted, "ids", "loss_mask", max_tokens=256, max_segments=6, max_loss=90).collect()
+    parts, tokens, segments, loss = defaultdict(list), defaultdict(int), defaultdict(int), defaultdict(int)
+    for p in rows:
+        ids, mask = items[p["doc_id"]]
+        stop = p["start"] + p["length"]
+        assert p["ids"] == ids[4 * p["start"] : 4 * stop]
+        parts[p["doc_id"]].append((p["start"], stop))
+        s = p["sequence_id"]
+        tokens[s] += p["length"]
+        segments[s] += 1
+        loss[s] += sum(mask[p["start"] : stop])
+    assert max(tokens.values()) <= 256 and max(segments.values()) <= 6 and max(loss.values()) <= 90
+    # each of the limits is the scarce thing somewhere
+    assert 6 in segments.values() and 90 in loss.values()
+    for k, (ids, _) in items.items():
+        cut = sorted(parts[k])
+        assert cut[0][0] == 0 and cut[-1][1] == len(ids) // 4 and all(a[1] == b[0] for a, b in zip(cut, cut[1:]))
