@@ -22,17 +22,22 @@ RECORD = (
 )
 
 
-def _typed(json: Column, field: T.StructField, required: bool, place: str) -> Column:
-    """One value of a JSON object: an explicit null is null, an absent one an error where required."""
+_OBJECT = "map<string,string>"
+
+
+def _typed(values: Column, field: T.StructField, required: bool, place: str) -> Column:
+    """One value of a parsed JSON object: an explicit null is null, an absent one an error where required."""
+    text = F.try_element_at(values, F.lit(field.name))
     if isinstance(field.dataType, (T.ArrayType, T.StructType, T.MapType)):
-        value = F.from_json(json, T.StructType([field]), {"mode": "FAILFAST"})[field.name]
-    else:  # services write 64-bit numbers as strings, bytes in base64
-        text = F.get_json_object(json, f"$['{field.name}']")
-        value = F.unbase64(text) if isinstance(field.dataType, T.BinaryType) else text.cast(field.dataType)
+        value = F.from_json(text, field.dataType, {"mode": "FAILFAST"})
+    elif isinstance(field.dataType, T.BinaryType):
+        value = F.unbase64(text)
+    else:  # services write 64-bit numbers as strings
+        value = text.cast(field.dataType)
     if not required:
         return value
-    present = F.array_contains(F.json_object_keys(json), field.name)
-    return F.when(F.coalesce(present, F.lit(False)), value).otherwise(F.raise_error(F.lit(f"{place} lacks {field.name}")).cast(field.dataType))
+    present = F.coalesce(F.map_contains_key(values, F.lit(field.name)), F.lit(False))
+    return F.when(present, value).otherwise(F.raise_error(F.lit(f"{place} lacks {field.name}")).cast(field.dataType))
 
 
 def expand(records: DataFrame, schema: T.StructType, primary_key: Sequence[str], mode: str = "full") -> DataFrame:
@@ -41,7 +46,8 @@ def expand(records: DataFrame, schema: T.StructType, primary_key: Sequence[str],
     ``full`` gives whole rows: '+I', adjacent '-U' and '+U', '-D'. It needs records that
     capture new rows and old values; the row before an update is the row after it,
     overlaid with the old values. ``upsert`` gives '+I' and '+U' whole, and '-D' with the
-    key alone. A record whose mods cannot all be converted fails the query.
+    key alone. A record whose mods cannot all be converted fails the query. Each JSON
+    object is parsed once.
     """
     if mode not in ("full", "upsert"):
         raise ValueError(f"no changelog mode {mode}")
@@ -52,23 +58,19 @@ def expand(records: DataFrame, schema: T.StructType, primary_key: Sequence[str],
     if mode == "full":
         refuse = F.raise_error(F.lit("a full changelog needs new rows and old values")).cast("boolean")
         records = records.filter(F.when(F.col("capture_type") == "NEW_ROW_AND_OLD_VALUES", True).otherwise(refuse))
-    flat = records.select("table", "commit_ts", "commit_nanos", "record_sequence", "mod_type", F.posexplode("mods").alias("mod_number", "m"))
+    parsed = F.transform("mods", lambda m: F.struct(*[F.from_json(m[c], _OBJECT).alias(c) for c in ("keys", "new_values", "old_values")]))
+    flat = records.select("table", "commit_ts", "commit_nanos", "record_sequence", "mod_type", F.posexplode(parsed).alias("mod_number", "m"))
 
     def row(kind: str, source: str) -> Column:
         values = {f.name: _typed(F.col("m.keys"), f, True, "keys") for f in key}
         for f in rest:
-            new = _typed(F.col("m.new_values"), f, source == "new", "new values")
+            new = _typed(F.col("m.new_values"), f, source in ("new", "overlay"), "new values")
             old = _typed(F.col("m.old_values"), f, source == "old_row", "old values")
-            if source == "new":
-                value = new
-            elif source == "old_row":
-                value = old
-            elif source == "overlay":
-                changed = F.coalesce(F.array_contains(F.json_object_keys("m.old_values"), f.name), F.lit(False))
-                value = F.when(changed, old).otherwise(_typed(F.col("m.new_values"), f, True, "new values"))
+            if source == "overlay":
+                changed = F.coalesce(F.map_contains_key("m.old_values", F.lit(f.name)), F.lit(False))
+                values[f.name] = F.when(changed, old).otherwise(new)
             else:
-                value = F.lit(None).cast(f.dataType)
-            values[f.name] = value
+                values[f.name] = {"new": new, "old_row": old}.get(source, F.lit(None).cast(f.dataType))
         return F.struct(F.lit(kind).alias(ROW_KIND), *[values[f.name].alias(f.name) for f in schema.fields])
 
     mod = F.col("mod_type")
@@ -84,6 +86,37 @@ def expand(records: DataFrame, schema: T.StructType, primary_key: Sequence[str],
     return out.select(F.col(f"r.{ROW_KIND}").alias(ROW_KIND), *[F.col(f"r.{f.name}").alias(f.name) for f in schema.fields], "commit_ts", "commit_nanos", "record_sequence", "mod_number", F.col("_n").cast("long").alias("row_number"))
 
 
+#: One change record as JSON, as services with a JSON dialect give it.
+JSON_RECORD = "table_name string, commit_timestamp timestamp, record_sequence string, mod_type string, value_capture_type string, mods array<struct<keys:string,new_values:string,old_values:string>>"
+
+
+def decode_json_records(records: DataFrame, column: str = "record") -> DataFrame:
+    """Change records written as JSON, in the columns of ``RECORD``; what is no such record fails the query.
+
+    The values of a mod may be JSON objects or strings that hold them.
+    """
+    r = F.from_json(F.col(column), JSON_RECORD, {"mode": "FAILFAST", "timeZone": "UTC"})
+    ts = F.get_json_object(column, "$.commit_timestamp")
+    # digits behind the microseconds, which a timestamp does not hold
+    digits = F.rpad(F.regexp_extract(ts, r"\.([0-9]+)", 1), 9, "0")
+    parsed = records.withColumns({"_r": r, "_below": F.when(digits != "", F.substring(digits, 7, 3).cast("long")).otherwise(F.lit(0))})
+    return parsed.select(
+        F.col("_r.table_name").alias("table"),
+        F.col("_r.commit_timestamp").alias("commit_ts"),
+        (F.unix_micros("_r.commit_timestamp") * 1000 + F.col("_below")).alias("commit_nanos"),
+        F.col("_r.record_sequence").alias("record_sequence"),
+        F.col("_r.mod_type").alias("mod_type"),
+        F.col("_r.value_capture_type").alias("capture_type"),
+        F.col("_r.mods").alias("mods"),
+    )
+
+
+def envelope(mutations: DataFrame) -> DataFrame:
+    """Every entry of every mutation as one inserted row, in order, with its mutation's own columns; see ``ENTRIES``."""
+    carried = [c for c in mutations.columns if c != "entries"]
+    return mutations.select(F.lit("+I").alias(ROW_KIND), *carried, F.inline(F.array_sort("entries")))
+
+
 def from_versions(versions: DataFrame, key: Sequence[str], order: Sequence[str], values: Sequence[str], deleted: Column, mode: str = "full") -> DataFrame:
     """The changelog between successive versions of each key.
 
@@ -137,15 +170,53 @@ def materialize_by_sequence(changes: DataFrame, key: Sequence[str], sequence: st
     return materialize(changes.withColumn("_sequence", valid), key, ["_sequence", ingestion]).drop("_sequence")
 
 
+#: What a stored table keeps beside its columns: the order of each key's last change, and whether that deleted it.
+ORDER, DELETED = "_order", "_deleted"
+
+
+def stored(target: DataFrame, order: Sequence[Column | str], changes: DataFrame) -> DataFrame:
+    """``target`` in the layout that ``merge`` keeps; rows of a plain table are older than any change."""
+    if {ORDER, DELETED} <= set(target.columns):
+        return target
+    kind = changes.limit(0).select(_place(order).alias(ORDER)).schema[ORDER].dataType
+    return target.select("*", F.lit(None).cast(kind).alias(ORDER), F.lit(False).alias(DELETED))
+
+
+def visible(table: DataFrame) -> DataFrame:
+    """The rows of a stored table, without deleted ones and without their order."""
+    return table.filter(~F.col(DELETED)).drop(ORDER, DELETED)
+
+
+def _place(order: Sequence[Column | str]) -> Column:
+    return F.struct(*[(F.col(o) if isinstance(o, str) else o).alias(f"o{i}") for i, o in enumerate(order)])
+
+
 def merge(target: DataFrame, changes: DataFrame, key: Sequence[str], order: Sequence[Column | str]) -> DataFrame:
-    """``target`` after ``changes``: each key's last change replaces or removes its row."""
-    names = target.columns
-    rest = [c for c in changes.columns if c not in set(key)]
-    place = F.struct(*[F.col(o) if isinstance(o, str) else o for o in order])
-    last = upsert_kinds(changes).groupBy(*key).agg(F.max_by(F.struct(*rest), place).alias("_last"))
-    untouched = target.join(last.select(*key), list(key), "left_anti")
-    fresh = last.filter(F.col(f"_last.{ROW_KIND}") != "-D").select(*[F.col(c) if c in set(key) else F.col(f"_last.{c}").alias(c) for c in names])
-    return untouched.unionByName(fresh)
+    """The stored table after ``changes``: each key keeps its change of highest order, whenever it came.
+
+    A change replaces what is stored only if its order is not lower, so a late update
+    loses against a newer row, and a late insert against a newer deletion; deleted keys
+    stay as tombstones for that. Of equal orders the later batch wins. Read the result
+    with ``visible``. Rows of untouched keys pass by a join with the keys alone; only
+    touched rows and changes are shuffled.
+    """
+    before = stored(target, order, changes)
+    names = [c for c in before.columns if c not in (ORDER, DELETED)]
+    rest = [c for c in names if c not in set(key)]
+    null = lambda c: F.lit(None).cast(before.schema[c].dataType)
+    given = upsert_kinds(changes).select(
+        *key,
+        F.struct(_place(order).alias(ORDER), F.lit(1).alias("batch")).alias("_at"),
+        F.struct(*[(F.col(c) if c in changes.columns else null(c)).cast(before.schema[c].dataType).alias(c) for c in rest], (F.col(ROW_KIND) == "-D").alias(DELETED)).alias("_row"),
+    )
+    last = given.groupBy(*key).agg(F.max("_at").alias("_at"), F.max_by("_row", "_at").alias("_row"))
+    same = [before[k].eqNullSafe(last[k]) for k in key]
+    touched = before.join(last.select(*key), same, "left_semi").select(
+        *key, F.struct(F.col(ORDER), F.lit(0).alias("batch")).alias("_at"), F.struct(*rest, F.col(DELETED)).alias("_row")
+    )
+    decided = touched.unionByName(last).groupBy(*key).agg(F.max("_at").alias("_at"), F.max_by("_row", "_at").alias("_row"))
+    fresh = decided.select(*key, *[F.col(f"_row.{c}").alias(c) for c in rest], F.col(f"_at.{ORDER}").alias(ORDER), F.col(f"_row.{DELETED}").alias(DELETED))
+    return before.join(last.select(*key), same, "left_anti").unionByName(fresh)
 
 
 # -- selected cells

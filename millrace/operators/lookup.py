@@ -8,11 +8,15 @@ still broadcast by its own statistics.
 
 from __future__ import annotations
 
+import time
+from collections import OrderedDict
 from collections.abc import Callable, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 #: Rows of a table that is small enough to be sent to every executor.
 BROADCAST_ROWS = 100_000
@@ -35,7 +39,8 @@ def lookup(probe: DataFrame, table: DataFrame, on: dict[str, str], key: Sequence
     """Joins by ``on``: probe column -> key column of the table.
 
     ``table_filter`` is applied to the table before the join. ``cache`` = "full" keeps
-    the table in executor memory for repeated use and broadcasts it if small.
+    the table in executor memory for repeated use and broadcasts it if small, which is
+    counted now; ``ReloadingTable`` bounds how long it is kept.
     """
     if how not in ("left", "inner"):
         raise ValueError("lookups are left or inner joins")
@@ -50,29 +55,72 @@ def lookup(probe: DataFrame, table: DataFrame, on: dict[str, str], key: Sequence
     return probe.join(renamed, condition, how).drop(*[f"_key_{k}" for k in key])
 
 
-def remote_lookup(probe: DataFrame, columns: Sequence[str], fetch: Callable[[list[tuple]], list[tuple | None]], schema: T.StructType, batch: int = 256, cache_rows: int = 10_000) -> DataFrame:
-    """Looks keys up through a client call, a batch of distinct keys at a time.
+class ReloadingTable:
+    """A table kept in executor memory and loaded anew once it is older than ``ttl_seconds``.
 
-    ``fetch`` maps keys to rows (or None). Each task remembers its most recent answers,
-    misses included. Keys holding a null are never asked for.
+    For lookups from ``foreachBatch``: ``current`` is asked in each micro-batch, and
+    whatever it replaces is released. Without a ttl it never expires.
     """
-    out_schema = T.StructType(probe.schema.fields + schema.fields)
-    names = [f.name for f in schema.fields]
 
-    def run(frames):
-        import pandas as pd
+    def __init__(self, load: Callable[[], DataFrame], ttl_seconds: float | None = None, clock: Callable[[], float] = time.monotonic):
+        self._load, self._ttl, self._clock = load, ttl_seconds, clock
+        self._table, self._loaded_at = None, 0.0
+
+    def current(self) -> DataFrame:
+        if self._table is None or (self._ttl is not None and self._clock() - self._loaded_at >= self._ttl):
+            fresh = self._load().cache()
+            self.release()
+            self._table, self._loaded_at = fresh, self._clock()
+        return self._table
+
+    def release(self) -> None:
+        if self._table is not None:
+            self._table.unpersist()
+            self._table = None
+
+
+def remote_lookup(
+    probe: DataFrame,
+    columns: Sequence[str],
+    fetch: Callable[[list[tuple]], list[tuple | None]],
+    schema: T.StructType,
+    batch: int = 256,
+    cache_rows: int = 10_000,
+    ttl_seconds: float | None = None,
+    cache_misses: bool = True,
+) -> DataFrame:
+    """Looks keys up through a client call, a batch of distinct keys at a time.
 
-        known: dict[tuple, tuple | None] = {}
-        for pdf in frames:
-            keys = [tuple(k) for k in pdf[list(columns)].astype(object).where(pdf[list(columns)].notna(), None).itertuples(index=False)]
+    ``fetch`` maps keys, in Python's types, to rows (or None). Each task remembers the
+    answers that it used last, up to ``cache_rows`` and no longer than ``ttl_seconds``;
+    ``cache_misses`` says whether also that there is none. Keys holding a null are never
+    asked for. Probe columns pass through untouched.
+    """
+    names = [f.name for f in schema.fields]
+    kinds = [f.type for f in to_arrow_schema(schema)]
+
+    def run(batches):
+        known: OrderedDict[tuple, tuple[float, tuple | None]] = OrderedDict()
+        for rows in batches:
+            keys = list(zip(*(rows.column(c).to_pylist() for c in columns)))
+            now = time.monotonic()
+            if ttl_seconds is not None:
+                for k in [k for k in dict.fromkeys(keys) if k in known and now - known[k][0] >= ttl_seconds]:
+                    del known[k]
             new = list(dict.fromkeys(k for k in keys if None not in k and k not in known))
             for s in range(0, len(new), batch):
                 part = new[s : s + batch]
-                known.update(zip(part, fetch(part)))
-            rows = [known.get(k) for k in keys]
-            found = pd.DataFrame([r if r is not None else [None] * len(names) for r in rows], columns=names, index=pdf.index)
-            yield pd.concat([pdf, found], axis=1)
-            for k in list(known)[: max(0, len(known) - cache_rows)]:
-                del known[k]
-
-    return probe.mapInPandas(run, out_schema)
+                known.update((k, (now, row)) for k, row in zip(part, fetch(part)))
+            for k in dict.fromkeys(keys):
+                if k in known:
+                    known.move_to_end(k)
+            found = [known[k][1] if k in known else None for k in keys]
+            values = [pa.array([r[i] if r is not None else None for r in found], kind) for i, kind in enumerate(kinds)]
+            yield pa.RecordBatch.from_arrays([*rows.columns, *values], names=[*rows.schema.names, *names])
+            if not cache_misses:
+                for k in [k for k, (_, row) in known.items() if row is None]:
+                    del known[k]
+            while len(known) > cache_rows:
+                known.popitem(last=False)
+
+    return probe.mapInArrow(run, T.StructType(probe.schema.fields + schema.fields))

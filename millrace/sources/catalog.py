@@ -1,24 +1,37 @@
-"""Tables declared by connector name and options, as temporary views for SQL."""
+"""Tables declared by connector name and options: read as views, written by inserts."""
 
 from __future__ import annotations
 
-from datetime import timedelta
+import base64
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from ..operators import cells, routing
+from ..operators.changelog import ROW_KIND
 from ..plans import ranges
 from ..plans.positions import QueryResults
-from . import kv, warehouse
+from ..streaming import bus
+from . import kv, relational, warehouse
+from .files import exists
 
 # Beginnings of options that only tune a remote transport; they change nothing here.
 TRANSPORT = ("sink.retry", "sink.recovery", "scan.ack", "scan.flow-control", "scan.shutdown", "sink.in-flight", "sink.channel-pool", "emulator", "service-account", "scan.parallel-pull", "sink.default-stream")
 
+# Options of the connectors.
 _KNOWN = {
-    "warehouse": {"path", "source.query", "source.row-restriction", "source.snapshot-time", "source.max-stream-count", "source.reuse-query-result-within", "source.result-folder", "columns", "key", "version-time"},
-    "kv": {"path", "families", "scan.row-ranges", "scan.row-prefix", "scan.row-range.start-closed", "scan.row-range.end-open", "scan.row-key-encoding", "scan.timestamp-micros", "key-type"},
-    "relational": {"path", "columns", "scan.timestamp-bound.read-timestamp", "key", "version-time"},
+    "warehouse": {
+        "path", "source.query", "source.row-restriction", "source.snapshot-time", "source.max-stream-count", "source.reuse-query-result-within", "source.result-folder", "columns", "key", "version-time", "deleted",
+        "sink.create-disposition", "sink.file-loads.write-disposition", "sink.table-create.clustered-fields", "sink.table-create.time-partitioning.field", "sink.table-create.time-partitioning.type",
+    },
+    "kv": {"path", "families", "scan.row-ranges", "scan.row-prefix", "scan.row-range.start-closed", "scan.row-range.end-open", "scan.row-key-encoding", "scan.timestamp-micros", "key-type", "key-column"},
+    "relational": {"path", "columns", "scan.timestamp-bound.read-timestamp", "scan.timestamp-bound.exact-staleness", "scan.query", "key", "version-time", "deleted", "order"},
+    "bus": {"topic", "subscription", "format", "schema", "scan.deserialization-failure-policy", "scan.startup.mode", "scan.startup.timestamp-millis", "scan.auto-create.filter", "scan.ordering-mode", "sink.message-ordering.enabled", "ordering-key", "attributes"},
+    "tasks": {"queue", "http.url", "http.method", "http.headers", "app-engine.relative-uri", "app-engine.service", "app-engine.version", "app-engine.instance", "name-column", "body"},
 }
+_PARTITION_UNITS = {"HOUR": "hour", "DAY": "day", "MONTH": "month", "YEAR": "year"}
 
 
 def check_options(connector: str, options: dict[str, str]) -> dict[str, str]:
@@ -31,34 +44,162 @@ def check_options(connector: str, options: dict[str, str]) -> dict[str, str]:
     return real
 
 
+def _names(text: str | None) -> list[str]:
+    return [c.strip() for c in (text or "").split(",") if c.strip()]
+
+
+def _families(text: str) -> dict[str, dict[str, str]]:
+    """``family:qualifier type,qualifier type;family:...``"""
+    return {f.strip(): dict(q.strip().split(" ") for q in qualifiers.split(",")) for f, qualifiers in (p.split(":") for p in text.split(";"))}
+
+
+def _needs(connector: str, o: dict[str, str], *names: str) -> None:
+    if missing := [n for n in names if n not in o]:
+        raise ValueError(f"{connector} needs {missing}")
+
+
+def _key_ranges(o: dict[str, str]) -> list[ranges.KeyRange] | None:
+    encoding = o.get("scan.row-key-encoding", "utf8").lower()
+    key = lambda text: base64.b64decode(text, validate=True) if encoding == "base64" else text.encode()
+    start, end = o.get("scan.row-range.start-closed"), o.get("scan.row-range.end-open")
+    if sum((("scan.row-ranges" in o), ("scan.row-prefix" in o), start is not None or end is not None)) > 1:
+        raise ValueError("row ranges, a row prefix and range bounds exclude each other")
+    if "scan.row-ranges" in o:
+        return ranges.parse(o["scan.row-ranges"], encoding)
+    if "scan.row-prefix" in o:
+        return [ranges.prefix(key(o["scan.row-prefix"]))]
+    if start is not None or end is not None:
+        return [ranges.KeyRange(key(start or ""), key(end) if end else None)]
+    return None
+
+
+def _versions_at(df: DataFrame, o: dict[str, str], at) -> DataFrame:
+    deleted = F.expr(o["deleted"]) if "deleted" in o else None
+    return warehouse.snapshot(df, _names(o["key"]), o["version-time"], at, deleted)
+
+
 def table(spark: SparkSession, connector: str, options: dict[str, str]) -> DataFrame:
+    """A table's rows; a topic's are a stream under ``scan.startup.mode``, otherwise what it holds now.
+
+    A restriction applies to the rows that a snapshot or a query gives, never before.
+    """
     o = check_options(connector, options)
-    columns = [c.strip() for c in o["columns"].split(",")] if "columns" in o else None
     if connector == "kv":
-        families = {f: dict(q.split(" ") for q in quals.split(",")) for f, quals in (p.split(":") for p in o["families"].split(";"))}
-        encoding = o.get("scan.row-key-encoding", "utf8").lower()
-        chosen = None
-        if "scan.row-ranges" in o:
-            chosen = ranges.parse(o["scan.row-ranges"], encoding)
-        elif "scan.row-prefix" in o:
-            chosen = [ranges.prefix(o["scan.row-prefix"].encode())]
-        elif {"scan.row-range.start-closed", "scan.row-range.end-open"} & set(o):
-            end = o.get("scan.row-range.end-open")
-            chosen = [ranges.KeyRange(o.get("scan.row-range.start-closed", "").encode(), end.encode() if end else None)]
-        return kv.scan(spark, o["path"], families, chosen, int(o["scan.timestamp-micros"]) if "scan.timestamp-micros" in o else None, o.get("key-type", "string"))
+        _needs(connector, o, "path", "families")
+        return kv.scan(spark, o["path"], _families(o["families"]), _key_ranges(o), int(o["scan.timestamp-micros"]) if "scan.timestamp-micros" in o else None, o.get("key-type", "string"))
+    if connector == "bus":
+        return _topic(spark, o)
+    if connector == "tasks":
+        raise ValueError("tasks can only be written")
+    columns = _names(o["columns"]) if "columns" in o else None
+    restriction = o.get("source.row-restriction")
+    query = o.get("source.query") or o.get("scan.query")
     at = o.get("source.snapshot-time") or o.get("scan.timestamp-bound.read-timestamp")
-    if "source.query" in o:
+    stale = o.get("scan.timestamp-bound.exact-staleness")
+    if stale:
+        if at:
+            raise ValueError("either a read timestamp or a staleness")
+        at = datetime.now(timezone.utc) - timedelta(seconds=float(stale.removesuffix("s")))
+    if query:
+        if at:
+            raise ValueError("a query has no snapshot")
         if "source.reuse-query-result-within" in o:
+            _needs(connector, o, "source.result-folder")
             window = timedelta(seconds=float(o["source.reuse-query-result-within"]))
-            return QueryResults(spark, o["source.result-folder"], window).query("query", o["source.query"])
-        return spark.sql(o["source.query"])
-    if at:
-        base = warehouse.scan(spark, o["path"], None, o.get("source.row-restriction"))
-        df = warehouse.snapshot(base, o["key"].split(","), o["version-time"], F.lit(at).cast("timestamp"))
-        return df.select(*columns) if columns else df
-    streams = int(o["source.max-stream-count"]) if "source.max-stream-count" in o else None
-    return warehouse.scan(spark, o["path"], columns, o.get("source.row-restriction"), streams)
+            df = QueryResults(spark, o["source.result-folder"], window).query("query", query)
+        else:
+            df = spark.sql(query)
+    else:
+        _needs(connector, o, "path")
+        if not at:
+            streams = int(o["source.max-stream-count"]) if "source.max-stream-count" in o else None
+            return warehouse.scan(spark, o["path"], columns, restriction, streams)
+        _needs(connector, o, "key", "version-time")
+        instant = F.lit(at).cast("timestamp")
+        df = _versions_at(spark.read.parquet(o["path"]), o, instant)
+    df = df.where(restriction) if restriction else df
+    return df.select(*columns) if columns else df
+
+
+def _topic(spark: SparkSession, o: dict[str, str]) -> DataFrame:
+    _needs("bus", o, "topic")
+    start = None
+    if "scan.startup.timestamp-millis" in o:
+        start = datetime.fromtimestamp(int(o["scan.startup.timestamp-millis"]) / 1000, timezone.utc)
+    if "scan.startup.mode" in o:
+        messages = bus.subscribe(spark, o["topic"], o.get("scan.auto-create.filter"), start, subscription=o.get("subscription", "default"))
+    else:
+        messages = spark.read.schema(bus.MESSAGE).parquet(o["topic"])
+        messages = messages.filter(F.col("publish_time") >= F.lit(start)) if start else messages
+        messages = messages.where(o["scan.auto-create.filter"]) if "scan.auto-create.filter" in o else messages
+        if o.get("scan.ordering-mode", "").upper() == "PER_KEY":
+            messages = bus.per_key_order(messages)
+    if o.get("format", "raw") == "raw":
+        return messages
+    _needs("bus", o, "schema")
+    return bus.decode_json(messages, o["schema"], o.get("scan.deserialization-failure-policy", "fail"))
 
 
 def create_view(spark: SparkSession, name: str, connector: str, options: dict[str, str]) -> None:
     table(spark, connector, options).createOrReplaceTempView(name)
+
+
+def insert(df: DataFrame, connector: str, options: dict[str, str]) -> None:
+    """Writes rows to a table by its options; for a changelog they have ``_row_kind``."""
+    o = check_options(connector, options)
+    if connector == "warehouse":
+        _needs(connector, o, "path")
+        unit, field = o.get("sink.table-create.time-partitioning.type", "DAY"), o.get("sink.table-create.time-partitioning.field")
+        warehouse.write(
+            df,
+            o["path"],
+            o.get("sink.file-loads.write-disposition", "append").lower().replace("write-", ""),
+            o.get("sink.create-disposition", "if_needed").lower().replace("create-", "").replace("-", "_"),
+            F.date_trunc(_PARTITION_UNITS[unit], field).cast("date" if unit != "HOUR" else "timestamp") if field else None,
+            _names(o.get("sink.table-create.clustered-fields")),
+        )
+    elif connector == "kv":
+        _needs(connector, o, "path", "families", "key-column")
+        families = _families(o["families"])
+        places = {(f, q): q for f, qualifiers in families.items() for q in qualifiers}
+        stamp = F.lit(int(o["scan.timestamp-micros"])).cast("bigint") if "scan.timestamp-micros" in o else F.unix_micros(F.current_timestamp())
+        kv.store(cells.to_cells(df, F.col(o["key-column"]), families, places, stamp), o["path"], mode="append")
+    elif connector == "relational":
+        _needs(connector, o, "path")
+        if ROW_KIND not in df.columns:
+            df.write.mode("append").parquet(o["path"])
+            return
+        _needs(connector, o, "key", "order")
+        # a table is followed in versions: the next one never overwrites what it reads
+        versions = o["path"].rstrip("/")
+        done = relational.versions(df.sparkSession, versions)
+        before = df.sparkSession.read.parquet(done[max(done)]) if done else None
+        relational.next_version(before, df, versions, max(done, default=-1) + 1, _names(o["key"]), _names(o["order"]))
+    elif connector == "bus":
+        _needs(connector, o, "topic")
+        own = [c for c in (o.get("ordering-key"), o.get("attributes")) if c]
+        ordered = o.get("sink.message-ordering.enabled", "true").lower() == "true"
+        body = F.to_json(F.struct(*[c for c in df.columns if c not in own])) if o.get("format", "raw") == "json" else F.col("payload")
+        bus.publish(df.select(*bus.message(body, F.col(o["attributes"]) if "attributes" in o else None, F.col(o["ordering-key"]) if "ordering-key" in o and ordered else None)), o["topic"])
+    else:
+        _insert_tasks(df, o)
+
+
+def _insert_tasks(df: DataFrame, o: dict[str, str]) -> None:
+    """Tasks with a name are written once, however often they are inserted."""
+    _needs("tasks", o, "queue")
+    body = F.col(o["body"]) if "body" in o else F.to_json(F.struct("*"))
+    name = F.col(o["name-column"]) if "name-column" in o else None
+    if ("http.url" in o) == ("app-engine.relative-uri" in o):
+        raise ValueError("tasks need either http.url or app-engine.relative-uri")
+    if "http.url" in o:
+        headers = F.create_map(*[F.lit(x) for pair in o["http.headers"].split(",") for x in pair.split(":", 1)]) if "http.headers" in o else None
+        task = routing.http_task(F.lit(o["http.url"]), body, o.get("http.method", "POST"), headers, dedupe_key=name)
+        rows = df.select(task.alias("t")).select("t.*")
+    else:
+        part = lambda n: F.lit(o[n]) if n in o else None
+        task = routing.app_engine_task(F.lit(o["app-engine.relative-uri"]), body, part("app-engine.service"), part("app-engine.version"), part("app-engine.instance"))
+        rows = df.select((F.sha2(name, 256) if name is not None else F.lit(None).cast("string")).alias("task_id"), task.alias("t")).select("task_id", "t.*")
+    spark = df.sparkSession
+    existing = spark.read.schema(T.StructType([T.StructField("task_id", T.StringType())])).parquet(o["queue"]) if exists(spark, o["queue"]) else None
+    routing.deduplicated_tasks(rows, existing).write.mode("append").parquet(o["queue"])

@@ -23,3 +23,8 @@ def finished_folders(spark: SparkSession, folder: str, prefix: str) -> dict[int,
         parent = status.getPath().getParent()
         out[int(parent.getName()[len(prefix) :])] = parent.toString()
     return out
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    fs, p = _fs(spark, path)
+    fs.delete(p, True)

@@ -8,8 +8,9 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.changelog import ROW_KIND, merge
+from ..operators.changelog import DELETED, ORDER, ROW_KIND, merge, stored, visible
 from ..plans.keysets import Condition, select
+from .files import finished_folders
 
 
 @dataclass
@@ -51,8 +52,56 @@ def index_scan(spark: SparkSession, index: Index, columns: Sequence[str], condit
 
 
 def upsert(target: DataFrame, changes: DataFrame, primary_key: Sequence[str], order: Sequence[Column | str]) -> DataFrame:
-    """The table after a changelog; without a primary key only inserts are possible."""
+    """The table after a changelog; without a primary key only inserts are possible.
+
+    A stored table (see ``changelog.merge``) stays one and never loses a newer change to
+    a late one; a plain table's rows are older than any change.
+    """
     if not primary_key:
         bad = F.when(F.col(ROW_KIND) == "+I", F.col(ROW_KIND)).otherwise(F.raise_error(F.lit("a table without key only takes inserts")).cast("string"))
         return target.unionByName(changes.withColumn(ROW_KIND, bad).filter(f"{ROW_KIND} = '+I'").select(*target.columns))
-    return merge(target, changes, primary_key, order)
+    merged = merge(target, changes, primary_key, order)
+    return merged if {ORDER, DELETED} <= set(target.columns) else visible(merged)
+
+
+VERSION = "version-"
+
+
+def versions(spark: SparkSession, folder: str) -> dict[int, str]:
+    """The finished versions of a table that follows a changelog."""
+    return finished_folders(spark, folder, VERSION)
+
+
+def next_version(before: DataFrame | None, changes: DataFrame, folder: str, number: int, primary_key: Sequence[str], order: Sequence[str]) -> None:
+    """Writes the version after ``changes``; readers see it once it is finished."""
+    columns = [c for c in changes.columns if c != ROW_KIND]
+    target = before if before is not None else stored(changes.select(*columns).limit(0), order, changes)
+    merge(target, changes, primary_key, order).write.mode("overwrite").parquet(f"{folder}/{VERSION}{number}")
+
+
+def read_current(spark: SparkSession, folder: str) -> DataFrame:
+    done = versions(spark, folder)
+    if not done:
+        raise FileNotFoundError(f"no finished version below {folder}")
+    return visible(spark.read.parquet(done[max(done)]))
+
+
+#: What to do with a row that violates a constraint.
+VIOLATION_POLICIES = ("fail", "route")
+
+
+def checked(df: DataFrame, constraints: dict[str, Column], policy: str = "fail") -> tuple[DataFrame, DataFrame]:
+    """Rows that meet all constraints, and those that do not with the names of what they violate.
+
+    Under ``fail`` the first violation fails the query and the second part is empty;
+    under ``route`` the violators are for a dead-letter table. A null is no violation.
+    """
+    if policy not in VIOLATION_POLICIES:
+        raise ValueError(f"no constraint-violation policy {policy}")
+    broken = F.array_compact(F.array(*[F.when(~F.coalesce(c, F.lit(True)), F.lit(n)) for n, c in constraints.items()]))
+    tried = df.withColumn("_violates", broken)
+    if policy == "fail":
+        refuse = F.raise_error(F.concat(F.lit("constraint violated: "), F.array_join("_violates", ", "))).cast("boolean")
+        good = tried.filter(F.when(F.size("_violates") == 0, True).otherwise(refuse))
+        return good.drop("_violates"), tried.limit(0).withColumnRenamed("_violates", "violates")
+    return tried.filter(F.size("_violates") == 0).drop("_violates"), tried.filter(F.size("_violates") > 0).withColumnRenamed("_violates", "violates")

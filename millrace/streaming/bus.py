@@ -6,9 +6,10 @@ checkpoint says what it has acknowledged, which happens when a batch is complete
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 MESSAGE = "payload binary, attributes map<string,string>, ordering_key string, message_id string, publish_time timestamp"
@@ -66,6 +67,29 @@ def per_key_order(batch: DataFrame) -> DataFrame:
     return batch.withColumn("_spread", spread).repartition("_spread").sortWithinPartitions("ordering_key", "publish_time", "message_id").drop("_spread")
 
 
+def split_owners(subscriptions: DataFrame, parallelism: int, ordering: str = "per_key", name: str = "subscription") -> DataFrame:
+    """Which reader owns which part of which subscription: split, subscription, owner.
+
+    With ordering ``per_key`` a subscription is one split, so that its keys stay
+    together; with ``none`` there are at least as many splits as readers. Splits go
+    round the readers in turn. Subscriptions are what a user lists, one row each.
+    """
+    if ordering not in ("per_key", "none"):
+        raise ValueError(f"no ordering mode {ordering}")
+    numbered = subscriptions.select(name).distinct().withColumn("_n", F.row_number().over(Window.orderBy(name)) - 1).withColumn("_of", F.count("*").over(Window.partitionBy()))
+    splits = F.col("_of") if ordering == "per_key" else F.greatest("_of", F.lit(parallelism))
+    own = F.sequence(F.col("_n").cast("long"), splits.cast("long") - 1, F.col("_of").cast("long"))
+    return numbered.select(F.explode(own).alias("split"), F.col(name).alias("subscription")).withColumn("owner", F.col("split") % parallelism)
+
+
+def expand(messages: DataFrame, records: Callable[[Column], Column], name: str = "record") -> DataFrame:
+    """Each message as the records that its payload holds, none to many; ``records`` makes an array of them.
+
+    A message whose array is empty or null gives no row.
+    """
+    return messages.select("*", F.explode(records(F.col("payload"))).alias(name))
+
+
 def decode_json(messages: DataFrame, schema: str, policy: str = "fail") -> DataFrame:
     """Payload fields beside the message's own columns.
 

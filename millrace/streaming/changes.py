@@ -31,13 +31,14 @@ def release_to_frontier(batch: DataFrame, held: DataFrame | None, ledger: DataFr
     """Records that no unfinished partition can precede any more, and those that have to wait.
 
     Everything up to the frontier goes out, so a zero-delay watermark on what is
-    released drops nothing that may still come.
+    released drops nothing that may still come. A record without commit time waits, as
+    nothing says that it is due.
     """
     waiting = batch if held is None else held.unionByName(batch)
     limit = frontier(ledger).first()[0]  # the ledger folds to one number
     if limit is None:
         return waiting, waiting.limit(0)
-    due = F.unix_millis("commit_ts") <= limit
+    due = F.coalesce(F.unix_millis("commit_ts") <= limit, F.lit(False))
     return waiting.filter(due), waiting.filter(~due)
 
 

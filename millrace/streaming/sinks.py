@@ -10,12 +10,13 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
-from ..operators.changelog import merge
-from ..sources.files import finished_folders
+from ..operators.changelog import merge, stored, visible
+from ..sources.files import finished_folders, remove
 
-BATCH = "batch-"
+BATCH, MANIFEST = "batch-", "manifest-"
 
 
 def append_once(stream: DataFrame, folder: str) -> DataStreamWriter:
@@ -38,32 +39,67 @@ def committed(spark: SparkSession, folder: str, schema=None) -> DataFrame:
     return spark.read.parquet(*paths)
 
 
-def upsert_once(changes: DataFrame, folder: str, key: Sequence[str], order: Sequence[Column | str], columns: Sequence[str]) -> DataStreamWriter:
+#: Parts of a keyed table that are rewritten separately.
+BUCKETS = 256
+
+
+def upsert_once(changes: DataFrame, folder: str, key: Sequence[str], order: Sequence[Column | str], columns: Sequence[str], buckets: int = BUCKETS) -> DataStreamWriter:
     """A keyed table that follows a changelog; read with ``current``.
 
-    Each batch makes the next version from the last finished one before it, so a batch
-    that is delivered again makes the same version again. Older versions than the last
-    two can be deleted at any time.
+    Rows lie in buckets of their key. A batch rewrites only the buckets that its keys
+    fall in, and then writes a manifest that names the folder of every bucket; the
+    manifest makes it visible, so a batch that is delivered again finds itself done or
+    replaces what an attempt has left. Each key keeps the order of its last change, so a
+    late change of a lower order never wins, whatever batch it comes in.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        done = finished_folders(spark, folder, BATCH)
+        done = finished_folders(spark, folder, MANIFEST)
         if batch_id in done:
             return
-        before = [p for b, p in sorted(done.items()) if b < batch_id]
-        target = spark.read.parquet(before[-1]) if before else batch.select(*columns).limit(0)
-        merge(target, batch, key, order).write.mode("overwrite").parquet(f"{folder}/{BATCH}{batch_id}")
+        before = max((b for b in done if b < batch_id), default=None)
+        held = dict(map(tuple, spark.read.parquet(done[before]).collect())) if before is not None else {}
+        bucket = F.pmod(F.xxhash64(*key), F.lit(buckets))
+        placed = batch.withColumn("_bucket", bucket).persist()
+        try:
+            touched = [r[0] for r in placed.select("_bucket").distinct().collect()]  # at most ``buckets``
+            paths = [held[b] for b in touched if b in held]
+            target = spark.read.parquet(*paths) if paths else stored(placed.select(*columns).limit(0), order, placed)
+            merged = merge(target, placed.drop("_bucket"), key, order)
+            data = f"{folder}/{BATCH}{batch_id}"
+            merged.withColumn("_bucket", bucket).repartition("_bucket").write.mode("overwrite").partitionBy("_bucket").parquet(data)
+            now = held | {b: f"{data}/_bucket={b}" for b in touched}
+            spark.createDataFrame(list(now.items()), "bucket long, path string").coalesce(1).write.mode("overwrite").parquet(f"{folder}/{MANIFEST}{batch_id}")
+        finally:
+            placed.unpersist()
 
     return changes.writeStream.foreachBatch(write)
 
 
-def current(spark: SparkSession, folder: str) -> DataFrame:
-    """The newest finished version."""
-    done = finished_folders(spark, folder, BATCH)
+def current(spark: SparkSession, folder: str, with_order: bool = False) -> DataFrame:
+    """The newest finished version; ``with_order`` shows tombstones and orders as well."""
+    done = finished_folders(spark, folder, MANIFEST)
     if not done:
         raise FileNotFoundError(f"no finished version below {folder}")
-    return spark.read.parquet(done[max(done)])
+    paths = [r["path"] for r in spark.read.parquet(done[max(done)]).collect()]
+    if not paths:
+        raise FileNotFoundError(f"the table below {folder} has no rows yet")
+    table = spark.read.parquet(*paths)
+    return table if with_order else visible(table)
+
+
+def clean(spark: SparkSession, folder: str, keep: int = 2) -> list[str]:
+    """Deletes what only versions before the last ``keep`` need, and says what that was."""
+    done = finished_folders(spark, folder, MANIFEST)
+    last = sorted(done)[-keep:]
+    used = {r["path"].rsplit("/", 1)[0].rsplit("/", 1)[1] for b in last for r in spark.read.parquet(done[b]).collect()}
+    old = [path for b, path in done.items() if b not in last]
+    # data of a batch that is not finished yet has a higher number
+    old += [path for b, path in finished_folders(spark, folder, BATCH).items() if last and b <= last[-1] and f"{BATCH}{b}" not in used]
+    for path in old:
+        remove(spark, path)
+    return old
 
 
 def for_each_once(stream: DataFrame, folder: str, act: Callable[[DataFrame, int], DataFrame]) -> DataStreamWriter:

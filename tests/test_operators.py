@@ -181,3 +181,98 @@ def test_type_names():
     with pytest.raises(ValueError):
         schemas.relational_type(T.IntegerType())
     assert "PRIMARY KEY (id) NOT ENFORCED" in schemas.ddl("t", T.StructType([T.StructField("id", T.LongType(), False)]), ["id"])
+
+
+CHANGE = "_row_kind string, k int, v string, o int"
+
+
+def test_a_late_change_never_wins(spark):
+    import itertools
+
+    batches = [[("+I", 1, "a", 1), ("+I", 2, "b", 2), ("+I", 4, "x", 3)], [("-D", 2, None, 9), ("+U", 1, "new", 8)], [("+U", 1, "old", 5), ("+I", 2, "again", 6), ("-D", 4, None, 2), ("+U", 3, "c", 1)], [("+U", None, "null key", 1)]]
+    for order in itertools.permutations(range(4)):
+        table = None
+        for n in order:
+            c = spark.createDataFrame(batches[n], CHANGE)
+            table = changelog.merge(table if table is not None else changelog.stored(c.select("k", "v").limit(0), ["o"], c), c, ["k"], ["o"])
+        assert sorted(map(str, map(tuple, changelog.visible(table).collect()))) == ["(1, 'new')", "(3, 'c')", "(4, 'x')", "(None, 'null key')"]
+        if order[0] != 0:
+            break
+    # equal orders: the later batch
+    c = spark.createDataFrame([("+U", 1, "later", 8)], CHANGE)
+    assert ("later",) in [(r["v"],) for r in changelog.visible(changelog.merge(table, c, ["k"], ["o"])).collect()]
+
+
+def test_remote_lookup_keeps_types_and_forgets(spark):
+    asked = []
+    big = 9007199254740993
+    probe = spark.createDataFrame([(big, 1.5), (None, None), (5, 2.5), (5, None)], "k long, w double").coalesce(1)
+    schema = T.StructType([T.StructField("v", T.LongType()), T.StructField("s", T.StringType())])
+
+    def fetch(ks):
+        assert all(type(k[0]) is int for k in ks)
+        return [(k[0], "x") if k[0] != 5 else None for k in ks]
+
+    rows = lookup.remote_lookup(probe, ["k"], fetch, schema).collect()
+    assert sorted(map(str, map(tuple, rows))) == sorted(map(str, [(big, 1.5, big, "x"), (None, None, None, None), (5, 2.5, None, None), (5, None, None, None)]))
+    # what was used last stays: key 0 is in every batch, the others pass by
+    import tempfile
+
+    log = tempfile.mkdtemp() + "/asked"
+    keys = [k for i in range(1, 40) for k in (0, i)]
+    df = spark.createDataFrame([(k,) for k in keys], "k long").coalesce(1)
+
+    def logged(ks):
+        with open(log, "a") as f:
+            f.write("".join(f"{k[0]}\n" for k in ks))
+        return [(k[0], "y") for k in ks]
+
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2")
+    try:
+        assert lookup.remote_lookup(df, ["k"], logged, schema, cache_rows=3).filter("v = k").count() == len(keys)
+        first = [int(x) for x in open(log)]
+        assert first.count(0) == 1 and len(first) == 40
+        lookup.remote_lookup(df, ["k"], logged, schema, ttl_seconds=0.0).count()
+        assert [int(x) for x in open(log)][40:].count(0) > 30
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    del asked
+
+
+def test_reloading_table(spark):
+    loads, now = [], [0.0]
+    t = lookup.ReloadingTable(lambda: loads.append(1) or spark.range(len(loads)), 60, lambda: now[0])
+    assert t.current().count() == 1
+    now[0] = 59.0
+    assert t.current().count() == 1
+    now[0] = 61.0
+    old = t.current
+    assert old().count() == 2 and len(loads) == 2
+    t.release()
+
+
+def test_json_change_records(spark):
+    text = '{"table_name":"t","commit_timestamp":"2024-01-02T03:04:05.123456789Z","record_sequence":"7","mod_type":"INSERT","value_capture_type":"NEW_ROW_AND_OLD_VALUES","mods":[{"keys":{"id":"1"},"new_values":{"name":"Ada","n":"4"},"old_values":{}}]}'
+    r = changelog.decode_json_records(spark.createDataFrame([(text,)], "record string"))
+    row = changelog.expand(r, KEYED, ["id"]).first()
+    assert (row["_row_kind"], row["id"], row["name"], row["n"], row["commit_nanos"] % 10**9) == ("+I", 1, "Ada", 4, 123456789)
+    with pytest.raises(Exception):
+        changelog.decode_json_records(spark.createDataFrame([("{oops",)], "record string")).collect()
+
+
+def test_envelope_keeps_every_entry(spark):
+    m = entries(spark, ("SET_CELL", "f", "q", "v", False, False), ("DELETE_FAMILY", "f", None, None, False, False))
+    rows = changelog.envelope(m).collect()
+    assert [(r["_row_kind"], r["kind"]) for r in rows] == [("+I", "SET_CELL"), ("+I", "DELETE_FAMILY")]
+
+
+def test_constraint_policies(spark):
+    from millrace.sources import relational
+
+    df = spark.createDataFrame([(1,), (-1,), (None,)], "v int")
+    good, bad = relational.checked(df, {"positive": F.col("v") > 0}, "route")
+    assert good.count() == 2 and bad.first()["violates"] == ["positive"]
+    with pytest.raises(Exception, match="constraint violated: positive"):
+        relational.checked(df, {"positive": F.col("v") > 0})[0].collect()
+    with pytest.raises(ValueError):
+        relational.checked(df, {}, "ignore")
