@@ -11,8 +11,8 @@ ATTRIBUTE_LIMIT = 1024
 
 
 def json_body(*fields: Column | str, keep_nulls: bool = True) -> Column:
-    """The fields as one JSON object: bytes in base64, decimals bare, ISO dates and times."""
-    return F.to_json(F.struct(*fields), {"ignoreNullFields": str(not keep_nulls).lower(), "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"})
+    """The fields as one JSON object: bytes in base64, decimals bare, ISO dates and times, instants in UTC."""
+    return F.to_json(F.struct(*fields), {"ignoreNullFields": str(not keep_nulls).lower(), "timeZone": "UTC", "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"})
 
 
 def check_json_types(schema: T.StructType) -> None:
@@ -87,3 +87,46 @@ def identifier(name: str, dialect: str = "standard") -> str:
     if len(name) > 1 and name[0] == quote == name[-1]:
         return name[1:-1].replace(quote * 2, quote)
     return name.lower() if dialect == "postgres" else name
+
+
+def table_identifier(name: str, dialect: str = "standard") -> tuple[str, ...]:
+    """The parts of a written, possibly qualified name, each in its stored form; quotes may hold dots."""
+    quote = {"standard": "`", "postgres": '"'}[dialect]
+    parts, part, quoted = [], "", False
+    for ch in name:
+        if ch == quote:
+            quoted = not quoted
+        if ch == "." and not quoted:
+            parts.append(part)
+            part = ""
+        else:
+            part += ch
+    parts.append(part)
+    if quoted or not all(parts):
+        raise ValueError(f"not a table name: {name}")
+    return tuple(identifier(p, dialect) for p in parts)
+
+
+# Ranges of whole-number types.
+_WHOLE_RANGES = {"tinyint": (-(1 << 7), (1 << 7) - 1), "smallint": (-(1 << 15), (1 << 15) - 1), "int": (-(1 << 31), (1 << 31) - 1)}
+
+
+def narrowed(column: Column, name: str) -> Column:
+    """A 64-bit whole number as a narrower type; one that does not fit is an error, never wrapped."""
+    low, high = _WHOLE_RANGES[name]
+    refuse = F.raise_error(F.concat(column.cast("string"), F.lit(f" does not fit {name}"))).cast(name)
+    return F.when(column.isNull() | column.between(low, high), column.cast(name)).otherwise(refuse)
+
+
+def truncated_time(nanos: Column, precision: int) -> Column:
+    """Nanoseconds (of an epoch or a day) cut, not rounded, to so many fractional digits; times before the epoch go down."""
+    if not 0 <= precision <= 9:
+        raise ValueError("fractional digits are 0 to 9")
+    unit = 10 ** (9 - precision)
+    return nanos - F.pmod(nanos, F.lit(unit))
+
+
+def timestamp_from_nanos(nanos: Column, precision: int = 6) -> Column:
+    """The timestamp of epoch nanoseconds, cut to at most microseconds."""
+    cut = truncated_time(nanos, min(precision, 6))
+    return F.timestamp_micros((cut.cast("decimal(20,0)") / 1000).cast("bigint"))

@@ -15,10 +15,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Above every key that a predicate compares with.
-UNBOUNDED = None
-
-
 @dataclass(frozen=True, order=True)
 class KeyRange:
     """Keys from ``start`` (inclusive, b'' for the first) to ``end`` (exclusive, None for no end)."""
@@ -178,6 +174,42 @@ def predicate(column: Column, ranges: list[KeyRange], as_text: bool = False) ->
     return reduce(lambda a, b: a | b, map(one, chosen)) if chosen else F.lit(False)
 
 
+def number_bounds(chosen: list[KeyRange], width: int) -> list[tuple[int, int | None]] | None:
+    """The numbers whose ``width`` digits, padded with zeros, lie in the ranges: low inclusive, high exclusive.
+
+    None where a bound is no string of digits, so that numbers can't tell.
+    """
+
+    def first(bound: bytes) -> int | None:
+        """The smallest number whose padded digits are not below the bound."""
+        head = bound[:width]
+        if not head.isdigit():
+            return None
+        return int(head.ljust(width, b"0")) + (len(bound) > width)
+
+    out = []
+    for r in union(chosen):
+        low, high = first(r.start) if r.start else 0, None if r.end is None else first(r.end)
+        if low is None or (r.end is not None and high is None):
+            return None
+        out.append((low, high))
+    return out
+
+
+def number_predicate(column: Column, chosen: list[KeyRange], width: int) -> Column:
+    """A predicate on the number behind a padded key that holds wherever the ranges do.
+
+    A scan can push it down, as it can't push what is said of the padded text. Numbers
+    that ``width`` digits can't hold are let through; the exact predicate on the text has
+    to follow.
+    """
+    bounds = number_bounds(chosen, width)
+    if bounds is None:
+        return F.lit(True)
+    inside = [(column >= low) if high is None else (column >= low) & (column < high) for low, high in bounds]
+    return reduce(lambda a, b: a | b, inside, (column < 0) | (column >= 10**width))
+
+
 def split_at(ranges: list[KeyRange], samples: list[tuple[bytes, int]]) -> list[tuple[KeyRange, int]]:
     """Ranges cut at sampled keys, with an estimate of the bytes of each part.
 

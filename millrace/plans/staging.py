@@ -8,6 +8,8 @@ Identities are digests of what a load holds, so planning again names the same lo
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -15,6 +17,7 @@ from pyspark.sql import functions as F
 MAX_FILES = 10_000
 MAX_BYTES = 11 * 1024**4
 COPY_FAN_IN = 1_200
+STAGING_BYTES = 16 * 1024**2
 
 
 def plan_loads(files: DataFrame, max_files: int = MAX_FILES, max_bytes: int = MAX_BYTES) -> DataFrame:
@@ -53,33 +56,57 @@ def copy_levels(load_count: int, fan_in: int = COPY_FAN_IN) -> list[int]:
 
 
 def greedy_batches(df: DataFrame, by: list[str], order: str, sizes: dict[str, int]) -> DataFrame:
-    """Numbers consecutive rows into batches: a new one begins where a limit would overflow.
-
-    ``sizes`` maps a column to its limit in a batch. Limits are checked before a row is
-    added, never against its own size, so a row that alone exceeds one is a batch of its
-    own. Rows stream through in their order, with only running totals in memory.
+    """Numbers consecutive rows of each group into batches: a new one begins where a limit would overflow.
+
+    ``sizes`` maps a whole-number column to its limit in a batch; a null size counts as
+    0. Limits are checked before a row is added, never against an empty batch, so a row
+    that alone exceeds one is a batch of its own. Null keys form one group. Where a
+    batch ends depends on where the last one did, so a group is sequential: its rows
+    stream through one task in their order, with only running totals in memory, and a
+    task jumps from cut to cut. There is no form for a whole table without groups.
     """
+    if not by:
+        raise ValueError("batches need a grouping, one task takes each group")
     names = df.columns
     schema = df.schema.add("batch", "long")
-    limits = list(sizes.items())
-
-    def run(frames):
-        import pandas as pd
-
-        key, totals, batch = None, [0] * len(limits), 0
-        for pdf in frames:
-            numbers = []
-            columns = [pdf[c].tolist() for c, _ in limits]
-            keys = list(zip(*(pdf[c].tolist() for c in by))) if by else [()] * len(pdf)
-            for i, k in enumerate(keys):
-                own = [c[i] or 0 for c in columns]
-                if k != key:
-                    key, totals, batch = k, [0] * len(limits), 0
-                elif any(t + o > limit for t, o, (_, limit) in zip(totals, own, limits)) and any(totals):
-                    totals, batch = [0] * len(limits), batch + 1
-                totals = [t + o for t, o in zip(totals, own)]
-                numbers.append(batch)
-            yield pd.concat([pdf.reset_index(drop=True), pd.Series(numbers, name="batch", dtype="int64")], axis=1)
-
-    placed = df.repartition(*by).sortWithinPartitions(*by, order) if by else df.coalesce(1).sortWithinPartitions(order)
-    return placed.select(*names).mapInPandas(run, schema)
+    limits = np.array(list(sizes.values()), np.int64)[:, None]
+
+    def run(batches):
+        key, totals, count, batch = object(), np.zeros((len(sizes), 1), np.int64), 0, 0
+        for rows in batches:
+            own = np.array([rows.column(c).cast(pa.int64()).fill_null(0).to_numpy() for c in sizes], np.int64).reshape(len(sizes), -1)
+            sums = np.concatenate([np.zeros((len(sizes), 1), np.int64), np.cumsum(own, axis=1)], axis=1)
+            keys = list(zip(*(rows.column(c).to_pylist() for c in by)))
+            numbers = np.zeros(rows.num_rows, np.int64)
+            at = 0
+            while at < rows.num_rows:
+                if keys[at] != key:
+                    key, totals, count, batch = keys[at], np.zeros_like(totals), 0, 0
+                stop = at + 1
+                while stop < len(keys) and keys[stop] == key:
+                    stop += 1
+                while at < stop:
+                    # the first row behind which a total, carried and new, exceeds its limit
+                    over = (totals + sums[:, at + 1 : stop + 1] - sums[:, at : at + 1] > limits).any(axis=0)
+                    fits = int(over.argmax()) if over.any() else stop - at
+                    if fits == 0 and count == 0:
+                        fits = 1
+                    numbers[at : at + fits] = batch
+                    totals = totals + sums[:, at + fits : at + fits + 1] - sums[:, at : at + 1]
+                    count, at = count + fits, at + fits
+                    if at < stop:
+                        totals, count, batch = np.zeros_like(totals), 0, batch + 1
+            yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(numbers)], names=[*names, "batch"])
+
+    placed = df.repartition(*by).sortWithinPartitions(*by, order)
+    return placed.select(*names).mapInArrow(run, schema)
+
+
+def staging_files(df: DataFrame, folder: str, max_bytes: int = STAGING_BYTES, sample_rows: int = 10_000) -> None:
+    """Writes rows to be loaded in files of about ``max_bytes`` each.
+
+    Spark rolls files by rows, so the bytes of a row are estimated from the sizes of a
+    bounded number of rows as text; they only decide how many go into a file.
+    """
+    size = df.limit(sample_rows).agg(F.avg(F.length(F.to_json(F.struct("*"))))).first()[0] or 1.0
+    df.write.mode("append").option("compression", "zstd").option("maxRecordsPerFile", max(int(max_bytes / size), 1)).parquet(folder)

@@ -18,8 +18,11 @@ CASES = {
     "boolean": [True, False, None],
     "string": ["", "a", "日本", None],
     "binary": [bytearray(b"\x00\xff"), None],
-    "double": [-0.0, 1.5, float("inf"), None],
-    "float": [1.5, -2.25, None],
+    "double": [-0.0, 1.5, float("inf"), float("-inf"), 5e-324, None],
+    "float": [1.5, -2.25, float("-inf"), None],
+    "decimal(5,0)": [Decimal(-99999), Decimal(127), Decimal(128), Decimal(-128), Decimal(-129), Decimal(0), None],
+    "decimal(18,4)": [Decimal("99999999999999.9999"), Decimal("-99999999999999.9999"), Decimal("-0.0001"), None],
+    "timestamp_ntz": [datetime.datetime(1969, 12, 31, 23, 59, 59, 999000), datetime.datetime(2024, 3, 10, 2, 30), datetime.datetime(1900, 1, 1), None],
     "decimal(20,3)": [Decimal("-12345678901234567.891"), Decimal("0.000"), Decimal("-0.128"), None],
     "date": [datetime.date(1960, 1, 1), datetime.date(2024, 2, 29), None],
     "timestamp": [datetime.datetime(1969, 12, 31, 23, 59, 59, 999000), datetime.datetime(2024, 1, 1), None],
@@ -33,6 +36,58 @@ def test_cells_round_trip(spark, kind):
     assert [r["v"] for r in out] == CASES[kind]
 
 
+def test_nan_is_no_null(spark):
+    df = spark.createDataFrame([(0, float("nan")), (1, None), (2, 1.0)], "i int, v double").repartition(1)
+    for kind, nan in (("double", "7FF8000000000000"), ("float", "7FC00000")):
+        cell = codec.encode_cell(F.col("v").cast(kind), kind)
+        rows = df.select("i", F.hex(cell).alias("c"), codec.decode_cell(cell, kind).alias("v")).orderBy("i").collect()
+        assert [r["c"] for r in rows][:2] == [nan, ""] and rows[0]["v"] != rows[0]["v"] and rows[1]["v"] is None and rows[2]["v"] == 1.0
+
+
+def test_the_session_zone_changes_nothing(spark):
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    seen = set()
+    try:
+        for name in ("UTC", "America/New_York", "Asia/Kolkata"):
+            spark.conf.set("spark.sql.session.timeZone", name)
+            at = F.timestamp_micros(F.lit(1_710_052_200_000_000))  # an hour that New York skips
+            local = F.lit("2024-03-10 02:30:00").cast("timestamp_ntz")
+            back = codec.decode_cell(codec.encode_cell(local, "timestamp_ntz"), "timestamp_ntz")
+            row = spark.range(1).select(
+                F.hex(codec.encode_cell(F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), "timestamp_ntz")).alias("zero"),
+                F.hex(codec.encode_cell(local, "timestamp_ntz")).alias("local"),
+                (back == local).alias("same"),
+                F.hex(codec.encode_cell(at, "timestamp")).alias("at"),
+                formats.json_body(F.timestamp_micros(F.lit(0)).alias("t"), local.alias("l")).alias("json"),
+            ).first()
+            seen.add(tuple(row))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert seen == {("0" * 16, f"{1_710_037_800_000:016X}", True, f"{1_710_052_200_000:016X}", '{"t":"1970-01-01T00:00:00.000000Z","l":"2024-03-10T02:30:00.000000"}')}
+
+
+def test_decimals_of_another_scale_are_read(spark):
+    for written, read in (("decimal(9,4)", "decimal(12,2)"), ("decimal(30,2)", "decimal(18,2)"), ("decimal(9,1)", "decimal(30,5)")):
+        cell = codec.encode_cell(F.lit(Decimal("-12.50")).cast(written), written)
+        assert spark.range(1).select(codec.decode_cell(cell, read).alias("v")).first()["v"] == Decimal("-12.50")
+
+
+def test_narrowing_and_truncation(spark):
+    df = spark.createDataFrame([(127, 1_999_999_999), (-128, -1), (None, None)], "v long, n long")
+    rows = df.select(formats.narrowed(F.col("v"), "tinyint").alias("v"), formats.truncated_time(F.col("n"), 0).alias("s"), F.unix_micros(formats.timestamp_from_nanos(F.col("n"), 9)).alias("t")).collect()
+    assert [tuple(r) for r in rows] == [(127, 1_000_000_000, 1_999_999), (-128, -1_000_000_000, -1), (None, None, None)]
+    for v, kind in ((128, "tinyint"), (-32769, "smallint"), (2**31, "int")):
+        with pytest.raises(Exception, match="does not fit"):
+            spark.range(1).select(formats.narrowed(F.lit(v).cast("bigint"), kind)).collect()
+
+
+def test_qualified_names():
+    assert formats.table_identifier("`a.b`.C") == ("a.b", "C") and formats.table_identifier('S."T.x"', "postgres") == ("s", "T.x")
+    for wrong in ("a..b", "`a", ""):
+        with pytest.raises(ValueError):
+            formats.table_identifier(wrong)
+
+
 def test_cell_layouts(spark):
     row = spark.range(1).select(
         F.hex(codec.encode_cell(F.lit(-2).cast("int"), "int")).alias("i"),

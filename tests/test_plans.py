@@ -117,3 +117,85 @@ def test_query_results_are_reused_within_the_window(spark, tmp_path):
     assert results.query("q", "SELECT rand() AS x").first()["x"] == first
     later = datetime.now(timezone.utc) + timedelta(hours=3)
     assert results.query("q", "SELECT rand() AS x", now=later).first()["x"] != first
+
+
+def test_number_bounds_of_padded_keys():
+    import random
+
+    r = random.Random(1)
+    for _ in range(400):
+        cut = lambda: str(r.randrange(1000)).zfill(3)[: r.randint(1, 3)] + r.choice(["", "", "\x00", "5", "x"])
+        low, high = cut().encode(), r.choice([None, cut().encode()])
+        chosen = [KeyRange(low, high)]
+        bounds = ranges.number_bounds(chosen, 3)
+        inside = {n for n in range(1000) if str(n).zfill(3).encode() in chosen[0]}
+        if bounds is not None:
+            assert {n for n in range(1000) if any(a <= n and (b is None or n < b) for a, b in bounds)} == inside
+    assert ranges.number_bounds([KeyRange(b"a", None)], 3) is None
+
+
+def test_the_key_range_query_pushes_its_ranges_down(spark, sf):
+    from millrace import queries
+
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    try:
+        plan = queries.queries()["kv_range_scan"](spark, sf)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+    pushed = plan[plan.index("PushedFilters") :].split("\n")[0]
+    assert "GreaterThanOrEqual(o_orderkey,100)" in pushed and "LessThan(o_orderkey,200)" in pushed
+
+
+def test_stored_cells_are_pruned_by_key(spark, tmp_path):
+    from millrace.operators import cells
+    from millrace.sources import kv
+
+    families = {"f": {"v": "bigint"}}
+    df = spark.range(5000).select(F.lpad(F.col("id").cast("string"), 6, "0").alias("k"), F.col("id").alias("v"))
+    kv.store(cells.to_cells(df, F.col("k"), families, {("f", "v"): "v"}), str(tmp_path / "cells"), 5)
+    found = kv.scan(spark, str(tmp_path / "cells"), families, ranges.parse("[000010,000013);[004000,004001]"))
+    assert sorted((r["row_key"], r["f"]["v"]) for r in found.collect()) == [("000010", 10), ("000011", 11), ("000012", 12), ("004000", 4000), ("004001", 4001)]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    pushed = plan[plan.index("PushedFilters") :].split("\n")[0]
+    assert "GreaterThanOrEqual(row_key" in pushed and "LessThan(row_key" in pushed
+
+
+def test_greedy_batches_with_nulls_and_wide_numbers(spark):
+    rows = [(None, i, 4) for i in range(5)] + [("g", i, s) for i, s in enumerate([5, None, 3, 20, 1, None, 8, 0])]
+    rows = [(g, i, s, 9007199254740993) for g, i, s in rows]
+    df = spark.createDataFrame(rows, "g string, i int, size long, big long").repartition(3)
+    out = staging.greedy_batches(df, ["g"], "i", {"size": 8}).collect()
+    assert {r["big"] for r in out} == {9007199254740993}
+    batches = {(r["g"], r["i"]): r["batch"] for r in out}
+    assert [batches[None, i] for i in range(5)] == [0, 0, 1, 1, 2]
+    assert [batches["g", i] for i in range(8)] == [0, 0, 0, 1, 2, 2, 3, 3]
+    assert {r["size"] for r in out if (r["g"], r["i"]) in (("g", 1), ("g", 5))} == {None}
+    with pytest.raises(ValueError):
+        staging.greedy_batches(df, [], "i", {"size": 8})
+
+
+def test_greedy_batches_over_many_arrow_batches(spark):
+    import random
+
+    r = random.Random(4)
+    sizes = [r.choice([1, 2, 30, 70, 150]) for _ in range(3000)]
+    df = spark.createDataFrame(list(enumerate(sizes)), "i int, size int").withColumn("g", F.lit(1)).withColumn("one", F.lit(1))
+    want, total, count, batch = {}, 0, 0, 0
+    for i, s in enumerate(sizes):
+        if count and (total + s > 100 or count + 1 > 7):
+            total, count, batch = 0, 0, batch + 1
+        total, count = total + s, count + 1
+        want[i] = batch
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "64")
+    try:
+        got = {x["i"]: x["batch"] for x in staging.greedy_batches(df, ["g"], "i", {"size": 100, "one": 7}).collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert got == want
+
+
+def test_staging_rolls_by_size(spark, tmp_path):
+    df = spark.range(4000).select("id", F.sha2(F.col("id").cast("string"), 512).alias("h")).coalesce(1)
+    staging.staging_files(df, str(tmp_path / "s"), max_bytes=100_000)
+    files = [f for f in (tmp_path / "s").iterdir() if f.suffix == ".parquet"]
+    assert 4 <= len(files) <= 9 and spark.read.parquet(str(tmp_path / "s")).count() == 4000
