@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .functions import codec, formats, retry, sequences
 from .operators import cells, changelog, failures, ledger, lookup, routing, schemas
 from .plans import keysets, positions, ranges, staging
-from .sources import relational, warehouse
+from .sources import catalog, relational, warehouse
 from .streaming import bus
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -41,10 +41,11 @@ _COLUMNS = {("info", "customer"): "customer", ("info", "status"): "status", ("am
 KEY_RANGES = r"[0000000100,0000000200);[0000001000,0000001050];[0000014000,)"
 
 
-def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _orders(spark: SparkSession, sf_dir: str, wanted: Column | None = None) -> DataFrame:
     """Orders as rows to write; large ones alone have a family of amounts."""
     cents = F.round(F.col("o_totalprice") * 100).cast("bigint")
-    return _table(spark, sf_dir, "orders").select(
+    orders = _table(spark, sf_dir, "orders")
+    return (orders.filter(wanted) if wanted is not None else orders).select(
         F.lpad(F.col("o_orderkey").cast("string"), 10, "0").alias("k"),
         F.col("o_custkey").alias("customer"),
         F.col("o_orderstatus").alias("status"),
@@ -63,7 +64,9 @@ _ORDERS_SQL = """(SELECT lpad(o_orderkey::VARCHAR, 10, '0') AS row_key, o_custke
 
 def kv_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     chosen = ranges.parse(KEY_RANGES)
-    in_range = _orders(spark, sf_dir).filter(ranges.predicate(F.col("k"), chosen, as_text=True))
+    # what the ranges say of the number reaches the scan; the padded key decides
+    orders = _orders(spark, sf_dir, ranges.number_predicate(F.col("o_orderkey"), chosen, 10))
+    in_range = orders.filter(ranges.predicate(F.col("k"), chosen, as_text=True))
     rows = cells.read_rows(_order_cells(in_range), FAMILIES)
     return rows.select("row_key", "info.customer", "info.status", F.col("amt.cents").cast("string").alias("cents"))
 
@@ -274,20 +277,37 @@ def upsert_materialize(spark, sf_dir):
     return out.select("user_id", "event_id", "event_type")
 
 
-@query("""WITH c AS (SELECT event_id % 3000 AS k, event_id, event_type, row_number() OVER (PARTITION BY event_id % 3000 ORDER BY ts DESC, event_id DESC) AS v FROM events),
+_MERGED_SQL = """WITH c AS (SELECT event_id % 3000 AS k, event_id, event_type, row_number() OVER (PARTITION BY event_id % 3000 ORDER BY ts DESC, event_id DESC) AS v FROM events),
 l AS (SELECT * FROM c WHERE v = 1)
 SELECT c_custkey, c_mktsegment FROM customer WHERE c_custkey NOT IN (SELECT k FROM l)
-UNION ALL SELECT k, event_type FROM l WHERE event_type <> 'error'""")
-def merge_upsert(spark, sf_dir):
-    target = _table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
-    changes = _versions(spark, sf_dir).select(
+UNION ALL SELECT k, event_type FROM l WHERE event_type <> 'error'"""
+
+
+def _segment_changes(spark, sf_dir) -> DataFrame:
+    """Events as changes of customers' segments."""
+    return _versions(spark, sf_dir).select(
         (F.col("event_id") % 3000).alias("c_custkey"),
         F.col("event_type").alias("c_mktsegment"),
         "t",
         "event_id",
         F.when(F.col("event_type") == "error", "-D").otherwise("+U").alias(changelog.ROW_KIND),
     )
-    return relational.upsert(target, changes, ["c_custkey"], ["t", "event_id"])
+
+
+@query(_MERGED_SQL)
+def merge_upsert(spark, sf_dir):
+    target = _table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
+    return relational.upsert(target, _segment_changes(spark, sf_dir), ["c_custkey"], ["t", "event_id"])
+
+
+@query(_MERGED_SQL)
+def merge_upsert_late(spark, sf_dir):
+    """The same changes in batches of which the later ones hold older changes too: the result may not depend on it."""
+    changes, order = _segment_changes(spark, sf_dir), ["t", "event_id"]
+    table = changelog.stored(_table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment"), order, changes)
+    for part in (2, 0, 1):
+        table = relational.upsert(table, changes.filter(F.pmod("event_id", F.lit(3)) == part), ["c_custkey"], order)
+    return changelog.visible(table)
 
 
 @query("""SELECT event_id, CASE WHEN event_type = 'view' THEN 'UNRELATED' WHEN event_type = 'error' THEN 'DELETE' ELSE 'UPSERT' END AS change,
@@ -396,6 +416,47 @@ def cell_codec_round_trip(spark, sf_dir):
     )
 
 
+@query("""SELECT event_id, CASE event_id % 5 WHEN 0 THEN '7FF8000000000000' WHEN 1 THEN '7FF0000000000000' WHEN 2 THEN 'FFF0000000000000' WHEN 3 THEN '' ELSE 'a number' END AS dbl,
+CASE event_id % 5 WHEN 0 THEN 'NaN' WHEN 1 THEN 'Infinity' WHEN 2 THEN '-Infinity' WHEN 3 THEN 'null' ELSE CASE WHEN value < 0 THEN 'negative' ELSE 'right' END END AS back,
+printf('%016X', epoch_us(ts) // 1000) AS local, (epoch_us(ts) // 1000) AS local_ms, ((event_id - 5000)::HUGEINT * 1234567890123456)::VARCHAR AS wide FROM events""")
+def cell_codec_special(spark, sf_dir):
+    """What a cell must keep apart: NaN, infinities and null; times without zone; decimals beyond 64 bits."""
+    e = _table(spark, sf_dir, "events")
+    n = F.col("event_id") % 5
+    v = F.when(n == 0, float("nan")).when(n == 1, float("inf")).when(n == 2, float("-inf")).when(n != 3, F.col("value"))
+    cell = codec.encode_cell(v, "double")
+    back = codec.decode_cell(cell, "double")
+    local = codec.encode_cell(F.col("ts").cast("timestamp_ntz"), "timestamp_ntz")
+    wide = (F.col("event_id") - 5000).cast("decimal(10,0)") * F.lit(1234567890123456).cast("decimal(16,0)")
+    again = codec.decode_cell(codec.encode_cell(wide.cast("decimal(28,0)"), "decimal(28,0)"), "decimal(28,0)")
+    ms = codec.decode_cell(local, "timestamp_ntz")
+    return e.select(
+        "event_id",
+        F.when(n == 4, "a number").otherwise(F.hex(cell)).alias("dbl"),
+        F.when(n == 4, F.when(back.eqNullSafe(F.col("value")), F.when(back < 0, "negative").otherwise("right")).otherwise("wrong")).otherwise(F.coalesce(back.cast("string"), F.lit("null"))).alias("back"),
+        F.hex(local).alias("local"),
+        F.unix_millis(ms.cast("timestamp")).alias("local_ms"),
+        again.cast("string").alias("wide"),
+    )
+
+
+@query("""SELECT event_id, '{"id":' || event_id || ',"at":"' || strftime(ts, '%Y-%m-%dT%H:%M:%S.%fZ') || '","day":"' || strftime(ts, '%Y-%m-%d') || '"}' AS body FROM events""")
+def json_instants(spark, sf_dir):
+    at = F.col("ts").cast("timestamp")
+    return _table(spark, sf_dir, "events").select("event_id", formats.json_body(F.col("event_id").alias("id"), at.alias("at"), at.cast("date").alias("day")).alias("body"))
+
+
+@query("SELECT event_id, (event_id % 120)::TINYINT AS tiny, (epoch_us(ts) // 1000) AS millis, (epoch_us(ts) // 1000000) * 1000000000 AS whole_seconds FROM events")
+def narrow_and_truncate(spark, sf_dir):
+    nanos = F.unix_micros(F.col("ts").cast("timestamp")) * 1000 + 999
+    return _table(spark, sf_dir, "events").select(
+        "event_id",
+        formats.narrowed(F.col("event_id") % 120, "tinyint").alias("tiny"),
+        F.unix_millis(formats.timestamp_from_nanos(nanos, 3)).alias("millis"),
+        formats.truncated_time(nanos, 0).alias("whole_seconds"),
+    )
+
+
 @query("SELECT p_partkey, to_json({'id': p_partkey, 'name': p_name, 'size': p_size, 'tags': [p_brand, p_type]})::VARCHAR AS body FROM part")
 def json_render(spark, sf_dir):
     p = _table(spark, sf_dir, "part")
@@ -533,7 +594,11 @@ def cell_weights(spark, sf_dir):
     return schemas.cell_weights(o, spark.range(1).select(index), ["o_custkey", "price", "o_orderpriority"]).select("o_orderkey", "cells")
 
 
-@query()
+@query("""WITH RECURSIVE o AS (SELECT o_custkey % 16 AS lane, o_custkey % 97 + 1 AS size, row_number() OVER (PARTITION BY o_custkey % 16 ORDER BY o_orderkey) AS place FROM orders),
+g AS (SELECT lane, place, 0::BIGINT AS batch, size::BIGINT AS total, 1::BIGINT AS n, size::BIGINT AS own FROM o WHERE place = 1
+  UNION ALL SELECT o.lane, o.place, CASE WHEN total + o.size > 2000 OR n + 1 > 64 THEN batch + 1 ELSE batch END, CASE WHEN total + o.size > 2000 OR n + 1 > 64 THEN o.size ELSE total + o.size END,
+    CASE WHEN total + o.size > 2000 OR n + 1 > 64 THEN 1 ELSE n + 1 END, o.size FROM g JOIN o ON o.lane = g.lane AND o.place = g.place + 1)
+SELECT lane, batch, count(*) AS n, sum(own)::BIGINT AS total FROM g GROUP BY lane, batch""")
 def greedy_batches(spark, sf_dir):
     o = _table(spark, sf_dir, "orders").select("o_orderkey", (F.col("o_custkey") % 16).alias("lane"), (F.col("o_custkey") % 97 + 1).alias("size"), F.lit(1).alias("one"))
     return staging.greedy_batches(o, ["lane"], "o_orderkey", {"size": 2000, "one": 64}).groupBy("lane", "batch").agg(F.count("*").alias("n"), F.sum("size").alias("total"))
@@ -547,9 +612,54 @@ def load_binpack(spark, sf_dir):
     return staging.plan_loads(files, max_files=500).select("destination", "format", "load_index", "o_orderkey")
 
 
-@query("SELECT event_id % 8 AS owner, count(*) AS subscriptions FROM events GROUP BY 1")
+@query("""WITH s AS (SELECT 'user-' || user_id AS subscription, row_number() OVER (ORDER BY 'user-' || user_id) - 1 AS n, count(*) OVER () AS total FROM (SELECT DISTINCT user_id FROM events)),
+k AS (SELECT unnest(range(0, 1024)) AS i)
+SELECT 'per_key' AS mode, n AS split, subscription, n % 8 AS owner FROM s
+UNION ALL SELECT 'none', n + i * total, subscription, (n + i * total) % 1024 FROM s JOIN k ON n + i * total < greatest(total, 1024)""")
 def split_plan(spark, sf_dir):
-    return _table(spark, sf_dir, "events").select((F.col("event_id") % 8).alias("owner")).groupBy("owner").agg(F.count("*").alias("subscriptions"))
+    users = _table(spark, sf_dir, "events").select(F.concat(F.lit("user-"), F.col("user_id").cast("string")).alias("subscription"))
+    parts = [bus.split_owners(users, p, mode).withColumn("mode", F.lit(mode)) for mode, p in (("per_key", 8), ("none", 1024))]
+    return parts[0].unionByName(parts[1]).select("mode", "split", "subscription", "owner")
+
+
+@query("""SELECT user_id, event_id, event_type FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC) AS v FROM events WHERE ts <= TIMESTAMP '2024-01-15') WHERE v = 1 AND event_type = 'click'""")
+def options_snapshot(spark, sf_dir):
+    """A snapshot declared by options, whose restriction says something of the rows it gives."""
+    o = {"path": f"{sf_dir}/events.parquet", "source.snapshot-time": "2024-01-15", "key": "user_id", "version-time": "ts", "deleted": "event_type = 'error'", "source.row-restriction": "event_type = 'click'", "columns": "user_id, event_id, event_type"}
+    return catalog.table(spark, "warehouse", o)
+
+
+@query("SELECT o_orderkey, o_custkey FROM orders WHERE o_orderstatus = 'F' AND o_custkey < 700 AND o_totalprice > 1000")
+def options_query(spark, sf_dir):
+    o = {"source.query": f"SELECT * FROM parquet.`{sf_dir}/orders.parquet` WHERE o_totalprice > 1000", "source.row-restriction": "o_orderstatus = 'F' AND o_custkey < 700", "columns": "o_orderkey,o_custkey"}
+    return catalog.table(spark, "warehouse", o)
+
+
+@query("""SELECT event_id, user_id AS id, event_type AS state, (epoch_us(ts) * 1000 + 7) AS commit_nanos FROM events WHERE event_type <> 'error'""")
+def change_records_json(spark, sf_dir):
+    """Change records that arrive as JSON, in a changelog of upserts."""
+    e = _table(spark, sf_dir, "events").filter("event_type <> 'error'")
+    mods = F.array(F.struct(F.to_json(F.struct(F.col("user_id").cast("string").alias("id"))).alias("keys"), F.to_json(F.struct(F.col("event_type").alias("state"), F.col("event_id").alias("seen"))).alias("new_values"), F.lit("{}").alias("old_values")))
+    at = F.date_format(F.col("ts").cast("timestamp"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+    json = F.to_json(F.struct(F.lit("users").alias("table_name"), F.concat(at, F.lit("007Z")).alias("commit_timestamp"), F.lit("1").alias("record_sequence"), F.lit("UPDATE").alias("mod_type"), F.lit("NEW_ROW").alias("value_capture_type"), mods.alias("mods")))
+    out = changelog.expand(changelog.decode_json_records(e.select(json.alias("record"))), _USERS, ["id"], "upsert")
+    return out.select(F.col("seen").alias("event_id"), "id", "state", "commit_nanos")
+
+
+@query("""SELECT s_suppkey, CASE WHEN s_acctbal >= 0 AND s_nationkey < 20 THEN '' WHEN s_acctbal < 0 AND s_nationkey >= 20 THEN 'balance,nation' WHEN s_acctbal < 0 THEN 'balance' ELSE 'nation' END AS violates FROM supplier""")
+def constraint_routes(spark, sf_dir):
+    good, bad = relational.checked(_table(spark, sf_dir, "supplier"), {"balance": F.col("s_acctbal") >= 0, "nation": F.col("s_nationkey") < 20}, "route")
+    return good.select("s_suppkey", F.lit("").alias("violates")).unionByName(bad.select("s_suppkey", F.array_join("violates", ",").alias("violates")))
+
+
+@query("""SELECT event_id, k AS entry_index, CASE k WHEN 0 THEN 'DELETE_CELLS' ELSE 'SET_CELL' END AS kind, CASE k WHEN 1 THEN event_type END AS value FROM events, (VALUES (0), (1)) v(k)""")
+def change_envelope(spark, sf_dir):
+    def entry(i, kind, value):
+        return F.struct(F.lit(i).alias("entry_index"), F.lit(kind).alias("kind"), F.lit("f").alias("family"), F.lit("q").alias("qualifier"), value.alias("value"), F.lit(False).alias("bounded"), F.lit(False).alias("computed"))
+
+    both = F.array(entry(1, "SET_CELL", F.col("event_type")), entry(0, "DELETE_CELLS", F.lit(None).cast("string")))
+    rows = changelog.envelope(_table(spark, sf_dir, "events").select("event_id", both.cast(changelog.ENTRIES).alias("entries")))
+    return rows.select("event_id", F.col("entry_index").cast("bigint").alias("entry_index"), "kind", "value")
 
 
 _RANGES_SQL = """(SELECT user_id % 20 AS g, event_id * 10 AS s, event_id * 10 + CASE WHEN value > 60 THEN 400 ELSE 25 END AS e FROM events)"""
