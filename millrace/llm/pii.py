@@ -59,8 +59,17 @@ GENERATORS = {
         r"(?<![A-Za-z0-9_-])(?=[A-Za-z_-]*+[0-9])[A-Za-z0-9_-]{16,}+",
         r"(?<![A-Za-z0-9_-])(?:AKIA|ASIA)[A-Z0-9]{16}(?![A-Za-z0-9_-])",
     ],
-    "local_phone": [r"(?<![0-9+.-])\(?[0-9]{2,4}\)?[ .-][0-9]{3,4}[ .-][0-9]{3,4}(?![0-9.-])"],
-    "national_id": [r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"],
+    "local_phone": [
+        r"(?<![0-9+.-])\(?[0-9]{2,4}\)?[ .-][0-9]{3,4}[ .-][0-9]{3,4}(?![0-9.-])",
+        r"(?<![0-9+.-])0[1-9](?:[ .-]?[0-9]{2}){4}(?![0-9.-])",
+        r"(?<![0-9+.-])\([0-9]{2,5}\) ?[0-9]{3,4}[ .-]?[0-9]{3,5}(?![0-9.-])",
+        r"(?<![0-9+./-])\(?0[0-9]{2,4}\)? ?[/ -] ?[0-9]{5,8}(?![0-9.-])",
+    ],
+    "national_id": [
+        r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
+        r"(?<![A-Za-z0-9-])[0-9]{8}-?[A-Z](?![A-Za-z0-9-])",
+        r"(?<![0-9.-])[12] ?[0-9]{2} ?[0-9]{2} ?[0-9]{2} ?[0-9]{3} ?[0-9]{3}(?: ?[0-9]{2})?(?![0-9.-])",
+    ],
     "account": [r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:[ ]?[A-Z0-9]{4}){3,7}(?:[ ]?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"],
     "spelled_email": [r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+[ ]?[\[({][ ]?(?i:at)[ ]?[\])}][ ]?[A-Za-z0-9-]++(?:[ ]?[\[({][ ]?(?i:dot)[ ]?[\])}][ ]?[A-Za-z0-9-]++|\.[A-Za-z0-9-]++)++"],
 }
@@ -69,7 +78,7 @@ WORTH = r"[0-9]|[=:]|AKIA|ASIA|[\[({][ ]?(?i:at)[ ]?[\])}]"
 KEYWORDS = {
     "secret_word": r"(?i)password|passwd|pwd|token|secret|key|credential|auth",
     "phone_word": r"(?i)phone|tel|call|fax|mobile|cell|dial|handy|numéro|teléfono",
-    "id_word": r"(?i)ssn|social|iban|account|konto|compte|cuenta|passport|insurance",
+    "id_word": r"(?i)ssn|social|iban|account|konto|compte|cuenta|passport|insurance|dni|nif|insee|sécu",
     "mail_word": r"(?i)mail|contact|write|reach",
     "other_word": r"(?i)version|build|isbn|issue|page|order|commit|file|part|sha|md5|date|http|www|item|serial|model",
 }
@@ -237,6 +246,7 @@ def training_lines(rows: int = TRAINING_ROWS, seed: int = 7) -> list[tuple[str,
     syllables = "an be co de er fi ga he in jo ka le mo ne or pa qu re st ti un ver wi".split()
     word = lambda: "".join(r.choice(syllables) for _ in range(r.randint(1, 4)))
     words = lambda k: " ".join(word() for _ in range(k))
+    phone_words = ["phone ", "tel. ", "call ", "fax: ", "mobile ", "Handy ", "tél : numéro ", "teléfono "]
 
     def mixed(alphabet: str, n: int) -> str:
         return num(1) + pick(alphabet, n - 3) + num(1) + pick("ABCDEFabcdef" if alphabet is not hexes else "abcdef", 1)
@@ -252,7 +262,12 @@ def training_lines(rows: int = TRAINING_ROWS, seed: int = 7) -> list[tuple[str,
         lambda: f"{r.choice(['phone', 'tel', 'call', 'fax', 'mobile', 'dial'])} {num(3)}{(s := r.choice('-. '))}{num(3)}{s}{num(4)}",
         lambda: f"({num(3)}) {num(3)}-{num(4)}",
         lambda: f"{num(3)}-{num(3)}-{num(4)}",
+        lambda: f"{r.choice(phone_words)}0{r.choice('123456789')}" + (lambda s: "".join(s + num(2) for _ in range(4)))(r.choice([" ", ".", " ", "-"])),
+        lambda: f"{r.choice([*phone_words, ''])}({num(3)}){r.choice(['', ' '])}{num(3)}-{num(4)}",
+        lambda: f"{r.choice(phone_words)}0{num(r.choice([2, 3]))}{r.choice(['/', ' ', '-', ' / '])}{num(r.choice([6, 7, 8]))}",
         lambda: f"{r.choice(['SSN ', 'ssn: ', 'social security ', ''])}{num(3)}-{num(2)}-{num(4)}",
+        lambda: f"{r.choice(['DNI ', 'NIF: ', 'dni '])}{num(8)}{r.choice(['', '-'])}{pick('ABCDEFGHJKLMNPQRSTVWXYZ', 1)}",
+        lambda: f"{r.choice(['INSEE ', 'sécu : ', 'n° sécu '])}{r.choice('12')} {num(2)} {num(2)} {num(2)} {num(3)} {num(3)} {num(2)}",
         lambda: f"{r.choice(['IBAN ', 'account ', ''])}{r.choice(['DE', 'FR', 'ES', 'GB', 'NL'])}{num(2)}" + (lambda s: s.join(["", *[num(4) for _ in range(r.randint(3, 5))]]))(r.choice([" ", ""])),
         lambda: f"{word()}.{word()} {r.choice(['[at]', '(at)', '[ at ]'])} {word()} {r.choice(['[dot]', '(dot)'])} {r.choice(['com', 'org', 'net', 'de'])}",
         lambda: f"{word()}{num(2)} [at] {word()}.{r.choice(['com', 'org', 'example.com'])}",
@@ -261,6 +276,11 @@ def training_lines(rows: int = TRAINING_ROWS, seed: int = 7) -> list[tuple[str,
         lambda: f"{r.choice(['version', 'build', 'release'])} {num(2)}.{num(3)}.{num(3)}",
         lambda: f"{r.choice(['ISBN', 'isbn', 'order', 'item', 'part', 'page'])} {num(3)} {num(3)} {num(4)}",
         lambda: f"{num(4)} {num(4)} {num(4)}",
+        lambda: " ".join(num(2) for _ in range(r.randint(5, 7))),
+        lambda: f"{r.choice(['item', 'part', 'order', 'serial', 'issue'])} 0{num(r.choice([2, 3]))}{r.choice(['-', ' ', '/'])}{num(r.choice([5, 6, 7]))}",
+        lambda: f"({num(3)}) {num(4)} {num(4)} {word()}" if r.random() < 0.5 else f"page ({num(3)}) {num(3)} {num(4)}",
+        lambda: f"{r.choice(['model', 'part', 'serial'])} {num(8)}{pick('ABCDEFGH', 1)}",
+        lambda: f"{r.choice('12')} {num(2)} {num(2)} {num(2)} {num(3)} {num(3)} items",
         lambda: f"{num(2)}.{num(3)}.{num(3)}",
         lambda: f"{num(4)}-{num(3)} {num(3)}",
         lambda: "-".join(word() for _ in range(r.randint(5, 8))) + "-" + num(r.choice([1, 2, 4])),
@@ -274,7 +294,7 @@ def training_lines(rows: int = TRAINING_ROWS, seed: int = 7) -> list[tuple[str,
         lambda: f"key = {word()}{word()}{word()}",
         lambda: f"auth: {word()}{word()}-{word()}",
         lambda: f"model {r.choice(['XR', 'MT', 'AB'])}{num(2)} {pick('ABCDEFGH', 4)} {pick('ABCDEFGH', 4)} {pick('ABCDEFGH', 4)}",
-        lambda: f"{word()} (at) {word()} (dot) {word()}" if r.random() < 0.0 else f"{num(3)} {num(4)} {num(3)}",
+        lambda: f"{num(3)} {num(4)} {num(3)}",
     ]
     lines = []
     for k in range(rows):

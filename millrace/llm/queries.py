@@ -89,7 +89,7 @@ w AS (SELECT *, list_filter(regexp_split_to_array(text, '[\x20\x09-\x0D]+'), lam
 windows AS (SELECT doc_id, i, array_to_string(words[i:i+4], ' ') AS gram FROM (SELECT doc_id, words, unnest(range(1, len(words) - 3)) AS i FROM w)),
 twice AS (SELECT doc_id, i FROM windows QUALIFY count(*) OVER (PARTITION BY doc_id, gram) > 1),
 covered AS (SELECT doc_id, sum(n) AS n FROM (SELECT doc_id, least(5, coalesce(lead(i) OVER (PARTITION BY doc_id ORDER BY i) - i, 5)) AS n FROM twice) GROUP BY doc_id),
-f AS (SELECT w.doc_id, text, lines, len(words)::BIGINT AS n_words,
+f AS (SELECT w.doc_id, text, words, lines, list_filter(lines, lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS full_lines, len(words)::BIGINT AS n_words,
         coalesce(list_sum(list_transform(words, lambda x: length(x))), 0)::BIGINT AS word_chars,
         (length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
         (len(list_filter(lines, lambda x: regexp_matches(x, '[^\x20\x09-\x0D]'))) - len(list_distinct(list_filter(lines, lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')))))::BIGINT AS n_dup_lines,
@@ -101,6 +101,9 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
     10 * n_symbols > word_chars
     OR length(regexp_replace(text, '[^A-ZÀ-ÖØ-Þ]', '', 'g')) > length(regexp_replace(text, '[^a-zß-öø-ÿ]', '', 'g'))
     OR word_chars > 25 * n_words
+    OR 10 * len(list_filter(words, lambda x: regexp_matches(x, '\p{L}'))) < 6 * n_words
+    OR len(full_lines) >= 3 AND 10 * len(list_filter(full_lines, lambda x: regexp_matches(x, '^[ \t]*[-*•]'))) > 9 * len(full_lines)
+    OR len(full_lines) >= 3 AND 10 * len(list_filter(full_lines, lambda x: regexp_matches(x, '(\.\.\.|…)[ \t]*$'))) > 3 * len(full_lines)
     OR 2 * n_dup_lines > len(lines)) AS kept
 FROM b
 """
