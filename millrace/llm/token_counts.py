@@ -140,13 +140,14 @@ def _contents(docs: DataFrame, missed: DataFrame, rows: int, path: str) -> DataF
     content = normalised(text_or_empty("text"), path)
     texts = docs.select(content_digest(content, path).alias("digest"), content.alias("content"))
     hot = missed.filter(F.col("rows") > rows // HOT_KEYS).select("digest")
-    some = texts.join(missed.filter(F.col("rows") <= rows // HOT_KEYS).select("digest"), "digest", "left_semi")
-    found = some.groupBy("digest").agg(F.first("content").alias("content"))
+    others = missed.filter(F.col("rows") <= rows // HOT_KEYS).select("digest")
+    first = F.first("content").alias("content")
     if hot.isEmpty():
-        return found
-    # fewer than HOT_KEYS of them: what has one of them is found where it lies, and copies meet before the shuffle
-    crowded = texts.join(F.broadcast(hot), "digest", "left_semi")
-    return found.unionByName(crowded.groupBy("digest").agg(F.first("content").alias("content")))
+        return texts.join(others, "digest", "left_semi").groupBy("digest").agg(first)
+    # fewer than HOT_KEYS of them: they are found where they lie, and copies meet before the shuffle
+    crowded = texts.join(F.broadcast(hot), "digest", "left_semi").groupBy("digest").agg(first)
+    some = texts.join(F.broadcast(hot), "digest", "left_anti").join(others, "digest", "left_semi")
+    return crowded.unionByName(some.groupBy("digest").agg(first))
 
 
 def count_tokens(docs: DataFrame, cache_path: str | None = None, path: str = VOCABULARY, limit: int = 2048) -> DataFrame:

@@ -190,7 +190,11 @@ def learn_lexicon(sample: DataFrame, size: int = LEXICON_SIZE) -> Lexicon:
 
 
 def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> ToxicityModel:
-    """The model; the driver gets at most ``rows`` feature rows and the lexicon."""
+    """The model; the driver gets at most ``rows`` feature rows and the lexicon.
+
+    The half that the trees don't see calibrates them; where that half lacks toxic or
+    other rows, as among very few labels, all rows do.
+    """
     sample = labelled_sample(docs, labels, rows).cache()
     try:
         lexicon = learn_lexicon(sample)
@@ -212,7 +216,10 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Toxicity
     trees = fit_trees(x[half == 0], y[half == 0])
     if not trees.trees:
         return ToxicityModel(lexicon, trees, Isotonic([0.0], [float(y.mean()) if len(y) else 0.0]))
-    return ToxicityModel(lexicon, trees, fit_isotonic(trees.margin(x[half == 1]), y[half == 1]))
+    unseen = half == 1
+    if len(np.unique(y[unseen])) < 2:
+        unseen = np.ones(len(y), bool)
+    return ToxicityModel(lexicon, trees, fit_isotonic(trees.margin(x[unseen]), y[unseen]))
 
 
 def score(docs: DataFrame, model: ToxicityModel, threshold: float = THRESHOLD, score_name: str = "score", predicted_name: str = "predicted") -> DataFrame:

@@ -2,6 +2,7 @@
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from millrace.llm import queries as q
@@ -48,3 +49,21 @@ def test_pipeline(spark, sf, tmp_path):
             assert {r["doc_id"] for r in after.select("doc_id").distinct().collect()} == {r["doc_id"] for r in before.select("doc_id").collect()}
         before = after
     assert before.count() > 0
+
+
+def test_stages_take_odd_tables(spark, sf, docs, no_docs):
+    """Nulls in every column, empty and very long texts, repeated rows, clashing names, no rows at all."""
+    wide = docs.unionByName(docs.select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in docs.schema.fields]).limit(1))
+    n = wide.count()
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, wide, sf)
+        if name == "packing":
+            assert out.count() >= n
+        else:
+            assert out.columns == wide.columns and 0 < out.count() <= n
+            assert {r["doc_id"] for r in out.select("doc_id").collect()} <= {r["doc_id"] for r in wide.select("doc_id").collect()}
+        assert stage(spark, no_docs, sf).count() == 0
+        if name == "near_copies":
+            assert out.count() == out.select("text").distinct().count()
+        if name == "personal_data":
+            assert out.count() == n
