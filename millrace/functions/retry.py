@@ -18,6 +18,39 @@ ROW_LEVEL = frozenset({"INVALID_ARGUMENT", "OUT_OF_RANGE", "ALREADY_EXISTS", "FA
 LOOKUP_RETRYABLE = frozenset({"ABORTED", "DEADLINE_EXCEEDED", "UNAVAILABLE"})
 
 
+# Status names by service and class; the first class that any cause of a chain belongs to counts.
+_RETRIED = ("UNAVAILABLE", "DEADLINE_EXCEEDED", "ABORTED", "RESOURCE_EXHAUSTED")
+SERVICE_CLASSES = {
+    "warehouse": [
+        ("SCHEMA_MISMATCH", ("SCHEMA_MISMATCH_EXTRA_FIELDS",)),
+        ("WRITER_REFRESH", ("STREAM_FINALIZED", "STREAM_NOT_FOUND", "INVALID_STREAM_STATE")),
+        ("MISSING_TABLE", ("NOT_FOUND",)),
+        ("TRANSIENT", (*_RETRIED, "INTERNAL", "CANCELLED", "UNKNOWN")),
+    ],
+    "kv": [("MISSING_TABLE", ("NOT_FOUND",)), ("TERMINAL", _RETRIED), ("ROW_LEVEL", ("INVALID_ARGUMENT",))],
+    "bus": [("MISSING_TOPIC", ("NOT_FOUND",)), ("CANCELLATION", ("CANCELLED",)), ("ROW_LEVEL", ("INVALID_ARGUMENT",))],
+    "relational": [("TRANSIENT", _RETRIED), ("ROW_LEVEL", ("INVALID_ARGUMENT", "ALREADY_EXISTS"))],
+    "tasks": [("DONE", ("ALREADY_EXISTS",)), ("MISSING_QUEUE", ("NOT_FOUND",)), ("TRANSIENT", (*_RETRIED, "INTERNAL", "UNKNOWN")), ("ROW_LEVEL", ("INVALID_ARGUMENT",))],
+}
+CONSTRAINT_STATUSES = ("FAILED_PRECONDITION", "OUT_OF_RANGE")
+
+
+def service_class(service: str, statuses: Column, rejected_rows: Column | None = None, route_violations: bool = False) -> Column:
+    """What an error of a service means, from the statuses of its chain of causes.
+
+    ``rejected_rows`` says that the service has named the rows at fault, which outranks
+    every status of a warehouse. ``route_violations`` makes violated constraints of a
+    relational table faults of their rows instead of the job.
+    """
+    classes = list(SERVICE_CLASSES[service])
+    if service == "relational" and route_violations:
+        classes.append(("ROW_LEVEL", CONSTRAINT_STATUSES))
+    case = F.when(F.coalesce(rejected_rows, F.lit(False)), "ROW_LEVEL") if rejected_rows is not None else F.when(F.lit(False), "ROW_LEVEL")
+    for name, members in classes:
+        case = case.when(F.exists(statuses, lambda s: s.isin(*members)), name)  # noqa: B023
+    return case.otherwise("TERMINAL")
+
+
 def base_backoff_ms(attempt: Column, initial_ms: int, cap_ms: int) -> Column:
     """min(initial * 2^(attempt-1), cap), without jitter."""
     doubled = F.least(attempt - 1, F.lit(40)).cast("int")

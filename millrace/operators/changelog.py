@@ -296,15 +296,24 @@ def filter_columns(records: DataFrame, values: Sequence[str], include: Sequence[
     return out.withColumns({v: F.map_filter(F.col(v), lambda k, _: kept(k)) for v in values})
 
 
-def filter_entries(mutations: DataFrame, families: Sequence[str] = (), qualifiers: Sequence[str] = ()) -> DataFrame:
-    """Mutation entries reduced to matching families and qualifiers; empty mutations go."""
+def filter_entries(mutations: DataFrame, families: Sequence[str] = (), qualifiers: Sequence[str] = (), exclude_families: Sequence[str] = (), exclude_qualifiers: Sequence[str] = ()) -> DataFrame:
+    """Mutation entries reduced to included, or not excluded, families and ``family:qualifier`` names; empty mutations go.
+
+    An entry without qualifier, such as the deletion of a family, passes what is said of
+    qualifiers.
+    """
+    if (families and exclude_families) or (qualifiers and exclude_qualifiers):
+        raise ValueError("either included or excluded names")
+
+    def matches(name: Column, patterns: Sequence[str]) -> Column:
+        return name.rlike("^(?:" + "|".join(f"(?:{p})" for p in patterns) + ")$")
 
     def kept(e: Column) -> Column:
-        keep = F.lit(True)
-        if families:
-            keep = keep & e["family"].rlike("^(?:" + "|".join(families) + ")$")
-        if qualifiers:
-            keep = keep & (e["qualifier"].isNull() | F.concat_ws(":", e["family"], e["qualifier"]).rlike("^(?:" + "|".join(qualifiers) + ")$"))
+        keep, whole = F.lit(True), F.concat_ws(":", e["family"], e["qualifier"])
+        if families or exclude_families:
+            keep = keep & (matches(e["family"], families) if families else ~matches(e["family"], exclude_families))
+        if qualifiers or exclude_qualifiers:
+            keep = keep & (e["qualifier"].isNull() | (matches(whole, qualifiers) if qualifiers else ~matches(whole, exclude_qualifiers)))
         return keep
 
     return mutations.withColumn("entries", F.filter("entries", kept)).filter(F.size("entries") > 0)

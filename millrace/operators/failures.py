@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.formats import truncate_utf8
@@ -64,3 +64,17 @@ def isolate(df: DataFrame, batch: str, rejected: Column, alone: Column) -> DataF
     """
     suspects = df.groupBy(batch).agg(F.max(F.coalesce(rejected, F.lit(False))).alias("_suspect"))
     return df.join(suspects, batch).withColumn("failed", F.col("_suspect") & F.coalesce(alone, F.lit(False))).drop("_suspect")
+
+
+#: Confirmed rejections in a row after which a dropping policy gives up.
+MAX_CONSECUTIVE = 100
+
+
+def stop_after_consecutive(df: DataFrame, lane: str, order: str, failed: str = "failed", most: int = MAX_CONSECUTIVE) -> DataFrame:
+    """The rows; ``most`` confirmed failures in a row within a lane fail the query, as then the table is at fault, not the rows."""
+    w = Window.partitionBy(lane).orderBy(order)
+    good = F.sum(F.when(F.col(failed), 0).otherwise(1)).over(w.rowsBetween(Window.unboundedPreceding, 0))
+    run = F.sum(F.when(F.col(failed), 1).otherwise(0)).over(Window.partitionBy(lane, "_good").orderBy(order).rowsBetween(Window.unboundedPreceding, 0))
+    counted = df.withColumn("_good", good).withColumn("_run", run)
+    refuse = F.raise_error(F.format_string("%d rejections in a row", F.col("_run"))).cast("boolean")
+    return counted.filter(F.when(F.col("_run") < most, True).otherwise(refuse)).drop("_good", "_run")

@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 DESTINATION, REASON = "_destination", "_reason"
 
+# Fixed value: the scope of an OAuth token that names none.
+DEFAULT_SCOPE = "https://www.googleapis.com/auth/cloud-platform"
+
 
 def route(df: DataFrame, destination: Column, reason: Column | None = None) -> tuple[DataFrame, DataFrame]:
     """Rows with a destination, and the rows that have none with the reason."""
@@ -22,9 +25,12 @@ def write_routed(routed: DataFrame, folder: str, options: dict[str, str] | None
     routed.write.mode("append").options(**(options or {})).partitionBy(DESTINATION).parquet(folder)
 
 
-def serialized(df: DataFrame, payload: Column, name: str = "payload") -> DataFrame:
-    """Rows with their payload; a null payload means that the row is skipped."""
-    return df.withColumn(name, payload).filter(F.col(name).isNotNull())
+def serialized(df: DataFrame, payload: Column, name: str = "payload", skipped: Observation | None = None) -> DataFrame:
+    """Rows with their payload; a null payload means that the row is skipped, which ``skipped`` counts."""
+    out = df.withColumn(name, payload)
+    if skipped is not None:
+        out = out.observe(skipped, F.count(F.when(F.col(name).isNull(), 1)).alias("skipped"))
+    return out.filter(F.col(name).isNotNull())
 
 
 def add_fields(df: DataFrame, fields: dict[str, Column], nulls: str = "allow") -> DataFrame:
@@ -37,8 +43,21 @@ def add_fields(df: DataFrame, fields: dict[str, Column], nulls: str = "allow") -
     return df.withColumns(fields)
 
 
-def http_task(url: Column, body: Column, method: Column | str = "POST", headers: Column | None = None, schedule_at: Column | None = None, dedupe_key: Column | None = None) -> Column:
-    """An HTTP task; methods without body carry none."""
+def http_task(url: Column, body: Column, method: Column | str = "POST", headers: Column | None = None, schedule_at: Column | None = None, dedupe_key: Column | None = None, oidc: tuple[str, str | None] | None = None, oauth: tuple[str, str | None] | None = None) -> Column:
+    """An HTTP task; methods without body carry none.
+
+    ``oidc`` is an account and an audience (by default the URL), ``oauth`` an account and
+    a scope; a task takes one of them at most.
+    """
+    if oidc and oauth:
+        raise ValueError("either an OIDC or an OAuth token")
+    text = lambda v: F.lit(v).cast("string")
+    if oidc:
+        token = F.struct(F.lit("OIDC").alias("kind"), text(oidc[0]).alias("account"), (text(oidc[1]) if oidc[1] else url).alias("target"))
+    elif oauth:
+        token = F.struct(F.lit("OAUTH").alias("kind"), text(oauth[0]).alias("account"), text(oauth[1] or DEFAULT_SCOPE).alias("target"))
+    else:
+        token = F.lit(None).cast("struct<kind:string,account:string,target:string>")
     verb = F.upper(F.lit(method)) if isinstance(method, str) else F.upper(method)
     known = F.when(verb.isin("POST", "GET", "HEAD", "PUT", "DELETE", "PATCH", "OPTIONS"), verb).otherwise(F.raise_error(F.concat(F.lit("no HTTP method: "), verb)).cast("string"))
     right_url = F.when(url.rlike("^https?://[^/\\s]+"), url).otherwise(F.raise_error(F.concat(F.lit("no HTTP URL: "), F.coalesce(url, F.lit("null")))).cast("string"))
@@ -49,6 +68,7 @@ def http_task(url: Column, body: Column, method: Column | str = "POST", headers:
         (headers if headers is not None else F.create_map().cast("map<string,string>")).alias("headers"),
         F.when(known.isin("POST", "PUT", "PATCH"), body).alias("body"),
         (schedule_at.cast("timestamp") if schedule_at is not None else F.lit(None).cast("timestamp")).alias("schedule_at"),
+        token.alias("token"),
     )
 
 

@@ -47,7 +47,10 @@ class KeySelection:
 
 
 def convertible(condition: Condition) -> bool:
-    """Whether a literal says the same as a key value: no NaN, no null."""
+    """Whether a literal says the same as a key value: no NaN, no null; floats and UUIDs by equality alone.
+
+    A service compares these in an order of its own.
+    """
     if condition.op == "is_not_null":
         return True
     if condition.op not in COMPARISONS or condition.value is None:

@@ -492,13 +492,10 @@ def uuid_parse(spark, sf_dir):
     return _table(spark, sf_dir, "events").select("event_id", formats.parse_uuid(raw).alias("uuid"))
 
 
-@query("SELECT doc_id, strlen(text) <= 1024 AS whole, CASE WHEN strlen(text) <= 1024 THEN text END AS text FROM documents")
+@query("""SELECT doc_id, CASE WHEN strlen(text) <= 1024 THEN text ELSE
+  (SELECT max_by(substr(text, 1, n::BIGINT), n) FROM (SELECT unnest(range(240, 1011)) AS n) WHERE strlen(substr(text, 1, n::BIGINT)) <= 1010) || '...[truncated]' END AS text FROM documents""")
 def error_text_truncation(spark, sf_dir):
-    cut = formats.truncate_utf8(F.col("text"))
-    fits = F.octet_length("text") <= formats.ATTRIBUTE_LIMIT
-    # a cut text is within the limit, marked, and a beginning of the whole
-    right = (F.octet_length(cut) <= formats.ATTRIBUTE_LIMIT) & cut.endswith(formats.TRUNCATION_MARK) & F.col("text").startswith(F.replace(cut, F.lit(formats.TRUNCATION_MARK), F.lit("")))
-    return _table(spark, sf_dir, "documents").select("doc_id", F.when(fits, F.lit(True)).when(right, F.lit(False)).alias("whole"), F.when(fits, cut).alias("text"))
+    return _table(spark, sf_dir, "documents").select("doc_id", formats.truncate_utf8(F.col("text")).alias("text"))
 
 
 @query("SELECT n, least(100 * pow(2, n - 1), 5000)::BIGINT AS backoff_ms FROM (SELECT unnest(range(1, 21)) AS n)")
@@ -513,6 +510,15 @@ def error_classes(spark, sf_dir):
     return _table(spark, sf_dir, "events").select("event_id", retry.chain_class(chain).alias("class"))
 
 
+@query("""SELECT event_id, CASE event_id % 6 WHEN 0 THEN 'TRANSIENT' WHEN 1 THEN 'TERMINAL' WHEN 2 THEN 'CANCELLATION' WHEN 3 THEN 'ROW_LEVEL' WHEN 4 THEN 'DONE' ELSE 'ROW_LEVEL' END AS class FROM events""")
+def service_error_classes(spark, sf_dir):
+    n = F.col("event_id") % 6
+    chain = F.when(n.isin(0, 1), F.array(F.lit("OTHER"), F.lit("UNAVAILABLE"))).when(n == 2, F.array(F.lit("CANCELLED"))).when(n == 4, F.array(F.lit("ALREADY_EXISTS"))).otherwise(F.array(F.lit("OUT_OF_RANGE")))
+    of = lambda service, **more: retry.service_class(service, chain, **more)
+    case = F.when(n == 0, of("warehouse")).when(n == 1, of("kv")).when(n == 2, of("bus")).when(n == 3, of("relational", route_violations=True)).when(n == 4, of("tasks")).otherwise(of("warehouse", rejected_rows=F.lit(True)))
+    return _table(spark, sf_dir, "events").select("event_id", case.alias("class"))
+
+
 # -- routing, tasks, failures
 
 
@@ -551,12 +557,14 @@ def dlq_split(spark, sf_dir):
     return good.select(F.lit("good").alias("part"), "doc_id", F.lit(None).cast("string").alias("dlq_error")).unionByName(dead.select(F.lit("dead").alias("part"), F.col("payload").alias("doc_id"), "dlq_error"))
 
 
-@query("""WITH e AS (SELECT event_id, event_id // 50 AS batch, event_type = 'error' AND value > 330 AS bad FROM events), b AS (SELECT batch, bool_or(bad) AS s FROM e GROUP BY 1)
-SELECT event_id, s AND bad AS failed FROM e JOIN b USING (batch)""")
+@query("""WITH e AS (SELECT event_id, event_id // 50 AS batch, event_type = 'error' AND value > 100 AS rejected, value > 300 AS alone FROM events), b AS (SELECT batch, bool_or(rejected) AS s FROM e GROUP BY 1)
+SELECT event_id, s AND alone AS failed FROM e JOIN b USING (batch)""")
 def isolate_before_routing(spark, sf_dir):
-    bad = (F.col("event_type") == "error") & (F.col("value") > 330)
-    e = _table(spark, sf_dir, "events").select("event_id", F.floor(F.col("event_id") / 50).alias("batch"), bad.alias("bad"))
-    return failures.isolate(e, "batch", F.col("bad"), F.col("bad")).select("event_id", "failed")
+    """A batch is rejected for one of its rows; only those that fail alone as well are to blame."""
+    rejected = (F.col("event_type") == "error") & (F.col("value") > 100)
+    e = _table(spark, sf_dir, "events").select("event_id", F.floor(F.col("event_id") / 50).alias("batch"), rejected.alias("rejected"), (F.col("value") > 300).alias("alone"))
+    found = failures.isolate(e, "batch", F.col("rejected"), F.col("alone"))
+    return failures.stop_after_consecutive(found, "batch", "event_id", most=51).select("event_id", "failed")
 
 
 @query("SELECT event_id, CASE WHEN try_cast(json_extract_string(p, '$.k') AS BIGINT) IS NULL THEN 'nack' ELSE 'ok' END AS verdict, try_cast(json_extract_string(p, '$.k') AS BIGINT)::VARCHAR AS k FROM (SELECT event_id, CASE WHEN event_id % 9 = 0 THEN '{}' ELSE props END AS p FROM events)")
@@ -571,8 +579,10 @@ def bus_decode_policy(spark, sf_dir):
 def bus_ordering(spark, sf_dir):
     c = _table(spark, sf_dir, "conversations")
     m = c.select("turn", *bus.message(F.col("text"), None, F.col("conv_id").cast("string"), publish_time=F.timestamp_seconds(F.col("turn"))))
-    w = Window.partitionBy("ordering_key").orderBy("publish_time")
-    return bus.per_key_order(m).select("ordering_key", "turn", F.row_number().over(w).cast("bigint").alias("place"))
+    # places are counted as the rows come, within the task that has the key
+    w = Window.partitionBy("ordering_key").orderBy("_at")
+    came = bus.per_key_order(m).withColumn("_at", F.monotonically_increasing_id())
+    return came.select("ordering_key", "turn", F.row_number().over(w).cast("bigint").alias("place"))
 
 
 # -- schemas, weights, planning

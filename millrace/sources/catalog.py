@@ -29,7 +29,7 @@ _KNOWN = {
     "kv": {"path", "families", "scan.row-ranges", "scan.row-prefix", "scan.row-range.start-closed", "scan.row-range.end-open", "scan.row-key-encoding", "scan.timestamp-micros", "key-type", "key-column"},
     "relational": {"path", "columns", "scan.timestamp-bound.read-timestamp", "scan.timestamp-bound.exact-staleness", "scan.query", "key", "version-time", "deleted", "order"},
     "bus": {"topic", "subscription", "format", "schema", "scan.deserialization-failure-policy", "scan.startup.mode", "scan.startup.timestamp-millis", "scan.auto-create.filter", "scan.ordering-mode", "sink.message-ordering.enabled", "ordering-key", "attributes"},
-    "tasks": {"queue", "http.url", "http.method", "http.headers", "app-engine.relative-uri", "app-engine.service", "app-engine.version", "app-engine.instance", "name-column", "body"},
+    "tasks": {"queue", "http.url", "http.method", "http.headers", "http.oidc.service-account-email", "http.oidc.audience", "http.oauth.service-account-email", "http.oauth.scope", "app-engine.relative-uri", "app-engine.service", "app-engine.version", "app-engine.instance", "name-column", "body"},
 }
 _PARTITION_UNITS = {"HOUR": "hour", "DAY": "day", "MONTH": "month", "YEAR": "year"}
 
@@ -192,9 +192,10 @@ def _insert_tasks(df: DataFrame, o: dict[str, str]) -> None:
     name = F.col(o["name-column"]) if "name-column" in o else None
     if ("http.url" in o) == ("app-engine.relative-uri" in o):
         raise ValueError("tasks need either http.url or app-engine.relative-uri")
+    token = lambda kind, target: (o[f"http.{kind}.service-account-email"], o.get(f"http.{kind}.{target}")) if f"http.{kind}.service-account-email" in o else None
     if "http.url" in o:
         headers = F.create_map(*[F.lit(x) for pair in o["http.headers"].split(",") for x in pair.split(":", 1)]) if "http.headers" in o else None
-        task = routing.http_task(F.lit(o["http.url"]), body, o.get("http.method", "POST"), headers, dedupe_key=name)
+        task = routing.http_task(F.lit(o["http.url"]), body, o.get("http.method", "POST"), headers, dedupe_key=name, oidc=token("oidc", "audience"), oauth=token("oauth", "scope"))
         rows = df.select(task.alias("t")).select("t.*")
     else:
         part = lambda n: F.lit(o[n]) if n in o else None

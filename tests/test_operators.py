@@ -276,3 +276,33 @@ def test_constraint_policies(spark):
         relational.checked(df, {"positive": F.col("v") > 0})[0].collect()
     with pytest.raises(ValueError):
         relational.checked(df, {}, "ignore")
+
+
+def test_entries_can_be_excluded(spark):
+    m = entries(spark, ("SET_CELL", "f", "q", "v", False, False), ("SET_CELL", "g", "q", "v", False, False), ("DELETE_FAMILY", "f", None, None, False, False))
+    left = lambda **o: [e["family"] for r in changelog.filter_entries(m, **o).collect() for e in r["entries"]]
+    assert left(exclude_families=["f"]) == ["g"] and left(exclude_qualifiers=["f:q"]) == ["g", "f"] and left(exclude_families=["f|g"]) == []
+    with pytest.raises(ValueError):
+        left(families=["f"], exclude_families=["g"])
+
+
+def test_tokens_of_http_tasks(spark):
+    one = lambda **o: spark.range(1).select(routing.http_task(F.lit("https://h/p"), F.lit("b"), **o).alias("t")).first()["t"]["token"]
+    assert one() is None and tuple(one(oidc=("a@x", None))) == ("OIDC", "a@x", "https://h/p") and one(oauth=("a@x", "s"))["target"] == "s"
+    with pytest.raises(ValueError):
+        one(oidc=("a", None), oauth=("a", None))
+
+
+def test_skipped_rows_are_counted(spark):
+    from pyspark.sql import Observation
+
+    seen = Observation("skips")
+    df = spark.createDataFrame([("a",), (None,), (None,)], "v string")
+    assert routing.serialized(df, F.upper("v"), skipped=seen).count() == 1 and seen.get["skipped"] == 2
+
+
+def test_many_rejections_in_a_row_stop(spark):
+    df = spark.createDataFrame([("l", i, i % 4 != 0) for i in range(12)], "lane string, i int, failed boolean")
+    assert failures.stop_after_consecutive(df, "lane", "i", most=4).count() == 12
+    with pytest.raises(Exception, match="3 rejections in a row"):
+        failures.stop_after_consecutive(df, "lane", "i", most=3).collect()
