@@ -6,6 +6,7 @@ import hashlib
 import re
 from datetime import datetime, timedelta, timezone
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -91,6 +92,8 @@ class QueryResults:
             try:
                 self.spark.sql(sql).write.parquet(path)
                 return self.spark.read.parquet(path)
-            except Exception as e:  # the path is taken by a failed attempt, or the query failed
-                failure = e
+            except AnalysisException as e:
+                if e.getCondition() != "PATH_ALREADY_EXISTS":  # a query that is wrong stays wrong
+                    raise
+                failure = e  # the path is taken by a failed attempt
         raise failure

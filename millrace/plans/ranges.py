@@ -244,11 +244,17 @@ def coalesced(df: DataFrame, by: list[str], start: str = "start", end: str = "en
     return islands.groupBy(*by, "_island").agg(F.min(start).alias(start), whole.alias(end)).drop("_island")
 
 
-def gaps(df: DataFrame, by: list[str], start: str = "start", end: str = "end") -> DataFrame:
-    """What lies between the ranges of each group."""
+def gaps(df: DataFrame, by: list[str], start: str = "start", end: str = "end", low=None, high=None) -> DataFrame:
+    """What lies between the ranges of each group; from ``low`` and up to ``high`` as well, where these are given."""
+    ends = []
+    if low is not None:
+        ends.append(df.select(*by).distinct().select(*by, F.lit(low).cast(df.schema[start].dataType).alias(start), F.lit(low).cast(df.schema[end].dataType).alias(end)))
+    if high is not None:
+        ends.append(df.select(*by).distinct().select(*by, F.lit(high).cast(df.schema[start].dataType).alias(start), F.lit(high).cast(df.schema[end].dataType).alias(end)))
+    whole = reduce(lambda a, b: a.unionByName(b), ends, df.select(*by, start, end))
     order = Window.partitionBy(*by).orderBy(start)
-    merged = coalesced(df, by, start, end).withColumn("_next", F.lead(start).over(order))
-    return merged.filter(F.col("_next").isNotNull()).select(*by, F.col(end).alias(start), F.col("_next").alias(end))
+    merged = coalesced(whole, by, start, end).withColumn("_next", F.lead(start).over(order))
+    return merged.filter(F.col("_next").isNotNull() & F.col(end).isNotNull()).select(*by, F.col(end).alias(start), F.col("_next").alias(end))
 
 
 def fully_covered(df: DataFrame, target_start, target_end, by: list[str], start: str = "start", end: str = "end") -> DataFrame:

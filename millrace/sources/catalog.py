@@ -25,6 +25,7 @@ _KNOWN = {
     "warehouse": {
         "path", "source.query", "source.row-restriction", "source.snapshot-time", "source.max-stream-count", "source.reuse-query-result-within", "source.result-folder", "columns", "key", "version-time", "deleted",
         "sink.create-disposition", "sink.file-loads.write-disposition", "sink.table-create.clustered-fields", "sink.table-create.time-partitioning.field", "sink.table-create.time-partitioning.type",
+        "sink.cdc.enabled", "sink.cdc.max-staleness", "sink.cdc.table-reconciliation", "order",
     },
     "kv": {"path", "families", "scan.row-ranges", "scan.row-prefix", "scan.row-range.start-closed", "scan.row-range.end-open", "scan.row-key-encoding", "scan.timestamp-micros", "key-type", "key-column"},
     "relational": {"path", "columns", "scan.timestamp-bound.read-timestamp", "scan.timestamp-bound.exact-staleness", "scan.query", "key", "version-time", "deleted", "order"},
@@ -112,6 +113,10 @@ def table(spark: SparkSession, connector: str, options: dict[str, str]) -> DataF
     else:
         _needs(connector, o, "path")
         if not at:
+            if relational.versions(spark, o["path"].rstrip("/")):  # it follows a changelog
+                df = relational.read_current(spark, o["path"].rstrip("/"))
+                df = df.where(restriction) if restriction else df
+                return df.select(*columns) if columns else df
             streams = int(o["source.max-stream-count"]) if "source.max-stream-count" in o else None
             return warehouse.scan(spark, o["path"], columns, restriction, streams)
         _needs(connector, o, "key", "version-time")
@@ -147,7 +152,11 @@ def create_view(spark: SparkSession, name: str, connector: str, options: dict[st
 def insert(df: DataFrame, connector: str, options: dict[str, str]) -> None:
     """Writes rows to a table by its options; for a changelog they have ``_row_kind``."""
     o = check_options(connector, options)
-    if connector == "warehouse":
+    if connector == "warehouse" and o.get("sink.cdc.enabled", "false").lower() == "true":
+        _needs(connector, o, "path", "key", "order")
+        _keep_contract(df.sparkSession, o)
+        _follow(df, o)
+    elif connector == "warehouse":
         _needs(connector, o, "path")
         unit, field = o.get("sink.table-create.time-partitioning.type", "DAY"), o.get("sink.table-create.time-partitioning.field")
         warehouse.write(
@@ -170,11 +179,7 @@ def insert(df: DataFrame, connector: str, options: dict[str, str]) -> None:
             df.write.mode("append").parquet(o["path"])
             return
         _needs(connector, o, "key", "order")
-        # a table is followed in versions: the next one never overwrites what it reads
-        versions = o["path"].rstrip("/")
-        done = relational.versions(df.sparkSession, versions)
-        before = df.sparkSession.read.parquet(done[max(done)]) if done else None
-        relational.next_version(before, df, versions, max(done, default=-1) + 1, _names(o["key"]), _names(o["order"]))
+        _follow(df, o)
     elif connector == "bus":
         _needs(connector, o, "topic")
         own = [c for c in (o.get("ordering-key"), o.get("attributes")) if c]
@@ -185,6 +190,45 @@ def insert(df: DataFrame, connector: str, options: dict[str, str]) -> None:
         _insert_tasks(df, o)
 
 
+def _follow(changes: DataFrame, o: dict[str, str]) -> None:
+    """A table follows a changelog in versions: the next one never overwrites what it reads."""
+    folder = o["path"].rstrip("/")
+    done = relational.versions(changes.sparkSession, folder)
+    before = changes.sparkSession.read.parquet(done[max(done)]) if done else None
+    relational.next_version(before, changes, folder, max(done, default=-1) + 1, _names(o["key"]), _names(o["order"]))
+
+
+def _keep_contract(spark: SparkSession, o: dict[str, str]) -> None:
+    """Checks the table's contract, and stores it where it is new or may be reconciled."""
+    place = f"{o['path'].rstrip('/')}/_contract"
+    known = spark.read.parquet(place).first().asDict() if exists(spark, place) else None
+    wanted = contract(known, _names(o["key"]), o.get("sink.cdc.max-staleness"), o.get("sink.cdc.table-reconciliation", "verify-only"), o.get("sink.create-disposition", "create-if-needed"))
+    if wanted != known:
+        spark.createDataFrame([(wanted["primary_key"], wanted["max_staleness"])], "primary_key array<string>, max_staleness string").coalesce(1).write.mode("overwrite").parquet(place)
+
+
+def contract(existing: dict | None, primary_key: list[str], max_staleness: str | None, policy: str = "verify-only", create: str = "create-if-needed") -> dict:
+    """The properties that a table of upserts shall have: its primary key and how stale reads may be.
+
+    A missing table is created unless that is denied. Of an existing one the key has to
+    agree under every policy; another staleness is an error under ``verify-only`` and is
+    taken over under ``reconcile``. A staleness that is not given is not managed.
+    """
+    if policy not in ("verify-only", "reconcile"):
+        raise ValueError(f"no reconciliation policy {policy}")
+    if existing is None:
+        if create == "create-never":
+            raise FileNotFoundError("the table is missing and must not be created")
+        return {"primary_key": primary_key, "max_staleness": max_staleness}
+    if existing["primary_key"] != primary_key:
+        raise ValueError(f"the table's key is {existing['primary_key']}, not {primary_key}")
+    if max_staleness is None or existing["max_staleness"] == max_staleness:
+        return existing
+    if policy == "verify-only":
+        raise ValueError(f"the table's staleness is {existing['max_staleness']}, not {max_staleness}")
+    return existing | {"max_staleness": max_staleness}
+
+
 def _insert_tasks(df: DataFrame, o: dict[str, str]) -> None:
     """Tasks with a name are written once, however often they are inserted."""
     _needs("tasks", o, "queue")

@@ -199,3 +199,20 @@ def test_staging_rolls_by_size(spark, tmp_path):
     staging.staging_files(df, str(tmp_path / "s"), max_bytes=100_000)
     files = [f for f in (tmp_path / "s").iterdir() if f.suffix == ".parquet"]
     assert 4 <= len(files) <= 9 and spark.read.parquet(str(tmp_path / "s")).count() == 4000
+
+
+def test_gaps_at_the_ends(spark):
+    df = spark.createDataFrame([(1, 5, 10), (1, 12, None), (2, 0, 20)], "g int, start int, end int")
+    found = ranges.gaps(df, ["g"], low=0, high=30)
+    assert sorted(map(tuple, found.collect())) == [(1, 0, 5), (1, 10, 12), (2, 20, 30)]
+    assert sorted(map(tuple, ranges.gaps(df, ["g"]).collect())) == [(1, 10, 12)]
+
+
+def test_a_wrong_query_is_not_tried_again(spark, tmp_path, monkeypatch):
+    results = positions.QueryResults(spark, str(tmp_path / "r"), timedelta(hours=1))
+    tried = []
+    sql = spark.sql
+    monkeypatch.setattr(results, "spark", type("S", (), {"sql": lambda self, q: tried.append(q) or sql(q), "read": spark.read, "_jvm": spark._jvm, "_jsc": spark._jsc})())
+    with pytest.raises(Exception, match="nowhere_at_all"):
+        results.query("q", "SELECT no_such FROM nowhere_at_all")
+    assert len(tried) == 1

@@ -182,6 +182,20 @@ def test_inserts_by_options(spark, tmp_path):
     catalog.insert(changelog_of([("+U", 1, "old", 4), ("+I", 2, "late", 6), ("+I", 3, "c", 1)]), "relational", o)
     assert sorted((r["k"], r["v"]) for r in relational.read_current(spark, table).collect()) == [(1, "new"), (3, "c")]
 
+    assert sorted((r["k"], r["v"]) for r in catalog.table(spark, "relational", {"path": table, "columns": "k,v"}).collect()) == [(1, "new"), (3, "c")]
+
+    cdc = {"path": str(tmp_path / "cdc"), "key": "k", "order": "o", "sink.cdc.enabled": "true", "sink.cdc.max-staleness": "5m"}
+    with pytest.raises(FileNotFoundError):
+        catalog.insert(changelog_of([("+U", 1, "a", 1)]), "warehouse", cdc | {"sink.create-disposition": "create-never"})
+    catalog.insert(changelog_of([("+U", 1, "a", 2)]), "warehouse", cdc)
+    catalog.insert(changelog_of([("+U", 1, "late", 1), ("+U", 2, "b", 1)]), "warehouse", cdc)
+    assert sorted((r["k"], r["v"]) for r in catalog.table(spark, "warehouse", {"path": cdc["path"], "source.row-restriction": "k < 9"}).collect()) == [(1, "a"), (2, "b")]
+    with pytest.raises(ValueError):
+        catalog.insert(changelog_of([("+U", 1, "x", 9)]), "warehouse", cdc | {"sink.cdc.max-staleness": "1m"})
+    catalog.insert(changelog_of([("+U", 1, "x", 9)]), "warehouse", cdc | {"sink.cdc.max-staleness": "1m", "sink.cdc.table-reconciliation": "reconcile"})
+    with pytest.raises(ValueError):
+        catalog.insert(changelog_of([("+U", 1, "x", 9)]), "warehouse", cdc | {"key": "v"})
+
     path = str(tmp_path / "w")
     catalog.insert(df, "warehouse", {"path": path, "sink.table-create.clustered-fields": "id"})
     catalog.insert(df.select("id", F.col("amount").cast("long").alias("amount")), "warehouse", {"path": path, "sink.file-loads.write-disposition": "truncate-data"})
