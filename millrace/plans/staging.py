@@ -10,9 +10,11 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..sources.files import finished_names
+
 # Limits of a load and of a copy.
 MAX_FILES = 10_000
 MAX_BYTES = 11 * 1024**4
@@ -46,6 +48,39 @@ def loads(planned: DataFrame, checkpoint: str | None = None) -> DataFrame:
     ).drop("_uris")
 
 
+LOAD = "load-"
+
+
+def run_loads(spark: SparkSession, planned: DataFrame, folder: str, checkpoint: str | None = None) -> list[str]:
+    """Loads the staged Parquet files of every planned load, each once, and says which loads were new.
+
+    A load goes to a folder named by its identity below its destination's and is visible
+    once finished (``loaded``), so a run that was cut short goes on where it stopped.
+    The driver sees loads and file names, never rows. Where a service would gather
+    temporary tables by copies, one job reads all files of a load.
+    """
+    out = []
+    ids = loads(planned, checkpoint).select("destination", "format", "load_index", "load_id")
+    members = planned.join(ids, ["destination", "format", "load_index"]).groupBy("destination", "load_id").agg(F.array_sort(F.collect_list("uri")).alias("uris"))
+    for row in members.orderBy("destination", "load_id").collect():
+        place = f"{folder}/{row['destination']}"
+        done = finished_names(spark, place, LOAD)
+        if row["load_id"] in done:
+            continue
+        spark.read.parquet(*row["uris"]).write.mode("overwrite").parquet(f"{place}/{LOAD}{row['load_id']}")
+        out.append(row["load_id"])
+    return out
+
+
+def loaded(spark: SparkSession, folder: str, destination: str) -> DataFrame:
+    """The rows of all finished loads of a destination."""
+    place = f"{folder}/{destination}"
+    names = finished_names(spark, place, LOAD)
+    if not names:
+        raise FileNotFoundError(f"no finished load below {place}")
+    return spark.read.option("mergeSchema", "true").parquet(*[f"{place}/{LOAD}{n}" for n in sorted(names)])
+
+
 def copy_levels(load_count: int, fan_in: int = COPY_FAN_IN) -> list[int]:
     """How many copies each level makes until one table is left."""
     out = []

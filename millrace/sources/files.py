@@ -15,14 +15,16 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+def finished_names(spark: SparkSession, folder: str, prefix: str) -> dict[str, str]:
+    """Name behind the prefix -> path of the folders that hold a finished write."""
+    fs, p = _fs(spark, f"{folder}/{prefix}*/_SUCCESS")
+    parents = [status.getPath().getParent() for status in fs.globStatus(p) or []]
+    return {parent.getName()[len(prefix) :]: parent.toString() for parent in parents}
+
+
 def finished_folders(spark: SparkSession, folder: str, prefix: str) -> dict[int, str]:
     """Number -> path of the folders ``prefix<number>`` that hold a finished write."""
-    fs, p = _fs(spark, f"{folder}/{prefix}*/_SUCCESS")
-    out = {}
-    for status in fs.globStatus(p) or []:
-        parent = status.getPath().getParent()
-        out[int(parent.getName()[len(prefix) :])] = parent.toString()
-    return out
+    return {int(name): path for name, path in finished_names(spark, folder, prefix).items()}
 
 
 def remove(spark: SparkSession, path: str) -> None:

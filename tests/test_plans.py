@@ -216,3 +216,16 @@ def test_a_wrong_query_is_not_tried_again(spark, tmp_path, monkeypatch):
     with pytest.raises(Exception, match="nowhere_at_all"):
         results.query("q", "SELECT no_such FROM nowhere_at_all")
     assert len(tried) == 1
+
+
+def test_loads_run_once(spark, tmp_path):
+    for i in range(5):
+        spark.range(i * 10, i * 10 + 10).coalesce(1).write.parquet(str(tmp_path / f"f{i}"))
+    files = spark.createDataFrame([("d" if i < 4 else "e", "parquet", str(tmp_path / f"f{i}"), 10, 10) for i in range(5)], "destination string, format string, uri string, bytes long, rows long")
+    planned = staging.plan_loads(files, max_files=3)
+    out = str(tmp_path / "tables")
+    assert len(staging.run_loads(spark, planned, out, "1")) == 3
+    assert staging.run_loads(spark, planned, out, "1") == []  # the same loads again
+    assert sorted(r["id"] for r in staging.loaded(spark, out, "d").collect()) == list(range(40)) and staging.loaded(spark, out, "e").count() == 10
+    with pytest.raises(FileNotFoundError):
+        staging.loaded(spark, out, "x")
