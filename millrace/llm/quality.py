@@ -51,15 +51,7 @@ def repeated_words(words: Column, window: int = WINDOW) -> Column:
         def same(s: Column, a: Column, b: Column) -> Column:
             return F.coalesce(F.get(s, a)["h"] == F.get(s, b)["h"], F.lit(False))
 
-        return let(
-            by_hash,
-            lambda s: F.sort_array(
-                F.transform(
-                    F.filter(F.transform(s, lambda x, k: F.when(same(s, k, k - 1) | same(s, k, k + 1), x["i"])), lambda i: i.isNotNull()),
-                    lambda i: i,
-                )
-            ),
-        )
+        return let(by_hash, lambda s: F.sort_array(F.array_compact(F.transform(s, lambda x, k: F.when(same(s, k, k - 1) | same(s, k, k + 1), x["i"])))))
 
     def covered(starts: Column) -> Column:
         gaps = F.transform(starts, lambda p, k: F.least(F.lit(window), F.coalesce(F.get(starts, k + 1) - p, F.lit(window))))

@@ -171,7 +171,8 @@ def count_tokens(docs: DataFrame, cache_path: str | None = None, path: str = VOC
         spark.createDataFrame([], CACHE_SCHEMA).write.mode("append").parquet(cache_path)
     missed = checkpointed(digests.join(cached().select("digest"), "digest", "left_anti"))
     if not missed.isEmpty():
-        _encode_misses(_contents(docs, missed, keyed.count(), path), path).write.mode("append").parquet(cache_path)
+        # few and not too small files, however many tasks encode
+        _encode_misses(_contents(docs, missed, keyed.count(), path), path).hint("rebalance").write.mode("append").parquet(cache_path)
     # two calls may have appended the same digest
     counts = cached().join(digests, "digest").groupBy("digest", "rows").agg(F.max("n_tokens").alias("n_tokens")).withColumnRenamed("digest", "known")
     found = joined_by_key(keyed, "digest", checkpointed(counts), "known", "rows", keyed.count())

@@ -68,6 +68,8 @@ CHATS = [
     (3, None, "user", "first"),
     (4, 0, "user", "same"),
     (4, 0, "user", "same"),
+    (5, 0, "user", "long " * 40_000),
+    (5, 1, "assistant", "</s>" * 20_000 + "日" * 20_000),
 ]
 
 
