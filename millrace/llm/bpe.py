@@ -104,7 +104,7 @@ def is_latin1(text: str) -> bool:
     return True
 
 
-def _byte_alphabet() -> dict[str, int]:
+def byte_alphabet() -> dict[str, int]:
     """The printable stand-ins of the 256 bytes in byte-level vocabularies."""
     shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
     hidden = [b for b in range(256) if b not in shown]
@@ -118,7 +118,7 @@ class PairIndexBpe:
         self.cache_limit = cache_limit
         with open(tokenizer_path(path), encoding="utf-8") as f:
             spec = json.load(f)
-        alphabet = _byte_alphabet()
+        alphabet = byte_alphabet()
         vocab = spec["model"]["vocab"]
         byte_ids = np.zeros(256, np.int64)
         for ch, b in alphabet.items():

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from .bpe import is_latin1, slices, splitter
+from .bpe import byte_alphabet, is_latin1, slices, splitter
 from .common import tokenizer_path
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -72,9 +72,26 @@ class DocumentIds:
         spec = json.loads(self.tokenizer.to_str())
         cut = spec["pre_tokenizer"] or {}
         self.by_piece = spec["normalizer"] is None and cut.get("type") == "ByteLevel" and not cut["add_prefix_space"] and cut.get("use_regex", True)
-        self.pieces = _PieceIds(self._whole)
+        self.pieces = _PieceIds(self._merged(spec["model"]) if self.by_piece else self._whole)
         self.end = struct.pack("<I", END_ID)
 
+    def _merged(self, model: dict):
+        """Packed ids of one pre-token, by merging alone where the ids follow the order of the merges."""
+        import tiktoken
+
+        vocab, alphabet = model["vocab"], byte_alphabet()
+        merges = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
+        if model["type"] != "BPE" or any(vocab[a + b] != len(alphabet) + k for k, (a, b) in enumerate(merges)):
+            return self._whole
+        ranks = {bytes(alphabet[c] for c in token): i for token, i in vocab.items() if i < len(alphabet) + len(merges)}
+        encoding = tiktoken.Encoding("pre-tokens", pat_str=r"[\s\S]+", mergeable_ranks=ranks, special_tokens={})
+
+        def ids_of(piece: str) -> bytes:
+            ids = encoding.encode_ordinary(piece)
+            return struct.pack(f"<{len(ids)}I", *ids)
+
+        return ids_of
+
     def _whole(self, text: str) -> bytes:
         ids = self.tokenizer.encode(text, add_special_tokens=False).ids
         return struct.pack(f"<{len(ids)}I", *ids)
