@@ -121,7 +121,10 @@ _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
 def canonical(text: Column) -> Column:
-    lower = F.translate(F.regexp_replace(text, COPYRIGHT_STATEMENT, ""), _UPPER, _LOWER)
+    # every form of statement has one of these, and most texts have none
+    worth = F.lower(text).contains("copyright") | F.lower(text).contains("(c)") | text.contains("©")
+    stated = F.when(worth, F.regexp_replace(text, COPYRIGHT_STATEMENT, "")).otherwise(text)
+    lower = F.translate(stated, _UPPER, _LOWER)
     spelled = reduce(lambda t, pair: F.replace(t, F.lit(pair[0]), F.lit(pair[1])), SPELLINGS, lower)
     return F.trim(F.regexp_replace(spelled, NOT_A_WORD, " "))
 
@@ -168,7 +171,10 @@ def notice_lines(text: Column) -> Column:
     """The licence ids of the lines that are a known notice as a whole, in order."""
     known = F.map_from_entries(F.array(*[F.struct(canonical(F.lit(t)), F.lit(k)) for k, texts in NOTICES.items() for t in texts]))
     lines = F.filter(F.split(text, "\n", -1), lambda x: x.rlike("(?i)licen|reserved|released"))
-    return F.filter(F.transform(lines, lambda x: F.try_element_at(known, canonical(x))), lambda k: k.isNotNull())
+    found = F.filter(F.transform(lines, lambda x: F.try_element_at(known, canonical(x))), lambda k: k.isNotNull())
+    # most texts need not be cut into lines
+    worth = F.lower(text).contains("licen") | F.lower(text).contains("reserved") | F.lower(text).contains("released")
+    return F.when(worth, found).otherwise(F.array().cast("array<string>"))
 
 
 def scan(docs: DataFrame, known: DataFrame | None = None) -> DataFrame:
