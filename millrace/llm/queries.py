@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, licenses, packing, pii, quality, simhash, token_counts, topk, toxicity
+from . import bpe, cap_filters, chat, divergence, licenses, packing, pii, quality, simhash, token_counts, topk, toxicity, vector_codes
 from .common import read_table, text_or_empty
 
 
@@ -70,8 +70,20 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.compress(read_table(spark, sf_dir, "embeddings"))
+
+
+def op12_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cap_filters.near_duplicates(read_table(spark, sf_dir, "embeddings"))
+
+
+def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(read_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op1_bpe, op2_chat, op3_topk, op4_simhash, op5_token_counts, op6_licenses, op7_packing, op8_toxicity, op9_quality, op10_pii]
+    found = [op1_bpe, op2_chat, op3_topk, op4_simhash, op5_token_counts, op6_licenses, op7_packing, op8_toxicity, op9_quality, op10_pii, op11_vector_codes, op12_near_vectors, op13_divergence]
     return {f.__name__: f for f in found}
 
 
@@ -110,4 +122,4 @@ FROM b
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_topk": OP3_SQL, "op6_licenses": licenses.oracle(), "op9_quality": OP9_SQL}
+    return {"op3_topk": OP3_SQL, "op6_licenses": licenses.oracle(), "op9_quality": OP9_SQL, "op11_vector_codes": vector_codes.oracle(), "op12_near_vectors": cap_filters.oracle(), "op13_divergence": divergence.oracle()}
