@@ -39,7 +39,7 @@ from .common import HOT_KEYS, checkpointed
 from .topk import _ragged, quantised
 
 SCALE, PARTS, ENTRIES, ROUNDS = 4096, 8, 16, 6
-CELL_BITS = 2
+CELL_BITS = 3
 #: Values of a matrix that are worked on at once.
 VALUES = 1 << 18
 #: Bits of a digit of a sum; a digit's own sum keeps to 64 bits in a task.
