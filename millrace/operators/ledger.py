@@ -38,7 +38,7 @@ def merged(parents: DataFrame) -> DataFrame:
     """
     by = ["target_start", "target_end"]
     once = parents.dropDuplicates([*by, "start", "end", "token"])
-    whole = coalesced(once.select(*by, "start", "end"), by)
+    whole = coalesced(once.select(*by, "start", "end"), by, small_groups=True)
     reaches = F.col("end").isNull() | F.coalesce(F.col("end") >= F.col("target_end"), F.lit(False))
     covered = whole.filter((F.col("start") <= F.col("target_start")) & reaches).select(*by).withColumn("_covered", F.lit(True))
     same = once["target_start"].eqNullSafe(covered["target_start"]) & once["target_end"].eqNullSafe(covered["target_end"])

@@ -10,6 +10,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.files import exists, read_text, write_new
+
 SAFETY = timedelta(minutes=1)
 
 
@@ -41,6 +43,28 @@ def restored_start(restored: datetime, now: datetime, retention: timedelta, fall
     return start_time(fallback, now, retention)
 
 
+def kept_start(spark: SparkSession, path: str, mode: str, at: datetime | None = None, retention: timedelta | None = None, now: datetime | None = None) -> datetime | None:
+    """Where a stream begins: found at its first start and kept in a small file.
+
+    A restarted query reads from its checkpoint on; what bounds it from below must stay
+    what it was, or it would leave out what came while it was down. None is the
+    beginning of all that is kept.
+    """
+    now = now or datetime.now(timezone.utc)
+    if exists(spark, path):
+        found = read_text(spark, path).strip()
+        return datetime.fromisoformat(found) if found else None
+    if retention is None:
+        if mode == "at" and at is None:
+            raise ValueError("a start at a time needs the time")
+        start = {"earliest": None, "latest": now, "at": at}[mode]
+    else:
+        start = start_time(mode, now, retention, at)
+    if not write_new(spark, path, start.isoformat() if start else "\n"):  # another was first
+        return kept_start(spark, path, mode, at, retention, now)
+    return start
+
+
 def clamp(requested: Column, now: Column, retention_seconds: int) -> Column:
     """``start_time`` for a column of requests; those for the future are an error."""
     earliest = now - F.make_dt_interval(secs=F.lit(retention_seconds - SAFETY.seconds))

@@ -15,6 +15,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.files import checkpointed
+
+
 @dataclass(frozen=True, order=True)
 class KeyRange:
     """Keys from ``start`` (inclusive, b'' for the first) to ``end`` (exclusive, None for no end)."""
@@ -159,12 +162,23 @@ def parse(text: str, encoding: str = "utf8") -> list[KeyRange]:
     return union(out)
 
 
+def _text(b: bytes) -> Column:
+    try:
+        return F.lit(b.decode())
+    except UnicodeDecodeError:
+        return F.lit(bytearray(b)).cast("string")
+
+
 def predicate(column: Column, ranges: list[KeyRange], as_text: bool = False) -> Column:
-    """The ranges as one predicate over a binary key, or over text whose bytes are the key."""
+    """The ranges as one predicate over a binary key, or over text whose bytes are the key.
+
+    A bound that is no UTF-8, such as the end of the keys that begin with U+00FF, is
+    compared as bytes; text is ordered by its bytes as well.
+    """
 
     def bound(b: bytes) -> Column:
         # the first string after b is b + NUL in both orders
-        return F.lit(b.decode()) if as_text else F.lit(bytearray(b))
+        return _text(b) if as_text else F.lit(bytearray(b))
 
     def one(r: KeyRange) -> Column:
         low = column >= bound(r.start) if r.start else column.isNotNull()
@@ -233,28 +247,75 @@ def split_at(ranges: list[KeyRange], samples: list[tuple[bytes, int]]) -> list[t
 # -- range tables
 
 
-def coalesced(df: DataFrame, by: list[str], start: str = "start", end: str = "end") -> DataFrame:
-    """Overlapping or touching ranges of each group as one; a null end is unbounded."""
-    order = Window.partitionBy(*by).orderBy(start)
-    before = order.rowsBetween(Window.unboundedPreceding, -1)
-    open_before = F.max(F.col(end).isNull()).over(before)
-    new = F.when(F.coalesce(open_before, F.lit(False)) | (F.col(start) <= F.max(end).over(before)), 0).otherwise(1)
-    islands = df.withColumn("_island", F.sum(new).over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    whole = F.when(F.max(F.col(end).isNull()), F.lit(None)).otherwise(F.max(end))
-    return islands.groupBy(*by, "_island").agg(F.min(start).alias(start), whole.alias(end)).drop("_island")
+def _in_segments(df: DataFrame, by: list[str], order: str) -> DataFrame:
+    """The rows in range partitions of group and order, with their group as ``_g`` and their partition as ``_p``.
+
+    A segment is the part of a group in one partition. There are fewer segments than
+    groups and partitions together, so what is known of each is small, however large a
+    group is.
+    """
+    group = F.struct(*by) if by else F.lit(True)
+    placed = df.withColumn("_g", group).repartitionByRange("_g", order)
+    return checkpointed(placed.withColumn("_p", F.spark_partition_id()))
+
+
+def _open_or_max(end: str, w) -> tuple[Column, Column]:
+    """Whether an end in the window is open, and the largest of the others."""
+    return F.coalesce(F.max(F.col(end).isNull()).over(w), F.lit(False)), F.max(end).over(w)
+
+
+def coalesced(df: DataFrame, by: list[str], start: str = "start", end: str = "end", small_groups: bool = False) -> DataFrame:
+    """Overlapping or touching ranges of each group as one; a null end is unbounded.
+
+    A prefix scan: ranges lie in range partitions of group and start, and each segment
+    of a group finds the islands that its own ranges form. What reaches into it from
+    earlier segments is a running maximum over segments, as is the island that this
+    belongs to; with both each row knows its island's start, and islands are put together
+    by that. So one group of all ranges is spread over all tasks. ``small_groups`` says
+    that each group fits a task and spares the checkpoint.
+    """
+    ranges = df.select(*by, F.col(start).alias("_s"), F.col(end).alias("_e"))
+    placed = ranges.withColumns({"_g": F.struct(*by) if by else F.lit(True), "_p": F.lit(0)}) if small_groups else _in_segments(ranges, by, "_s")
+    w = Window.partitionBy("_g", "_p").orderBy("_s", "_e")
+    until, before = w.rowsBetween(Window.unboundedPreceding, 0), w.rowsBetween(Window.unboundedPreceding, -1)
+    is_open, most = _open_or_max("_e", before)
+    local = placed.withColumn("_new", ~(is_open | F.coalesce(F.col("_s") <= most, F.lit(False))))
+
+    segments = local.groupBy("_g", "_p").agg(F.max(F.when(F.col("_new"), F.col("_s"))).alias("_last"), F.max(F.col("_e").isNull()).alias("_open"), F.max("_e").alias("_most"))
+    earlier = Window.partitionBy("_g").orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    segments = segments.select("_g", "_p", "_last", F.coalesce(F.max("_open").over(earlier), F.lit(False)).alias("_open_in"), F.max("_most").over(earlier).alias("_reach"))
+    reached = F.col("_open_in") | F.coalesce(F.col("_last") <= F.col("_reach"), F.lit(False))
+    segments = segments.withColumn("_own", F.when(~reached, F.struct("_last")))
+    segments = segments.withColumn("_into", F.last("_own", ignorenulls=True).over(earlier)["_last"]).select("_g", "_p", "_open_in", "_reach", "_into")
+
+    known = local.join(segments, ["_g", "_p"])
+    inside = F.col("_open_in") | F.coalesce(F.col("_s") <= F.col("_reach"), F.lit(False))
+    begins = F.when(F.col("_new") & ~inside, F.struct("_s"))
+    island = F.coalesce(F.last(begins, ignorenulls=True).over(until)["_s"], F.col("_into"))
+    whole = F.when(F.max(F.col("_e").isNull()), F.lit(None)).otherwise(F.max("_e"))
+    found = known.select("_g", "_e", island.alias("_island")).groupBy("_g", "_island").agg(whole.alias("_end"))
+    return found.select(*[F.col("_g")[c].alias(c) for c in by], F.col("_island").alias(start), F.col("_end").alias(end))
 
 
 def gaps(df: DataFrame, by: list[str], start: str = "start", end: str = "end", low=None, high=None) -> DataFrame:
-    """What lies between the ranges of each group; from ``low`` and up to ``high`` as well, where these are given."""
+    """What lies between the ranges of each group; from ``low`` and up to ``high`` as well, where these are given.
+
+    The next island of a segment's last one is the first of the next segment, so this is
+    spread like ``coalesced``.
+    """
     ends = []
     if low is not None:
         ends.append(df.select(*by).distinct().select(*by, F.lit(low).cast(df.schema[start].dataType).alias(start), F.lit(low).cast(df.schema[end].dataType).alias(end)))
     if high is not None:
         ends.append(df.select(*by).distinct().select(*by, F.lit(high).cast(df.schema[start].dataType).alias(start), F.lit(high).cast(df.schema[end].dataType).alias(end)))
     whole = reduce(lambda a, b: a.unionByName(b), ends, df.select(*by, start, end))
-    order = Window.partitionBy(*by).orderBy(start)
-    merged = coalesced(whole, by, start, end).withColumn("_next", F.lead(start).over(order))
-    return merged.filter(F.col("_next").isNotNull() & F.col(end).isNotNull()).select(*by, F.col(end).alias(start), F.col("_next").alias(end))
+    islands = coalesced(whole, by, start, end).select(*by, F.col(start).alias("_s"), F.col(end).alias("_e"))
+    placed = _in_segments(islands, by, "_s")
+    segments = placed.groupBy("_g", "_p").agg(F.min("_s").alias("_first"))
+    after = segments.select("_g", "_p", F.lead("_first").over(Window.partitionBy("_g").orderBy("_p")).alias("_after"))
+    following = placed.withColumn("_own", F.lead("_s").over(Window.partitionBy("_g", "_p").orderBy("_s"))).join(after, ["_g", "_p"])
+    found = following.withColumn("_next", F.coalesce("_own", "_after")).filter(F.col("_next").isNotNull() & F.col("_e").isNotNull())
+    return found.select(*[F.col("_g")[c].alias(c) for c in by], F.col("_e").alias(start), F.col("_next").alias(end))
 
 
 def fully_covered(df: DataFrame, target_start, target_end, by: list[str], start: str = "start", end: str = "end") -> DataFrame:

@@ -2,7 +2,25 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import tempfile
+import uuid
+
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, SparkSession
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """``df`` computed once, with its partitions and their order, and read back from the cluster's shared folder.
+
+    That is ``spark.checkpoint.dir``; only a local session without one gets a folder of its own.
+    """
+    spark = df.sparkSession
+    if spark.sparkContext.getCheckpointDir() is None:
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder and not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        spark.sparkContext.setCheckpointDir(folder or tempfile.mkdtemp(prefix="millrace-"))
+    return df.checkpoint(eager=True)
 
 
 def _fs(spark: SparkSession, path: str):
@@ -27,6 +45,52 @@ def finished_folders(spark: SparkSession, folder: str, prefix: str) -> dict[int,
     return {int(name): path for name, path in finished_names(spark, folder, prefix).items()}
 
 
+def has_rows(spark: SparkSession, folder: str) -> bool:
+    """Whether a finished write has left visible Parquet files right in the folder."""
+    fs, p = _fs(spark, f"{folder}/[!._]*.parquet")
+    return bool(fs.globStatus(p))
+
+
 def remove(spark: SparkSession, path: str) -> None:
     fs, p = _fs(spark, path)
     fs.delete(p, True)
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    fs, p = _fs(spark, path)
+    stream = fs.open(p)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def write_new(spark: SparkSession, path: str, text: str) -> bool:
+    """Writes a small file whole, or says that the path is taken; of several writers one wins."""
+    fs, p = _fs(spark, path)
+    if fs.exists(p):
+        return False
+    aside = spark._jvm.org.apache.hadoop.fs.Path(p.getParent(), f".{p.getName()}-{uuid.uuid4().hex}")
+    out = fs.create(aside, False)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+    kind = spark._jvm.org.apache.hadoop.fs.Options.Rename
+    options = spark._sc._gateway.new_array(kind, 1)
+    options[0] = kind.NONE  # a rename that never replaces
+    try:
+        spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(p.toUri(), spark._jsc.hadoopConfiguration()).rename(aside, p, options)
+        return True
+    except Py4JJavaError as e:
+        if "FileAlreadyExists" not in str(e.java_exception):
+            raise
+        return False
+    finally:
+        fs.delete(aside, False)
+
+
+def numbers(spark: SparkSession, folder: str) -> list[int]:
+    """The files of a folder that are named by a number, in order."""
+    fs, p = _fs(spark, f"{folder}/[0-9]*")
+    return sorted(int(s.getPath().getName()) for s in fs.globStatus(p) or [] if s.getPath().getName().isdigit())
