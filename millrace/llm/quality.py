@@ -1,10 +1,14 @@
 """Quality rules as a short-circuit cascade, in DataFrame functions only.
 
-Each rule is a predicate that rejects a text. On a bounded sample the share that each
-rule rejects is counted in one pass and its cost is timed, with the very expressions
-that will run; the cascade is one CASE that asks the rules in descending order of
-rejection per cost and stops at the first that rejects. The order decides only how much
-work is done, never which documents stay. Where the features of all texts are wanted
+Each rule is a predicate that rejects a text. On a bounded random sample of whole texts
+the share that each rule rejects is counted in one pass, and its cost is timed: the very
+expression that will run goes over the sample, repeated so often that one job reads
+CHARS characters, and from its time that of a predicate is taken which reads the same
+columns and does nothing. Rules that this does not tell from nothing go over ten times as much.
+Costs are powers of two of a second per row, and those below what can be measured are equal, so that
+two estimates of one table agree. The cascade is one CASE that asks the rules in
+descending order of rejection per cost and stops at the first that rejects. The order
+decides only how much work is done, never which documents stay. Where the features of all texts are wanted
 anyway (``judge``), the rules read them as columns and what they save is the rules that
 look at the text; ``keep_good`` computes what each rule needs only when its turn comes.
 
@@ -20,19 +24,25 @@ names of the outputs.
 
 from __future__ import annotations
 
+import math
 import time
-from dataclasses import dataclass
+from collections.abc import Sequence
+from dataclasses import dataclass, field
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import BLANK, free_name, let, text_or_empty
+from .common import BLANK, checkpointed, free_name, let, text_or_empty
 
 WINDOW = 5
 MIN_WORDS = 10
-#: Documents that costs and selectivities are estimated on, and the longest that are taken.
-SAMPLE, SAMPLE_CHARS = 400, 65_536
+#: Documents that costs and selectivities are estimated on, about, and the longest of them; longer texts are timed as their beginning.
+SAMPLE, SAMPLE_CHARS = 400, 1 << 20
+#: Characters that one timed job reads, how much more it reads for cheap rules, and how often it runs: the fastest counts.
+CHARS, MORE, RUNS = 4_000_000, 10, 3
+#: Seconds per row that are told from nothing; all cheaper rules cost this.
+LEAST_SECONDS = 2.0**-20
 
 FEATURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
@@ -76,12 +86,8 @@ def duplicate_lines(text: Column) -> Column:
     return let(lines, lambda x: (F.size(x) - F.size(F.array_distinct(x))).cast("long"))
 
 
-def letters_and_blanks_removed(text: Column) -> Column:
-    return F.length(F.translate(text, "#*$%&|<>", ""))
-
-
 def symbols(text: Column) -> Column:
-    return (F.length(text) - letters_and_blanks_removed(text)).cast("long")
+    return (F.length(text) - F.length(F.translate(text, "#*$%&|<>", ""))).cast("long")
 
 
 def with_features(docs: DataFrame, words: str | None = None) -> DataFrame:
@@ -110,10 +116,11 @@ def base_failed() -> Column:
 
 @dataclass
 class Rule:
-    """A named predicate that rejects a text."""
+    """A named predicate that rejects a text, and the columns that it reads."""
 
     name: str
     rejects: Column
+    reads: Sequence[str] = field(default=("text",))
 
 
 def full_lines(text: Column) -> Column:
@@ -129,6 +136,7 @@ def _of_lines(text: Column, pattern: str, share: int) -> Column:
 def rules(words: str | None = None) -> list[Rule]:
     """The rules, in no particular order; with ``words`` on ready features and that column of words."""
     text = text_or_empty("text")
+    ready = tuple(FEATURES) if words else ()
     if words:
         n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words = map(F.col, FEATURES)
         short = n_words < MIN_WORDS
@@ -143,15 +151,15 @@ def rules(words: str | None = None) -> list[Rule]:
     # upper-case letters outweigh the lower-case ones
     shouting = F.length(F.regexp_replace(text, "[^A-ZÀ-ÖØ-Þ]", "")) > F.length(F.regexp_replace(text, "[^a-zß-öø-ÿ]", ""))
     return [
-        Rule("short", short),
-        Rule("symbols", 10 * n_symbols > word_chars),
+        Rule("short", short, ready or ("text",)),
+        Rule("symbols", 10 * n_symbols > word_chars, ready or ("text",)),
         Rule("shouting", shouting),
-        Rule("long_words", word_chars > 25 * n_words),
-        Rule("few_letters", 10 * lettered < 6 * n_words),
-        Rule("repeated_lines", let(F.size(F.split(text, "\n", -1)), lambda n: 2 * n_dup_lines > n)),
+        Rule("long_words", word_chars > 25 * n_words, ready or ("text",)),
+        Rule("few_letters", 10 * lettered < 6 * n_words, (words, *ready) if words else ("text",)),
+        Rule("repeated_lines", let(F.size(F.split(text, "\n", -1)), lambda n: 2 * n_dup_lines > n), ("text", *ready)),
         Rule("bullets", _of_lines(text, "^[ \\t]*[-*•]", 9)),
         Rule("ellipses", _of_lines(text, "(?:\\.\\.\\.|…)[ \\t]*$", 3)),
-        Rule("repetition", repetition),
+        Rule("repetition", repetition, ready or ("text",)),
     ]
 
 
@@ -162,31 +170,72 @@ class Estimate:
     seconds: float
 
 
-def estimates(docs: DataFrame, sample: int = SAMPLE, ready: bool = False) -> list[Estimate]:
-    """Share rejected and seconds taken, for each rule alone on a bounded sample.
+def _sampled(docs: DataFrame, sample: int) -> DataFrame:
+    """About ``sample`` texts drawn from all rows, in one partition and without lineage."""
+    n = docs.count()
+    text = F.substring(text_or_empty("text"), 1, SAMPLE_CHARS)
+    drawn = docs.select(text.alias("text")).sample(min(sample / max(n, 1), 1.0), seed=42).limit(2 * sample)
+    return checkpointed(drawn.coalesce(1))
+
+
+def _does_nothing(some: DataFrame, reads: Sequence[str]) -> Column:
+    """A predicate that is never true but has to look at the columns."""
+    size = {"string": lambda c: F.octet_length(c), "array<string>": lambda c: F.size(c)}
+    kinds = dict(some.dtypes)
+    return reduce(lambda a, b: a | b, [size.get(kinds[c], F.col)(c) < -1 for c in reads])
 
-    ``ready`` estimates the rules on features that are computed already.
+
+def seconds_of(some: DataFrame, chosen: Sequence[Rule], chars: int = CHARS, runs: int = RUNS) -> dict[str, float]:
+    """Seconds per row of each rule alone, beyond those of reading its columns."""
+    rows, held = some.agg(F.count("*"), F.coalesce(F.sum(F.length("text")), F.lit(0))).first()
+    if not rows:
+        return {r.name: LEAST_SECONDS for r in chosen}
+
+    def timed(predicate: Column, times: int) -> float:
+        again = some.select("*", F.explode(F.sequence(F.lit(1), F.lit(times))).alias(free_name(some, "_again")))
+        job = again.agg(F.count(F.when(predicate, 1)))
+        best = math.inf
+        for _ in range(runs):
+            began = time.perf_counter()
+            job.first()
+            best = min(best, time.perf_counter() - began)
+        return best
+
+    out = {}
+    left = list(chosen)
+    for times in (max(chars // max(held, 1), 1), MORE * max(chars // max(held, 1), 1)):
+        nothing: dict[tuple, float] = {}
+        for r in list(left):
+            reads = tuple(r.reads)
+            if reads not in nothing:
+                nothing[reads] = timed(_does_nothing(some, reads), times)
+            spent = timed(r.rejects, times) - nothing[reads]
+            out[r.name] = max(spent / (times * rows), 0.0)
+            if spent > nothing[reads]:  # reading the columns is small beside it
+                left.remove(r)
+    return {name: max(2.0 ** round(math.log2(max(s, LEAST_SECONDS))), LEAST_SECONDS) for name, s in out.items()}
+
+
+def estimates(docs: DataFrame, sample: int = SAMPLE, ready: bool = False, chosen: Sequence[Rule] | None = None) -> list[Estimate]:
+    """Share rejected and seconds per row, for each rule alone on a random sample.
+
+    ``ready`` estimates the rules on features that are computed already; ``chosen`` are
+    other rules than those of this module.
     """
-    # a limit at the root of a query reads only as many partitions as it needs
-    head = docs.select("text").filter(F.length(text_or_empty("text")) <= SAMPLE_CHARS).limit(sample).collect()
-    some = docs.sparkSession.createDataFrame(head, "text string").coalesce(1)
-    some = (with_features(some, "_words") if ready else some).cache()
+    drawn = _sampled(docs, sample)
+    some = (with_features(drawn, "_words") if ready else drawn).cache()
     try:
-        chosen = rules("_words" if ready else None)
-        found = some.agg(F.count("*").alias("n"), *[F.sum(F.when(r.rejects, 1).otherwise(0)).alias(r.name) for r in chosen]).first()
-        out = []
-        for r in chosen:
-            began = time.perf_counter()
-            some.agg(F.count(F.when(r.rejects, 1))).first()
-            out.append(Estimate(r.name, (found[r.name] or 0) / max(found["n"], 1), time.perf_counter() - began))
-        return out
+        rules_ = list(chosen) if chosen is not None else rules("_words" if ready else None)
+        found = some.agg(F.count("*").alias("n"), *[F.sum(F.when(r.rejects, 1).otherwise(0)).alias(r.name) for r in rules_]).first()
+        seconds = seconds_of(some, rules_)
+        return [Estimate(r.name, (found[r.name] or 0) / max(found["n"], 1), seconds[r.name]) for r in rules_]
     finally:
         some.unpersist()
 
 
 def ordered(estimated: list[Estimate]) -> list[str]:
     """Rules by descending rejection per cost; ties by cost, then name."""
-    return [e.name for e in sorted(estimated, key=lambda e: (-e.rejects / max(e.seconds, 1e-9), e.seconds, e.name))]
+    return [e.name for e in sorted(estimated, key=lambda e: (-e.rejects / e.seconds, e.seconds, e.name))]
 
 
 def cascade(order: list[str], words: str | None = None) -> Column:
