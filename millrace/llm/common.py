@@ -68,6 +68,11 @@ def text_or_empty(col: str | Column = "text") -> Column:
     return F.coalesce(F.col(col) if isinstance(col, str) else col, F.lit(""))
 
 
+def text_digest(text: Column) -> Column:
+    """128 bits of a text's SHA-256, which stand for the text."""
+    return F.substring(F.unhex(F.sha2(text, 256)), 1, 16)
+
+
 def let(value: Column, body) -> Column:
     """``body(value)`` with ``value`` computed once, also inside nested lambdas."""
     return F.element_at(F.transform(F.array(value), body), 1)

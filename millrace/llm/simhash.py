@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bpe import slices
-from .common import checkpointed, free_name, joined_by_key, text_or_empty
+from .common import checkpointed, free_name, joined_by_key, text_digest, text_or_empty
 
 RADIUS = 3
 SHINGLE = 3
@@ -373,13 +373,13 @@ def first_of_each(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGLE)
 def keep_first(docs: DataFrame, roots: DataFrame) -> DataFrame:
     """One row of each component, with all its columns: that of the smallest doc_id.
 
-    ``roots`` has the component of texts, each named by its xxhash64 as ``vertex``; a
+    ``roots`` has the component of texts, each named by its ``text_digest`` as ``vertex``; a
     text that it lacks is a component of its own. A row without a doc_id stays only
     where its component has no other, and of repeated rows one stays.
     """
     keys = [free_name(docs, k) for k in ("_none", "_id", "_text")]
     doc_id = F.col("doc_id").cast("long")
-    keyed = docs.select("*", doc_id.isNull().alias(keys[0]), F.coalesce(doc_id, F.lit(0)).alias(keys[1]), F.xxhash64(text_or_empty("text")).alias(keys[2]))
+    keyed = docs.select("*", doc_id.isNull().alias(keys[0]), F.coalesce(doc_id, F.lit(0)).alias(keys[1]), text_digest(text_or_empty("text")).alias(keys[2]))
     rows = checkpointed(keyed.groupBy(*keys).agg(F.count("*").alias("n")).select(*[F.col(k).alias(c) for k, c in zip(keys, ("none", "id", "vertex"))], "n"))
     named = rows.join(roots, "vertex", "left").withColumn("component", F.coalesce("component", "vertex"))
     first = checkpointed(named.groupBy("component").agg(F.min(F.struct("none", "id", "vertex")).alias("first")).select("first.*"))
