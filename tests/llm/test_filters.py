@@ -326,3 +326,22 @@ def test_redaction(spark, docs, no_docs, model):
 def test_pii_plan_is_native(docs, model):
     plan = pii.find_spans(docs.select("doc_id", "text"), model)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas", plan)
+
+
+def test_rules_cost_what_they_take(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    text = F.col("text")
+    planted = [quality.Rule("dear", F.sha2(F.repeat(text, 20), 512) != ""), quality.Rule("cheap", F.octet_length(text) >= 0)]
+    found = {e.name: e for e in quality.estimates(docs, 100, chosen=planted)}
+    assert found["dear"].rejects == found["cheap"].rejects == 1.0 and found["dear"].seconds > 4 * found["cheap"].seconds
+    assert quality.ordered(list(found.values())) == ["cheap", "dear"]
+    orders = [quality.ordered(quality.estimates(docs, 100, chosen=planted)) for _ in range(2)]
+    assert orders == [["cheap", "dear"]] * 2
+
+
+def test_the_sample_is_drawn_from_all_rows_and_keeps_long_texts(spark):
+    docs = spark.range(20_000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 7 == 0, F.repeat(F.lit("long text "), 9000)).otherwise(F.col("id").cast("string")).alias("text")).repartition(8)
+    drawn = quality._sampled(docs, 200).collect()
+    assert 120 < len(drawn) < 300 and any(len(r["text"]) == 90_000 for r in drawn)
+    assert len({int(r["text"]) // 5000 for r in drawn if r["text"].isdigit()}) == 4
+    assert quality._sampled(docs.limit(0), 200).count() == 0
