@@ -96,6 +96,8 @@ def _pair(read: Reader) -> Reader:
 def _nullable(read: Reader, null_at: int) -> Reader:
     def run(raw: bytes, at: int):
         branch, at = _long(raw, at)
+        if branch not in (0, 1):
+            raise ValueError(f"a union of two has no branch {branch}")
         return (None, at) if branch == null_at else read(raw, at)
 
     return run
@@ -131,36 +133,45 @@ def _logical(schema: dict, kind: str, read: Reader) -> tuple[T.DataType, Reader]
     return None
 
 
-def _compiled(schema, named: dict, above: tuple[str, ...]) -> tuple[T.DataType, Reader]:
+def _full_name(name: str, space: str) -> str:
+    """A dotted name is whole, any other is of the enclosing namespace."""
+    return name if "." in name or not space else f"{space}.{name}"
+
+
+def _compiled(schema, named: dict, above: tuple[str, ...], space: str = "") -> tuple[T.DataType, Reader]:
+    """``space`` is the enclosing namespace; ``named`` has the types defined so far, by full name, with theirs."""
     if isinstance(schema, list):
         others = [s for s in schema if s != "null"]
         if len(others) != 1 or len(schema) != 2:
             raise ValueError(f"only unions of null and one type become columns, not {schema}")
-        kind, read = _compiled(others[0], named, above)
+        kind, read = _compiled(others[0], named, above, space)
         return kind, _nullable(read, schema.index("null"))
     if isinstance(schema, str):
-        if schema in named:
-            return _compiled(named[schema], named, above)
+        if (full := _full_name(schema, space)) in named:
+            definition, around = named[full]
+            return _compiled(definition, named, above, around)
         schema = {"type": schema}
     kind = schema["type"]
     if isinstance(kind, (dict, list)):
-        return _compiled(kind, named, above)
-    full = f"{schema['namespace']}.{schema['name']}" if schema.get("namespace") else schema.get("name", "")
+        return _compiled(kind, named, above, space)
+    full = ""
     if kind in ("record", "enum", "fixed"):
-        named[full] = named[schema["name"]] = schema
+        full = _full_name(schema["name"], schema.get("namespace", space))
+        named[full] = (schema, space)
+        space = full.rpartition(".")[0]
     if kind == "record":
         if full in above:
             raise ValueError(f"{full} contains itself")
         names = [f["name"] for f in schema["fields"]]
         if not names or len({n.lower() for n in names}) < len(names):
             raise ValueError(f"{full} has no fields, or fields that differ by case alone")
-        parts = [(f["name"], *_compiled(f["type"], named, (*above, full))) for f in schema["fields"]]
+        parts = [(f["name"], *_compiled(f["type"], named, (*above, full), space)) for f in schema["fields"]]
         return T.StructType([T.StructField(n, t) for n, t, _ in parts]), _record([(n, read) for n, _, read in parts])
     if kind == "array":
-        item, read = _compiled(schema["items"], named, above)
+        item, read = _compiled(schema["items"], named, above, space)
         return T.ArrayType(item), _blocks(read)
     if kind == "map":
-        value, read = _compiled(schema["values"], named, above)
+        value, read = _compiled(schema["values"], named, above, space)
         return T.ArrayType(T.StructType([T.StructField("key", T.StringType()), T.StructField("value", value)])), _blocks(_pair(read))
     if kind == "enum":
         return T.StringType(), _then(_long, schema["symbols"].__getitem__)

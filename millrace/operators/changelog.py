@@ -46,8 +46,9 @@ def expand(records: DataFrame, schema: T.StructType, primary_key: Sequence[str],
     ``full`` gives whole rows: '+I', adjacent '-U' and '+U', '-D'. It needs records that
     capture new rows and old values; the row before an update is the row after it,
     overlaid with the old values. ``upsert`` gives '+I' and '+U' whole, and '-D' with the
-    key alone. A record whose mods cannot all be converted fails the query. Each JSON
-    object is parsed once.
+    key alone. A record whose mods cannot all be converted, or that has none listed
+    (null), or is of another kind than INSERT, UPDATE and DELETE, fails the query; an
+    empty list gives no rows. Each JSON object is parsed once.
     """
     if mode not in ("full", "upsert"):
         raise ValueError(f"no changelog mode {mode}")
@@ -58,7 +59,8 @@ def expand(records: DataFrame, schema: T.StructType, primary_key: Sequence[str],
     if mode == "full":
         refuse = F.raise_error(F.lit("a full changelog needs new rows and old values")).cast("boolean")
         records = records.filter(F.when(F.col("capture_type") == "NEW_ROW_AND_OLD_VALUES", True).otherwise(refuse))
-    parsed = F.transform("mods", lambda m: F.struct(*[F.from_json(m[c], _OBJECT).alias(c) for c in ("keys", "new_values", "old_values")]))
+    mods = F.when(F.col("mods").isNotNull(), F.col("mods")).otherwise(F.raise_error(F.lit("a change record without mods")))
+    parsed = F.transform(mods, lambda m: F.struct(*[F.from_json(m[c], _OBJECT).alias(c) for c in ("keys", "new_values", "old_values")]))
     flat = records.select("table", "commit_ts", "commit_nanos", "record_sequence", "mod_type", F.posexplode(parsed).alias("mod_number", "m"))
 
     def row(kind: str, source: str) -> Column:
@@ -74,14 +76,16 @@ def expand(records: DataFrame, schema: T.StructType, primary_key: Sequence[str],
         return F.struct(F.lit(kind).alias(ROW_KIND), *[values[f.name].alias(f.name) for f in schema.fields])
 
     mod = F.col("mod_type")
+    unknown = F.raise_error(F.concat(F.lit("no changelog row for a change of kind "), F.coalesce(mod, F.lit("null"))))
     if mode == "full":
         rows = (
             F.when(mod == "INSERT", F.array(row("+I", "new")))
             .when(mod == "UPDATE", F.array(row("-U", "overlay"), row("+U", "new")))
             .when(mod == "DELETE", F.array(row("-D", "old_row")))
+            .otherwise(unknown)
         )
     else:
-        rows = F.when(mod == "INSERT", F.array(row("+I", "new"))).when(mod == "UPDATE", F.array(row("+U", "new"))).when(mod == "DELETE", F.array(row("-D", "key")))
+        rows = F.when(mod == "INSERT", F.array(row("+I", "new"))).when(mod == "UPDATE", F.array(row("+U", "new"))).when(mod == "DELETE", F.array(row("-D", "key"))).otherwise(unknown)
     out = flat.select("table", "commit_ts", "commit_nanos", "record_sequence", F.col("mod_number").cast("long"), F.posexplode(rows).alias("_n", "r"))
     return out.select(F.col(f"r.{ROW_KIND}").alias(ROW_KIND), *[F.col(f"r.{f.name}").alias(f.name) for f in schema.fields], "commit_ts", "commit_nanos", "record_sequence", "mod_number", F.col("_n").cast("long").alias("row_number"))
 

@@ -60,10 +60,12 @@ def isolate(df: DataFrame, batch: str, rejected: Column, alone: Column) -> DataF
     """Which rows of rejected batches are to blame.
 
     A batch's rejection only makes its rows suspects: each counts as failed only where
-    it is rejected ``alone`` as well; the rest of the batch goes through.
+    it is rejected ``alone`` as well; the rest of the batch goes through. Rows without a
+    batch are one batch.
     """
-    suspects = df.groupBy(batch).agg(F.max(F.coalesce(rejected, F.lit(False))).alias("_suspect"))
-    return df.join(suspects, batch).withColumn("failed", F.col("_suspect") & F.coalesce(alone, F.lit(False))).drop("_suspect")
+    suspects = df.groupBy(F.col(batch).alias("_batch")).agg(F.max(F.coalesce(rejected, F.lit(False))).alias("_suspect"))
+    judged = df.join(suspects, F.col(batch).eqNullSafe(F.col("_batch")))
+    return judged.withColumn("failed", F.col("_suspect") & F.coalesce(alone, F.lit(False))).drop("_suspect", "_batch")
 
 
 #: Confirmed rejections in a row after which a dropping policy gives up.

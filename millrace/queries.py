@@ -11,8 +11,8 @@ from pyspark.sql import types as T
 from .functions import codec, formats, retry, sequences
 from .operators import cells, changelog, failures, ledger, lookup, routing, schemas
 from .plans import keysets, positions, ranges, staging
-from .sources import catalog, relational, warehouse
-from .streaming import bus
+from .sources import catalog, files, keyed, kv, relational, warehouse
+from .streaming import bus, lineage
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _SQL: dict[str, str] = {}
@@ -125,8 +125,12 @@ def kv_as_of(spark, sf_dir):
 @query("""WITH e AS (SELECT user_id, event_type, epoch_us(ts) AS t, event_id FROM events), d AS (SELECT user_id, max(t) AS gone FROM e WHERE event_type = 'error' GROUP BY 1)
 SELECT user_id, event_type, event_id FROM (SELECT e.*, row_number() OVER (PARTITION BY e.user_id, event_type ORDER BY t DESC, event_id DESC) AS v FROM e LEFT JOIN d USING (user_id) WHERE event_type <> 'error' AND (gone IS NULL OR t > gone)) WHERE v = 1""")
 def kv_mutations(spark, sf_dir):
-    changes = _event_cells(spark, sf_dir).withColumn("kind", F.when(F.col("qualifier") == "error", "-D").otherwise("+I"))
-    left = cells.apply_mutations(changes.limit(0).drop("kind"), changes)
+    """Half of the events are stored cells, the others and all errors change them."""
+    events = _event_cells(spark, sf_dir).withColumn("kind", F.when(F.col("qualifier") == "error", "-D").otherwise("+I"))
+    is_stored = (F.pmod(codec.decode_cell(F.col("value"), "bigint"), F.lit(2)) == 0) & (F.col("kind") == "+I")
+    path = files.scratch(spark, "cells")
+    kv.store(events.filter(is_stored), path)
+    left = cells.apply_mutations(spark.read.parquet(path), events.filter(~is_stored))
     return left.select(F.decode("row_key", "UTF-8").cast("bigint").alias("user_id"), F.col("qualifier").alias("event_type"), codec.decode_cell(F.col("value"), "bigint").alias("event_id"))
 
 
@@ -310,6 +314,69 @@ def merge_upsert_late(spark, sf_dir):
     return changelog.visible(table)
 
 
+@query(_MERGED_SQL)
+def options_merge_late(spark, sf_dir):
+    """As ``merge_upsert_late``, through a table's options: plain rows, then three commits with a compaction between them."""
+    o = {"path": files.scratch(spark, "followed"), "key": "c_custkey", "order": "t,event_id"}
+    catalog.insert(_table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment"), "relational", {"path": o["path"]})
+    changes = _segment_changes(spark, sf_dir)
+    for part in (2, 0, 1):
+        catalog.insert(changes.filter(F.pmod("event_id", F.lit(3)) == part), "relational", o)
+        if part == 0:
+            keyed.compact(spark, f"{o['path']}/{relational.FOLLOWED}", pending_share=0.0)
+    return catalog.table(spark, "relational", {"path": o["path"]})
+
+
+@query("""SELECT o_orderkey AS k, CASE WHEN o_orderkey % 6 = 0 THEN 'X' ELSE o_orderstatus END AS v FROM orders WHERE o_orderkey % 12 <> 3""")
+def options_follow(spark, sf_dir):
+    """Plain rows, changes, plain rows: a table that begins to follow a changelog loses none; late rows lose against newer changes."""
+    o = {"path": files.scratch(spark, "followed"), "key": "k", "order": "o"}
+    orders = _table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("k"), F.col("o_orderstatus").alias("v"))
+    part = lambda n, m: F.col("k") % m == n
+    catalog.insert(orders.filter(part(0, 3)).withColumn("o", F.lit(1)), "relational", {"path": o["path"]})
+    new = orders.filter(part(1, 3)).select(F.lit("+I").alias(changelog.ROW_KIND), "*", F.lit(2).alias("o"))
+    updated = orders.filter(part(0, 6)).select(F.lit("+U").alias(changelog.ROW_KIND), "k", F.lit("X").alias("v"), F.lit(3).alias("o"))
+    deleted = orders.filter(part(3, 12)).select(F.lit("-D").alias(changelog.ROW_KIND), "k", F.lit(None).cast("string").alias("v"), F.lit(3).alias("o"))
+    catalog.insert(new.unionByName(updated).unionByName(deleted), "relational", o)
+    catalog.insert(orders.filter(part(2, 3)).withColumn("o", F.lit(4)), "relational", o)
+    catalog.insert(orders.filter(part(6, 12) | part(3, 12)).select("k", F.lit("late").alias("v"), F.lit(2).alias("o")), "relational", o)
+    return catalog.table(spark, "relational", {"path": o["path"], "columns": "k,v"})
+
+
+@query("""SELECT event_id, CASE WHEN event_id % 7 = 0 THEN user_id WHEN event_id % 7 = 1 THEN NULL END AS user, event_id % 7 > 1 AS failed FROM events""")
+def bus_bad_payloads(spark, sf_dir):
+    """Payloads that are a record, an empty record, null, nothing, ill-formed UTF-8, the literal null, and no JSON."""
+    n = F.pmod("event_id", F.lit(7))
+    good = F.to_json(F.struct(F.col("user_id").alias("user")))
+    payload = F.when(n == 0, good).when(n == 1, "{}").when(n == 3, "").when(n == 5, "null").when(n == 6, "{oops").cast("binary")
+    broken = F.concat(F.unhex(F.lit("FF")), good.cast("binary"))
+    messages = _table(spark, sf_dir, "events").select("event_id", F.when(n == 4, broken).otherwise(payload).alias("payload"))
+    return bus.decode_json(messages, "user bigint", "nack").select("event_id", "user", F.col("_failed").alias("failed"))
+
+
+@query("""WITH e AS (SELECT event_id, user_id % 4 AS part, epoch_us(ts) // 1000 AS ms FROM events), t AS (SELECT (min(ms) + max(ms)) // 2 AS half FROM e)
+SELECT event_id, 'p' || part AS token, ms FROM e, t WHERE ms < half""")
+def change_stream_frontier(spark, sf_dir):
+    """Events as the records of four partitions, of which three have ended and one is half read: what the frontier has passed."""
+    e = _table(spark, sf_dir, "events").select("event_id", F.concat(F.lit("p"), (F.col("user_id") % 4).cast("string")).alias("token"), F.unix_millis(F.col("ts").cast("timestamp")).alias("watermark_ms"))
+    ends = e.agg(F.min("watermark_ms").alias("low"), F.expr("(min(watermark_ms) + max(watermark_ms)) div 2").alias("half"))
+    part = lambda p: F.concat(F.lit("p"), F.lit(p))
+    said = [F.struct(F.lit("CREATED").alias("kind"), part(p).alias("token"), F.col("low").alias("watermark_ms")) for p in "0123"]
+    said += [F.struct(F.lit("FINISHED").alias("kind"), part(p).alias("token"), F.lit(None).cast("bigint").alias("watermark_ms")) for p in "012"]
+    said += [F.struct(F.lit("PROGRESS").alias("kind"), part("3").alias("token"), F.col("half").alias("watermark_ms"))]
+    control = ends.select(F.inline(F.array(*said)))
+    events = e.withColumn("kind", F.lit("RECORD")).unionByName(control, allowMissingColumns=True).withColumn("stream", F.lit("s"))
+    schema = T.StructType.fromDDL(lineage.EVENT)
+    rows = events.select(*[F.col(f.name) if f.name in events.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields], "event_id")
+    folder = files.scratch(spark, "change-stream")
+    rows.write.parquet(f"{folder}/in")
+    stream = spark.readStream.schema(rows.schema).parquet(f"{folder}/in")
+    released = lineage.records(lineage.gated(stream, slots=4)).select("event_id", "token", F.col("watermark_ms").alias("ms"))
+    with lineage.state_store(spark):
+        released.writeStream.format("parquet").option("path", f"{folder}/out").option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema(released.schema).parquet(f"{folder}/out")
+
+
 @query("""SELECT event_id, CASE WHEN event_type = 'view' THEN 'UNRELATED' WHEN event_type = 'error' THEN 'DELETE' ELSE 'UPSERT' END AS change,
 CASE WHEN event_type NOT IN ('view', 'error') THEN props END AS cell_value FROM events""")
 def selected_cell_fold(spark, sf_dir):

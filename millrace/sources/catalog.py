@@ -9,15 +9,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators import cells, routing
+from ..operators import cells, changelog, routing
 from ..operators.changelog import ROW_KIND
-from ..plans import ranges
+from ..plans import positions, ranges
 from ..plans.positions import QueryResults
-from ..streaming import bus
+from ..streaming import bus, changes
 from . import kv, relational, warehouse
 from .files import exists
 
-# Beginnings of options that only tune a remote transport; they change nothing here.
+# Groups of options that only tune a remote transport; they change nothing here.
 TRANSPORT = ("sink.retry", "sink.recovery", "scan.ack", "scan.flow-control", "scan.shutdown", "sink.in-flight", "sink.channel-pool", "emulator", "service-account", "scan.parallel-pull", "sink.default-stream")
 
 # Options of the connectors.
@@ -28,7 +28,11 @@ _KNOWN = {
         "sink.cdc.enabled", "sink.cdc.max-staleness", "sink.cdc.table-reconciliation", "order",
     },
     "kv": {"path", "families", "scan.row-ranges", "scan.row-prefix", "scan.row-range.start-closed", "scan.row-range.end-open", "scan.row-key-encoding", "scan.timestamp-micros", "key-type", "key-column"},
-    "relational": {"path", "columns", "scan.timestamp-bound.read-timestamp", "scan.timestamp-bound.exact-staleness", "scan.query", "key", "version-time", "deleted", "order"},
+    "relational": {
+        "scan.mode", "scan.change-stream.name", "scan.change-stream.changelog-mode", "scan.change-stream.retention", "scan.startup.mode", "scan.startup.timestamp-millis",
+        "scan.end-timestamp-millis", "schema", "table",
+        "path", "columns", "scan.timestamp-bound.read-timestamp", "scan.timestamp-bound.exact-staleness", "scan.query", "key", "version-time", "deleted", "order",
+    },
     "bus": {"topic", "subscription", "format", "schema", "scan.deserialization-failure-policy", "scan.startup.mode", "scan.startup.timestamp-millis", "scan.auto-create.filter", "scan.ordering-mode", "sink.message-ordering.enabled", "ordering-key", "attributes"},
     "tasks": {"queue", "http.url", "http.method", "http.headers", "http.oidc.service-account-email", "http.oidc.audience", "http.oauth.service-account-email", "http.oauth.scope", "app-engine.relative-uri", "app-engine.service", "app-engine.version", "app-engine.instance", "name-column", "body"},
 }
@@ -39,7 +43,7 @@ def check_options(connector: str, options: dict[str, str]) -> dict[str, str]:
     """The options that mean something; unknown ones are refused."""
     if connector not in _KNOWN:
         raise ValueError(f"no connector {connector}")
-    real = {k: v for k, v in options.items() if not k.startswith(TRANSPORT)}
+    real = {k: v for k, v in options.items() if not any(k == t or k.startswith((f"{t}.", f"{t}-")) for t in TRANSPORT)}
     if unknown := set(real) - _KNOWN[connector]:
         raise ValueError(f"{connector} has no options {sorted(unknown)}")
     return real
@@ -92,6 +96,11 @@ def table(spark: SparkSession, connector: str, options: dict[str, str]) -> DataF
         return _topic(spark, o)
     if connector == "tasks":
         raise ValueError("tasks can only be written")
+    mode = _chosen(o.get("scan.mode", "bounded"), {"bounded": "bounded", "change-stream": "change-stream"}, "scan.mode")
+    if mode == "change-stream":
+        return _change_stream(spark, o)
+    if unused := sorted(k for k in o if k.startswith(("scan.change-stream", "scan.startup", "scan.end-timestamp"))):
+        raise ValueError(f"{unused} need scan.mode = change-stream")
     columns = _names(o["columns"]) if "columns" in o else None
     restriction = o.get("source.row-restriction")
     query = o.get("source.query") or o.get("scan.query")
@@ -113,7 +122,7 @@ def table(spark: SparkSession, connector: str, options: dict[str, str]) -> DataF
     else:
         _needs(connector, o, "path")
         if not at:
-            if relational.versions(spark, o["path"].rstrip("/")):  # it follows a changelog
+            if relational.follows(spark, o["path"]) or relational.versions(spark, o["path"].rstrip("/")):
                 df = relational.read_current(spark, o["path"].rstrip("/"))
                 df = df.where(restriction) if restriction else df
                 return df.select(*columns) if columns else df
@@ -128,11 +137,14 @@ def table(spark: SparkSession, connector: str, options: dict[str, str]) -> DataF
 
 def _topic(spark: SparkSession, o: dict[str, str]) -> DataFrame:
     _needs("bus", o, "topic")
-    start = None
-    if "scan.startup.timestamp-millis" in o:
-        start = datetime.fromtimestamp(int(o["scan.startup.timestamp-millis"]) / 1000, timezone.utc)
-    if "scan.startup.mode" in o:
-        messages = bus.subscribe(spark, o["topic"], o.get("scan.auto-create.filter"), start, subscription=o.get("subscription", "default"))
+    mode = o.get("scan.startup.mode")
+    start = _instant(o, "scan.startup.timestamp-millis", mode is None or mode.lower() == "timestamp")
+    if mode is not None:
+        subscription = o.get("subscription", "default")
+        kind = _chosen(mode, {"continue-from-subscription": "earliest", "earliest-retained": "earliest", "earliest": "earliest", "latest": "latest", "timestamp": "at"}, "scan.startup.mode")
+        # the position of a subscription is found once, so that a restart does not skip what came meanwhile
+        begun = positions.kept_start(spark, f"{o['topic'].rstrip('/')}/_subscriptions/{subscription}", kind, start)
+        messages = bus.subscribe(spark, o["topic"], o.get("scan.auto-create.filter"), begun, subscription=subscription)
     else:
         messages = spark.read.schema(bus.MESSAGE).parquet(o["topic"])
         messages = messages.filter(F.col("publish_time") >= F.lit(start)) if start else messages
@@ -145,6 +157,41 @@ def _topic(spark: SparkSession, o: dict[str, str]) -> DataFrame:
     return bus.decode_json(messages, o["schema"], o.get("scan.deserialization-failure-policy", "fail"))
 
 
+def _chosen(value: str, meanings: dict[str, str], option: str) -> str:
+    """What an option's value means; one that means nothing is refused."""
+    if value.lower() not in meanings:
+        raise ValueError(f"{option} is none of {sorted(meanings)}: {value}")
+    return meanings[value.lower()]
+
+
+def _instant(o: dict[str, str], option: str, allowed: bool) -> datetime | None:
+    if option in o and not allowed:
+        raise ValueError(f"{option} needs the mode timestamp")
+    return datetime.fromtimestamp(int(o[option]) / 1000, timezone.utc) if option in o else None
+
+
+_MODES = {"earliest": "earliest", "latest": "latest", "timestamp": "at"}
+
+
+def _change_stream(spark: SparkSession, o: dict[str, str]) -> DataFrame:
+    """A table's change records as a changelog: a stream from ``scan.startup.mode`` to ``scan.end-timestamp-millis``.
+
+    The start is found once for ``scan.change-stream.name`` and kept beside the records.
+    """
+    _needs("relational", o, "path", "scan.change-stream.name", "scan.change-stream.changelog-mode", "schema", "key", "table")
+    changelog_mode = _chosen(o["scan.change-stream.changelog-mode"], {"full": "full", "upsert": "upsert"}, "scan.change-stream.changelog-mode")
+    kind = _chosen(o.get("scan.startup.mode", "latest"), _MODES, "scan.startup.mode")
+    at = _instant(o, "scan.startup.timestamp-millis", kind == "at")
+    if kind == "at" and at is None:
+        raise ValueError("scan.startup.mode = timestamp needs scan.startup.timestamp-millis")
+    retention = timedelta(seconds=float(o.get("scan.change-stream.retention", "604800s").removesuffix("s")))
+    place = f"{o['path'].rstrip('/')}/_streams/{o['scan.change-stream.name']}"
+    start = positions.kept_start(spark, place, kind, at, retention)
+    records = changes.read(spark, o["path"], start=start, end=_instant(o, "scan.end-timestamp-millis", True))
+    own = records.filter(F.col("table") == o["table"])
+    return changelog.expand(own, T.StructType.fromDDL(o["schema"]), _names(o["key"]), changelog_mode)
+
+
 def create_view(spark: SparkSession, name: str, connector: str, options: dict[str, str]) -> None:
     table(spark, connector, options).createOrReplaceTempView(name)
 
@@ -155,9 +202,11 @@ def insert(df: DataFrame, connector: str, options: dict[str, str]) -> None:
     if connector == "warehouse" and o.get("sink.cdc.enabled", "false").lower() == "true":
         _needs(connector, o, "path", "key", "order")
         _keep_contract(df.sparkSession, o)
-        _follow(df, o)
+        relational.follow(df, o["path"], _names(o["key"]), _names(o["order"]))
     elif connector == "warehouse":
         _needs(connector, o, "path")
+        if relational.follows(df.sparkSession, o["path"]):
+            raise ValueError("the table follows a changelog: insert with sink.cdc.enabled")
         unit, field = o.get("sink.table-create.time-partitioning.type", "DAY"), o.get("sink.table-create.time-partitioning.field")
         warehouse.write(
             df,
@@ -175,11 +224,11 @@ def insert(df: DataFrame, connector: str, options: dict[str, str]) -> None:
         kv.store(cells.to_cells(df, F.col(o["key-column"]), families, places, stamp), o["path"], mode="append")
     elif connector == "relational":
         _needs(connector, o, "path")
-        if ROW_KIND not in df.columns:
+        if ROW_KIND not in df.columns and not relational.follows(df.sparkSession, o["path"]):
             df.write.mode("append").parquet(o["path"])
             return
         _needs(connector, o, "key", "order")
-        _follow(df, o)
+        relational.follow(df, o["path"], _names(o["key"]), _names(o["order"]))
     elif connector == "bus":
         _needs(connector, o, "topic")
         own = [c for c in (o.get("ordering-key"), o.get("attributes")) if c]
@@ -190,14 +239,6 @@ def insert(df: DataFrame, connector: str, options: dict[str, str]) -> None:
         _insert_tasks(df, o)
 
 
-def _follow(changes: DataFrame, o: dict[str, str]) -> None:
-    """A table follows a changelog in versions: the next one never overwrites what it reads."""
-    folder = o["path"].rstrip("/")
-    done = relational.versions(changes.sparkSession, folder)
-    before = changes.sparkSession.read.parquet(done[max(done)]) if done else None
-    relational.next_version(before, changes, folder, max(done, default=-1) + 1, _names(o["key"]), _names(o["order"]))
-
-
 def _keep_contract(spark: SparkSession, o: dict[str, str]) -> None:
     """Checks the table's contract, and stores it where it is new or may be reconciled."""
     place = f"{o['path'].rstrip('/')}/_contract"

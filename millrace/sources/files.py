@@ -9,17 +9,24 @@ from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """``df`` computed once, with its partitions and their order, and read back from the cluster's shared folder.
-
-    That is ``spark.checkpoint.dir``; only a local session without one gets a folder of its own.
-    """
-    spark = df.sparkSession
+def shared_folder(spark: SparkSession) -> str:
+    """The cluster's shared folder: ``spark.checkpoint.dir``; only a local session without one gets a folder of its own."""
     if spark.sparkContext.getCheckpointDir() is None:
         folder = spark.conf.get("spark.checkpoint.dir", None)
         if not folder and not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         spark.sparkContext.setCheckpointDir(folder or tempfile.mkdtemp(prefix="millrace-"))
+    return (spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()).rstrip("/")
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A fresh path below the shared folder."""
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """``df`` computed once, with its partitions and their order, and read back from the cluster's shared folder."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from ..operators.changelog import DELETED, ORDER, ROW_KIND, merge, stored, visible
 from ..plans.keysets import Condition, select
-from .files import finished_folders
+from . import keyed
+from .files import finished_folders, has_rows
 
 
 @dataclass
@@ -80,12 +81,45 @@ def next_version(before: DataFrame | None, changes: DataFrame, folder: str, numb
 
 
 def read_current(spark: SparkSession, folder: str) -> DataFrame:
+    if follows(spark, folder):
+        return read_followed(spark, folder)
     done = versions(spark, folder)
     if not done:
         raise FileNotFoundError(f"no finished version below {folder}")
     return visible(spark.read.parquet(done[max(done)]))
 
 
+#: Where a table that follows a changelog keeps its commits, hidden from plain readers of its folder.
+FOLLOWED = "_keyed"
+
+
+def follows(spark: SparkSession, path: str) -> bool:
+    """Whether the table follows a changelog."""
+    return keyed.exists(spark, f"{path.rstrip('/')}/{FOLLOWED}")
+
+
+def follow(changes: DataFrame, path: str, key: Sequence[str], order: Sequence[str], **options) -> None:
+    """Applies changes to a table, of which a commit writes no more than the changes.
+
+    Rows that were written before the first change are older than any and stay. Rows
+    without ``_row_kind`` are inserts; they need the order columns, as without these
+    nothing says whether they are newer than what the table has.
+    """
+    spark, path = changes.sparkSession, path.rstrip("/")
+    if ROW_KIND not in changes.columns:
+        if lacking := set(order) - set(changes.columns):
+            raise ValueError(f"the table follows a changelog, so its rows need {sorted(lacking)}")
+        changes = changes.withColumn(ROW_KIND, F.lit("+I"))
+    folder = f"{path}/{FOLLOWED}"
+    if not keyed.exists(spark, folder) and has_rows(spark, path):
+        keyed.adopt(spark.read.parquet(path), folder, key, order, changes)
+    keyed.append(changes, folder, key, order, **options)
+
+
+def read_followed(spark: SparkSession, path: str) -> DataFrame:
+    return keyed.read(spark, f"{path.rstrip('/')}/{FOLLOWED}")
+
+
 #: What to do with a row that violates a constraint.
 VIOLATION_POLICIES = ("fail", "route")
 

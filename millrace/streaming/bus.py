@@ -94,16 +94,19 @@ def decode_json(messages: DataFrame, schema: str, policy: str = "fail") -> DataF
     """Payload fields beside the message's own columns.
 
     Under ``fail`` a payload that is no such JSON fails the query, under ``drop`` it is
-    left out, under ``nack`` it stays with ``_failed`` for a dead-letter topic.
+    left out, under ``nack`` it stays with ``_failed`` for a dead-letter topic. No JSON
+    are also a null or empty payload, one of blanks, one that is no UTF-8, and ``null``.
     """
-    text = F.decode("payload", "UTF-8")
-    if policy == "fail":
-        return messages.withColumn("_v", F.from_json(text, schema, {"mode": "FAILFAST"})).select("*", "_v.*").drop("_v")
+    if policy not in ("fail", "drop", "nack"):
+        raise ValueError(f"no decoding policy {policy}")
+    text = F.try_validate_utf8(F.col("payload").cast("string"))
     parsed = F.from_json(text, schema + ", _corrupt string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})
-    tried = messages.withColumn("_v", parsed).withColumn("_failed", F.coalesce(F.col("_v._corrupt").isNotNull(), F.lit(True)))
-    out = tried.select("*", "_v.*").drop("_v", "_corrupt")
+    # blanks and the literal null give no row at all, or one that no field tells from an empty object
+    failed = text.isNull() | F.trim(text, F.lit(" \t\r\n")).isin("", "null") | F.col("_v").isNull() | F.col("_v._corrupt").isNotNull()
+    tried = messages.withColumn("_v", parsed).withColumn("_failed", F.coalesce(failed, F.lit(True)))
+    if policy == "fail":
+        tried = tried.filter(F.when(~F.col("_failed"), F.lit(True)).otherwise(F.raise_error(F.lit("a payload that is no JSON of the schema")).cast("boolean")))
     if policy == "drop":
-        return out.filter(~F.col("_failed")).drop("_failed")
-    if policy == "nack":
-        return out
-    raise ValueError(f"no decoding policy {policy}")
+        tried = tried.filter(~F.col("_failed"))
+    out = tried.select("*", "_v.*").drop("_v", "_corrupt")
+    return out if policy == "nack" else out.drop("_failed")

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from ..operators.changelog import merge, stored, visible
+from ..sources import keyed
 from ..sources.files import finished_folders, remove
 
 BATCH, MANIFEST = "batch-", "manifest-"
@@ -77,6 +78,23 @@ def upsert_once(changes: DataFrame, folder: str, key: Sequence[str], order: Sequ
     return changes.writeStream.foreachBatch(write)
 
 
+def merge_once(changes: DataFrame, folder: str, key: Sequence[str], order: Sequence[Column | str], columns: Sequence[str], compact_every: int = 16, **options) -> DataStreamWriter:
+    """A keyed table that follows a changelog and is merged on read; read with ``keyed.read``.
+
+    A batch writes its last changes alone, however large the table is, and is committed
+    once. Every ``compact_every`` batches the ranges with many changes are rewritten;
+    ``options`` are those of ``keyed.compact``.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        before = keyed.state(batch.sparkSession, folder)
+        now = keyed.append(batch, folder, key, order, columns, batch_id)
+        if compact_every and (before is None or now.number != before.number) and batch_id % compact_every == compact_every - 1:
+            keyed.compact(batch.sparkSession, folder, **options)
+
+    return changes.writeStream.foreachBatch(write)
+
+
 def current(spark: SparkSession, folder: str, with_order: bool = False) -> DataFrame:
     """The newest finished version; ``with_order`` shows tombstones and orders as well."""
     done = finished_folders(spark, folder, MANIFEST)

@@ -82,3 +82,19 @@ def test_refused_schemas():
     ):
         with pytest.raises(ValueError):
             avro.row_schema(wrong)
+
+
+def test_names_of_nested_types_and_branches_of_unions():
+    """A nested type is of its parent's namespace; a union of two has no third branch."""
+    import pytest
+
+    from millrace.functions import avro
+
+    inner = {"type": "enum", "name": "B", "symbols": ["x", "y"]}
+    schema = {"type": "record", "name": "A", "namespace": "n", "fields": [{"name": "a", "type": inner}, {"name": "b", "type": "n.B"}, {"name": "c", "type": "B"}, {"name": "d", "type": {"type": "record", "name": "m.C", "fields": [{"name": "e", "type": {"type": "fixed", "name": "F", "size": 1}}, {"name": "f", "type": "m.F"}]}}]}
+    kind, read = avro._of(json.dumps(schema))
+    assert read(b"\x02\x00\x02ab", 0)[0] == {"a": "y", "b": "x", "c": "y", "d": {"e": b"a", "f": b"b"}}
+    _, read = avro._of(json.dumps({"type": "record", "name": "U", "fields": [{"name": "v", "type": ["null", "int"]}]}))
+    assert read(b"\x00", 0)[0] == {"v": None} and read(b"\x02\x0a", 0)[0] == {"v": 5}
+    with pytest.raises(ValueError):
+        read(b"\x0e\x0a", 0)

@@ -33,7 +33,7 @@ def brute_batches(rows, limits):
     return out
 
 
-@pytest.mark.parametrize("seed", range(8))
+@pytest.mark.parametrize("seed", range(5))
 def test_batches_of_groups_over_partitions(spark, partitions, seed):
     r = random.Random(seed)
     groups = [("a", 400), (None, 60), ("b", 3), ("c", 1), ("d", 250)][: r.choice([1, 5])]
@@ -66,7 +66,7 @@ def brute_islands(rows):
     return out
 
 
-@pytest.mark.parametrize("seed", range(8))
+@pytest.mark.parametrize("seed", range(4))
 def test_islands_and_gaps_over_partitions(spark, partitions, seed):
     r = random.Random(seed)
     length = r.choice([3, 12, 200])
