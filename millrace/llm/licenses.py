@@ -1,9 +1,13 @@
 """License scans by canonical digest lookup.
 
-A text is brought into a canonical form: ASCII letters in lower case, lines that state a
-copyright away, equivalent spellings made one, punctuation and blanks joined into single spaces.
-The SHA-256 of the form is hash-joined to the digests of known licence texts, so only
-an entire text can match, in any layout. Notices of one line, which often stand inside
+A text is brought into a canonical form: statements of copyright away, ASCII letters in
+lower case, punctuation and blanks joined into single spaces, equivalent spellings made
+one. The SHA-256 of the form is hash-joined to the digests of known licence texts, so
+only an entire text can match, in any layout that keeps its paragraphs. Where a
+statement ends depends on the layout: its line is it in a header of short lines, its
+paragraph where lines were filled again. So a text with a statement has two forms, one
+without these lines and one without these paragraphs, as has every known text, and either
+may match; ``digest`` is that of the first. Notices of one line, which often stand inside
 other texts, are looked up the same way, line by line and without leaving the row.
 
 The long texts stand in ``license_texts``; ``scan`` takes a table of further ones. Known
@@ -16,6 +20,7 @@ an empty table gives an empty table. Other columns are left out.
 
 from __future__ import annotations
 
+import re
 from functools import cache, reduce
 from importlib import resources
 
@@ -47,15 +52,20 @@ SPELLINGS = [
 #: A line that states a copyright: behind an optional comment mark the word or sign with
 #: a sign, a year or its placeholder, or a name. A line of the body that merely begins with
 #: the word ("copyright notice, this list ...") or with an item "(c)" is none.
-COPYRIGHT_STATEMENT = (
-    "(?m)^[ \\t]*(?:(?:[#;%!]+|/{2,}|/?\\*+|--+|<!--|(?i:dnl|rem)(?=[ \\t]))[ \\t]*)?(?:"
+_MARK = "(?:[#;%!]+|/{2,}|/?\\*+|--+|<!--|(?i:dnl|rem)(?=[ \\t]))"
+_STATES = (
+    f"[ \\t]*(?:{_MARK}[ \\t]*)?(?:"
     "(?i:copyright)[ \\t:]*(?:\\([cC]\\)|©|[\\[<{(]?(?:[0-9]{4}|[0-9]{2}[yY]{2}|[yY]{4}|(?i:years?)[\\]>})])|[\\[<{](?i:name|copyright|holder|owner))"
     "|Copyright[ \\t:]+(?:by[ \\t]+)?(?!(?i:notices?|holders?|owners?|licen[cs]es?|laws?|acts?|interests?|statements?|and|or|rights?)\\b)\\p{Lu}"
     "|(?i:copyright)[ \\t]+by[ \\t]+\\p{Lu}"
     "|©"
     "|\\([cC]\\)[ \\t]*(?:(?i:copyright)|[\\[<{]?(?:[0-9]{4}|[yY]{4}))"
-    ")[^\\n]*$"
+    ")"
 )
+COPYRIGHT_STATEMENT = f"(?m)^{_STATES}[^\\n]*$"
+#: A paragraph that begins with such a line, behind the beginning or an empty line, which stays.
+_EMPTY = f"[ \\t]*(?:{_MARK}?[ \\t]*)?"
+COPYRIGHT_PARAGRAPH = f"(\\A|\\n(?:{_EMPTY}\\n)+){_STATES}(?s:.*?)(?=\\n{_EMPTY}(?:\\n|\\z)|\\z)"
 #: What the oracle's SQL removes, which knows no comment marks and takes lines of the body as well.
 COPYRIGHT_LINE = "(?m)^[ \\t]*(?:copyright|\\(c\\)|©)[^\\n]*$"
 NOT_A_WORD = "[\\x00-/:-@\\[-`{-\\x7f]+"
@@ -120,18 +130,28 @@ BROADCAST_LICENSES = 100_000
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
-def canonical(text: Column) -> Column:
-    # every form of statement has one of these, and most texts have none
-    worth = F.lower(text).contains("copyright") | F.lower(text).contains("(c)") | text.contains("©")
-    stated = F.when(worth, F.regexp_replace(text, COPYRIGHT_STATEMENT, "")).otherwise(text)
-    lower = F.translate(stated, _UPPER, _LOWER)
-    spelled = reduce(lambda t, pair: F.replace(t, F.lit(pair[0]), F.lit(pair[1])), SPELLINGS, lower)
-    return F.trim(F.regexp_replace(spelled, NOT_A_WORD, " "))
+def _joined(text: str) -> str:
+    """A spelling as it stands in a form."""
+    return re.sub(NOT_A_WORD, " ", text)
 
 
-def canonical_digest(text: Column) -> Column:
+def _states_copyright(text: Column) -> Column:
+    """Every form of statement has one of these, and most texts have none."""
+    return F.lower(text).contains("copyright") | F.lower(text).contains("(c)") | text.contains("©")
+
+
+def canonical(text: Column, paragraphs: bool = False) -> Column:
+    """The form without the lines, or with ``paragraphs`` without the paragraphs, that state a copyright."""
+    removed = F.regexp_replace(F.replace(text, F.lit("\r"), F.lit("")), COPYRIGHT_PARAGRAPH, "$1") if paragraphs else F.regexp_replace(text, COPYRIGHT_STATEMENT, "")
+    stated = F.when(_states_copyright(text), removed).otherwise(text)
+    # blanks are joined before spellings are compared, as a line may end inside one
+    words = F.trim(F.regexp_replace(F.translate(stated, _UPPER, _LOWER), NOT_A_WORD, " "))
+    return reduce(lambda t, pair: F.replace(t, F.lit(_joined(pair[0])), F.lit(_joined(pair[1]))), SPELLINGS, words)
+
+
+def canonical_digest(text: Column, paragraphs: bool = False) -> Column:
     """Hex SHA-256 of the canonical form; null where that is empty."""
-    form = canonical(text)
+    form = canonical(text, paragraphs)
     return F.when(form != "", F.sha2(form, 256))
 
 
@@ -154,7 +174,8 @@ def known_texts() -> list[tuple[str, str]]:
 def _default_digests() -> list[tuple[str, str]]:
     """Computed once a process, so that the long texts stay out of the plans."""
     rows = SparkSession.active().createDataFrame(known_texts(), "license_id string, text string")
-    return [tuple(r) for r in rows.select("license_id", canonical_digest(F.col("text"))).collect()]
+    forms = F.array(canonical_digest(F.col("text")), canonical_digest(F.col("text"), True))
+    return [tuple(r) for r in rows.select("license_id", F.explode(F.array_distinct(F.array_compact(forms)))).collect()]
 
 
 def known_digests(spark: SparkSession, known: DataFrame | None = None) -> DataFrame:
@@ -162,7 +183,8 @@ def known_digests(spark: SparkSession, known: DataFrame | None = None) -> DataFr
     entries = F.array(*[F.struct(F.lit(k).alias("license_id"), F.lit(d).alias("digest")) for k, d in _default_digests()])
     rows = spark.range(1).select(F.inline(entries)).withColumn("place", F.lit(1))
     if known is not None:
-        given = known.select("license_id", canonical_digest(F.col("text")).alias("digest"), F.lit(0).alias("place"))
+        forms = F.array(canonical_digest(F.col("text")), canonical_digest(F.col("text"), True))
+        given = known.select("license_id", F.explode(F.array_distinct(F.array_compact(forms))).alias("digest"), F.lit(0).alias("place"))
         rows = given.filter("digest IS NOT NULL AND license_id IS NOT NULL").unionByName(rows)
     return rows.groupBy("digest").agg(F.min(F.struct("place", "license_id"))["license_id"].alias("license_id")).select("license_id", "digest")
 
@@ -183,17 +205,18 @@ def scan(docs: DataFrame, known: DataFrame | None = None) -> DataFrame:
     ``known`` adds licence texts (license_id, text) to those known by default.
     """
     text = text_or_empty("text")
-    digested = docs.select("doc_id", canonical_digest(text).alias("digest"), notice_lines(text).alias("_notices"))
+    other = F.when(_states_copyright(text), canonical_digest(text, True)).alias("_other")
+    digested = docs.select("doc_id", canonical_digest(text).alias("digest"), other, notice_lines(text).alias("_notices"))
     digests = known_digests(docs.sparkSession, known)
     if known is not None:
         digests = checkpointed(digests)
-    if known is None or digests.count() <= BROADCAST_LICENSES:
-        digests = F.broadcast(digests)
-    found = digested.join(digests, "digest", "left")
+    small = F.broadcast if known is None or digests.count() <= BROADCAST_LICENSES else lambda x: x
+    by_paragraph = digests.select(F.col("digest").alias("_other"), F.col("license_id").alias("_license"))
+    found = digested.join(small(digests), "digest", "left").join(small(by_paragraph), "_other", "left")
     return found.select(
         "doc_id",
         "digest",
-        "license_id",
+        F.coalesce("license_id", "_license").alias("license_id"),
         F.array_join(F.array_sort(F.array_distinct("_notices")), ",").alias("notices"),
         F.size("_notices").cast("long").alias("n_notice_lines"),
     )
@@ -207,9 +230,10 @@ def oracle() -> str:
 
     def form(t: str) -> str:
         out = f"regexp_replace(translate({t}, '{_UPPER}', '{_LOWER}'), {q(COPYRIGHT_LINE)}, '', 'g')"
+        out = f"trim(regexp_replace({out}, {q(NOT_A_WORD)}, ' ', 'g'))"
         for a, b in SPELLINGS:
-            out = f"replace({out}, {q(a)}, {q(b)})"
-        return f"trim(regexp_replace({out}, {q(NOT_A_WORD)}, ' ', 'g'))"
+            out = f"replace({out}, {q(_joined(a))}, {q(_joined(b))})"
+        return out
 
     rows = [(k, t) for k, t in LICENSES.items()] + [(k, t) for k, texts in NOTICES.items() for t in texts]
     notices = [(k, t) for k, texts in NOTICES.items() for t in texts]
