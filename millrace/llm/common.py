@@ -86,6 +86,11 @@ def free_name(df: DataFrame, name: str) -> str:
     return name
 
 
+def quoted(name: str) -> str:
+    """A column's name as a reference to it, also with dots."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def joined_by_key(rows: DataFrame, key: str, table: DataFrame, table_key: str, count: str, total: int) -> DataFrame:
     """``rows`` with the columns of ``table``, which has one row for each key that occurs.
 

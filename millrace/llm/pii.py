@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .boosting import BoostedTrees, fit_isotonic, fit_trees
-from .common import let, text_or_empty
+from .common import free_name, let, quoted, text_or_empty
 
 #: Kinds in the order in which spans of the same start are listed; the first four are base kinds.
 KINDS = ["email", "ip", "card", "phone", "secret", "local_phone", "national_id", "account", "spelled_email"]
@@ -360,10 +360,11 @@ def find_spans(docs: DataFrame, model: SpanModel | None = None) -> DataFrame:
     """
     model = model or fit(docs.sparkSession)
     text = text_or_empty("text")
-    kept = [F.col(c) for c in docs.columns if c.lower() not in (*OUTPUTS, "_added")]
+    added_name = free_name(docs, "_added")
+    kept = [F.col(quoted(c)) for c in docs.columns if c.lower() not in OUTPUTS]
     added = F.transform(F.filter(proposals(text), model.selects), lambda p: F.struct(p["start"].alias("start"), p["kind"].alias("kind"), p["end"].alias("end")))
-    found = docs.select(*kept, base_spans(text).alias("base_spans"), F.array_distinct(added).alias("_added"))
-    return found.select(*[c.alias(n) for c, n in zip(kept, [x for x in docs.columns if x.lower() not in (*OUTPUTS, "_added")])], "base_spans", F.when(F.size("_added") == 0, F.col("base_spans")).otherwise(_settled(F.col("base_spans"), F.col("_added"))).alias("spans"))
+    found = docs.select(*kept, base_spans(text).alias("base_spans"), F.array_distinct(added).alias(added_name))
+    return found.select(*kept, "base_spans", F.when(F.size(added_name) == 0, F.col("base_spans")).otherwise(_settled(F.col("base_spans"), F.col(added_name))).alias("spans"))
 
 
 def listed(spans: Column) -> Column:
