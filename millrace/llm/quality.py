@@ -33,7 +33,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import BLANK, checkpointed, free_name, let, text_or_empty
+from .common import BLANK, checkpointed, free_name, let, quoted, text_or_empty
 
 WINDOW = 5
 MIN_WORDS = 10
@@ -96,7 +96,7 @@ def with_features(docs: DataFrame, words: str | None = None) -> DataFrame:
     ``words`` names a further column for the array of words.
     """
     text = text_or_empty("text")
-    kept = [F.col(c) for c in docs.columns if c.lower() not in FEATURES]
+    kept = [F.col(quoted(c)) for c in docs.columns if c.lower() not in FEATURES]
     column = words or free_name(docs, "_words")
     with_words = docs.select(*kept, words_of(text).alias(column))
     return with_words.select(
