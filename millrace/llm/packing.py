@@ -144,6 +144,8 @@ class Packer:
 
     def add(self, doc_id, ids: bytes, loss_mask: bytes | None = None):
         n = len(ids) // 4
+        if loss_mask is not None and (len(loss_mask) != n or loss_mask.strip(b"\0\1")):
+            raise ValueError("a loss mask has a byte for each id, 0 or 1")
         sums = None if loss_mask is None else np.concatenate([[0], np.cumsum(np.frombuffer(loss_mask, np.uint8), dtype=np.int64)])
         start = 0
         while n - start >= self.max_tokens:
@@ -255,7 +257,7 @@ def pack(
     """Pieces of all items with their sequences; see ``PIECES``.
 
     ``ids`` names a column of packed ids, for example of formatted turns, and
-    ``loss_mask`` one with a byte for each of them; without ``ids`` the ``text`` is
+    ``loss_mask`` one with a byte for each of them, 0 or 1, anything else fails; without ``ids`` the ``text`` is
     encoded and ended by id 0. Without ``loss_mask`` every id bears loss, as in plain
     documents, and a ``max_loss`` of ``max_tokens`` never binds; with the masks of
     formatted turns all three limits do. A limit below 1 is an error.
