@@ -345,3 +345,34 @@ def test_the_sample_is_drawn_from_all_rows_and_keeps_long_texts(spark):
     assert 120 < len(drawn) < 300 and any(len(r["text"]) == 90_000 for r in drawn)
     assert len({int(r["text"]) // 5000 for r in drawn if r["text"].isdigit()}) == 4
     assert quality._sampled(docs.limit(0), 200).count() == 0
+
+
+def test_licences_in_any_layout(spark):
+    """Every known long text, filled again paragraph by paragraph, behind comment marks, and with CRLF."""
+    import re
+    import textwrap
+    from importlib import resources
+
+    rows = []
+    for file in resources.files(licenses.__package__).joinpath("license_texts").iterdir():
+        name, text = file.name.removesuffix(".txt"), file.read_text(encoding="utf-8")
+        paragraphs = re.split(r"\n[ \t]*\n", text)
+        for width in range(40, 121, 8):
+            filled = ["\n".join(textwrap.wrap(" ".join(p.split()), width, break_long_words=False, break_on_hyphens=False)) for p in paragraphs]
+            whole = "\n\n".join(filled)
+            rows.append((name, f"{width}", whole))
+            if width == 80:
+                rows += [(name, "# ", "\n".join(f"# {x}".rstrip() for x in whole.split("\n"))), (name, " * ", "\n".join(f" * {x}" for x in whole.split("\n"))), (name, "CRLF", whole.replace("\n", "\r\n"))]
+        rows.append((name, "as it is", text))
+    df = spark.createDataFrame([(i, t) for i, (*_, t) in enumerate(rows)], "doc_id long, text string").repartition(4)
+    found = {r["doc_id"]: r["license_id"] for r in licenses.scan(df).collect()}
+    assert [(n, how) for i, (n, how, _) in enumerate(rows) if found[i] != n] == []
+    mit = licenses.LICENSES["MIT"].removeprefix("MIT License\n\n")
+    headed = spark.createDataFrame([(1, f"Copyright (c) 2020 A. Name\n{mit}"), (2, f"Copyright (c) 2020 A. Name\nCopyright (c) 2021 B\n\n{mit}"), (3, f"The MIT License (MIT)\n\nCopyright (c) 2020 A.\nName, of a long\naddress\n\n{mit}"), (4, f"{mit} and more")], "doc_id long, text string")
+    assert {r["doc_id"]: r["license_id"] for r in licenses.scan(headed).collect()} == {1: "MIT", 2: "MIT", 3: "MIT", 4: None}
+
+
+def test_columns_with_dots_and_own_names(spark):
+    df = spark.createDataFrame([(1, "mail a.b@c.example.org now, please, ten words or more are in this text", 5, 6)], "doc_id long, text string, `a.b` int, _added int")
+    assert pii.find_spans(df).columns == ["doc_id", "text", "a.b", "_added", "base_spans", "spans"] and pii.find_spans(df).first()["_added"] == 6
+    assert quality.judge(df).first()["a.b"] == 5 and quality.keep_good(df).columns == df.columns

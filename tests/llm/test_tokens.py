@@ -239,3 +239,12 @@ def test_formatted_turns_pack_under_all_three_limits(spark):
     for k, (ids, _) in items.items():
         cut = sorted(parts[k])
         assert cut[0][0] == 0 and cut[-1][1] == len(ids) // 4 and all(a[1] == b[0] for a, b in zip(cut, cut[1:]))
+
+
+def test_loss_masks_are_checked():
+    ids = bytes(80)
+    for mask in (b"\xff" * 20, b"\x01" * 19, b"\x01" * 9 + b"\x02" + b"\x01" * 10):
+        with pytest.raises(ValueError):
+            list(packing.Packer(16, 4, 8).add(1, ids, mask))
+    packer = packing.Packer(16, 4, 8)
+    assert sum(p[2] for p in [*packer.add(1, ids, b"\x01\x00" * 10), *packer.finish()]) == 20
