@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.formats import truncate_utf8
 
@@ -68,6 +72,68 @@ def isolate(df: DataFrame, batch: str, rejected: Column, alone: Column) -> DataF
     return judged.withColumn("failed", F.col("_suspect") & F.coalesce(alone, F.lit(False))).drop("_suspect", "_batch")
 
 
+class Rejected(Exception):
+    """A call was refused for the rows it holds; which of them, it doesn't say."""
+
+
+def sent(df: DataFrame, batch: str, send: Callable[[list[dict]], None], order: str | None = None, most: int | None = None) -> DataFrame:
+    """Sends the rows batch by batch through a client call and says which have ``failed``, and why (``error``).
+
+    A batch that ``send`` refuses with ``Rejected`` is halved and sent again until the
+    refused calls hold one row each; only these have failed, so a batch of n rows with k
+    bad ones takes at most 1 + 2 k log2(n) calls or so. Any other error fails the task, and a
+    task that runs again sends its rows again. ``most`` confirmed failures in a row, in the
+    order of a batch's rows, fail the query (``MAX_CONSECUTIVE``). A batch is held by one
+    task; null batches are one.
+    """
+    names = df.columns
+    limit = MAX_CONSECUTIVE if most is None else most
+    schema = T.StructType([*df.schema.fields, T.StructField("failed", T.BooleanType()), T.StructField("error", T.StringType())])
+
+    def run(batches):
+        in_a_row = 0
+
+        def verdicts(rows: list[dict]) -> list[str | None]:
+            nonlocal in_a_row
+            try:
+                send(rows)
+                in_a_row = 0
+                return [None] * len(rows)
+            except Rejected as e:
+                if len(rows) > 1:
+                    half = len(rows) // 2
+                    return verdicts(rows[:half]) + verdicts(rows[half:])
+                in_a_row += 1
+                if in_a_row >= limit:
+                    raise RuntimeError(f"{in_a_row} rejections in a row: {e}") from e
+                return [str(e)]
+
+        def judged(held: list[pa.RecordBatch]) -> pa.Table:
+            nonlocal in_a_row
+            in_a_row = 0
+            table = pa.Table.from_batches(held)
+            errors = verdicts(table.to_pylist())
+            return table.append_column("failed", pa.array([e is not None for e in errors])).append_column("error", pa.array(errors, pa.string()))
+
+        held, last = [], None
+        for rows in batches:
+            keys = rows.column(batch).to_pylist()
+            edges = [0, *(i for i in range(1, len(keys)) if keys[i] != keys[i - 1]), len(keys)]
+            for low, high in zip(edges, edges[1:]):
+                if low == high:
+                    continue
+                if held and keys[low] != last:
+                    yield from judged(held).to_batches()
+                    held = []
+                last = keys[low]
+                held.append(rows.slice(low, high - low))
+        if held:
+            yield from judged(held).to_batches()
+
+    by = [batch, *([order] if order else [])]
+    return df.repartition(batch).sortWithinPartitions(*by).select(*names).mapInArrow(run, schema)
+
+
 #: Confirmed rejections in a row after which a dropping policy gives up.
 MAX_CONSECUTIVE = 100
 

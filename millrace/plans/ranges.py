@@ -247,7 +247,7 @@ def split_at(ranges: list[KeyRange], samples: list[tuple[bytes, int]]) -> list[t
 # -- range tables
 
 
-def _in_segments(df: DataFrame, by: list[str], order: str) -> DataFrame:
+def in_segments(df: DataFrame, by: list[str], order: str) -> DataFrame:
     """The rows in range partitions of group and order, with their group as ``_g`` and their partition as ``_p``.
 
     A segment is the part of a group in one partition. There are fewer segments than
@@ -275,7 +275,7 @@ def coalesced(df: DataFrame, by: list[str], start: str = "start", end: str = "en
     that each group fits a task and spares the checkpoint.
     """
     ranges = df.select(*by, F.col(start).alias("_s"), F.col(end).alias("_e"))
-    placed = ranges.withColumns({"_g": F.struct(*by) if by else F.lit(True), "_p": F.lit(0)}) if small_groups else _in_segments(ranges, by, "_s")
+    placed = ranges.withColumns({"_g": F.struct(*by) if by else F.lit(True), "_p": F.lit(0)}) if small_groups else in_segments(ranges, by, "_s")
     w = Window.partitionBy("_g", "_p").orderBy("_s", "_e")
     until, before = w.rowsBetween(Window.unboundedPreceding, 0), w.rowsBetween(Window.unboundedPreceding, -1)
     is_open, most = _open_or_max("_e", before)
@@ -310,7 +310,7 @@ def gaps(df: DataFrame, by: list[str], start: str = "start", end: str = "end", l
         ends.append(df.select(*by).distinct().select(*by, F.lit(high).cast(df.schema[start].dataType).alias(start), F.lit(high).cast(df.schema[end].dataType).alias(end)))
     whole = reduce(lambda a, b: a.unionByName(b), ends, df.select(*by, start, end))
     islands = coalesced(whole, by, start, end).select(*by, F.col(start).alias("_s"), F.col(end).alias("_e"))
-    placed = _in_segments(islands, by, "_s")
+    placed = in_segments(islands, by, "_s")
     segments = placed.groupBy("_g", "_p").agg(F.min("_s").alias("_first"))
     after = segments.select("_g", "_p", F.lead("_first").over(Window.partitionBy("_g").orderBy("_p")).alias("_after"))
     following = placed.withColumn("_own", F.lead("_s").over(Window.partitionBy("_g", "_p").orderBy("_s"))).join(after, ["_g", "_p"])

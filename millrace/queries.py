@@ -200,6 +200,17 @@ def lookup_join_left(spark, sf_dir):
     return lookup.lookup(probe, _table(spark, sf_dir, "customer").select("c_custkey", "c_name"), {"k": "c_custkey"}, ["c_custkey"]).withColumn("k", F.col("k").cast("string"))
 
 
+@query("""WITH v AS (SELECT user_id, epoch_us(ts) AS since, max(event_id) AS version FROM events WHERE event_type <> 'view' GROUP BY ALL),
+p AS (SELECT event_id, user_id AS who, epoch_us(ts) AS at FROM events WHERE event_type = 'view')
+SELECT p.event_id, p.who, v.version FROM p ASOF LEFT JOIN v ON p.who = v.user_id AND p.at >= v.since""")
+def lookup_as_of(spark, sf_dir):
+    """Views with the last other event of their user until then."""
+    e = _versions(spark, sf_dir)
+    versions = e.filter("event_type <> 'view'").groupBy("user_id", F.col("t").alias("since")).agg(F.max("event_id").alias("version"))
+    probe = e.filter("event_type = 'view'").select("event_id", F.col("user_id").alias("who"), F.col("t").alias("at"))
+    return lookup.lookup_as_of(probe, versions, {"who": "user_id"}, "at", "since").select("event_id", "who", "version")
+
+
 # -- changelogs: events as changes of users' state, an error deletes it
 
 

@@ -52,6 +52,15 @@ def finished_folders(spark: SparkSession, folder: str, prefix: str) -> dict[int,
     return {int(name): path for name, path in finished_names(spark, folder, prefix).items()}
 
 
+#: Characters that partition folders write as % and two hex digits, besides control characters.
+_ESCAPED = '"#%\'*/:=?\\\x7f{[]^'
+
+
+def escaped(spark: SparkSession, column: str, value: str) -> str:
+    """The name of a partition's folder."""
+    return f"{column}=" + "".join(f"%{ord(c):02X}" if c in _ESCAPED or ord(c) < 32 else c for c in value)
+
+
 def has_rows(spark: SparkSession, folder: str) -> bool:
     """Whether a finished write has left visible Parquet files right in the folder."""
     fs, p = _fs(spark, f"{folder}/[!._]*.parquet")

@@ -7,6 +7,8 @@ attempt has left. Readers see finished batches alone.
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,7 +17,7 @@ from pyspark.sql.streaming import DataStreamWriter
 
 from ..operators.changelog import merge, stored, visible
 from ..sources import keyed
-from ..sources.files import finished_folders, remove
+from ..sources.files import escaped, exists, finished_folders, numbers, read_text, remove, write_new
 
 BATCH, MANIFEST = "batch-", "manifest-"
 
@@ -40,6 +42,42 @@ def committed(spark: SparkSession, folder: str, schema=None) -> DataFrame:
     return spark.read.parquet(*paths)
 
 
+ROUTED = "_to"
+
+
+def append_routed_once(stream: DataFrame, folder: str, destination: str) -> DataStreamWriter:
+    """Each row of the stream exactly once at the destination that its column names; read with ``routed``.
+
+    A batch writes the files of all destinations, in one pass, below a folder of its own and then one small
+    file, ``log/<batch>``, that makes them visible, all or none. A batch that is
+    delivered again finds its file; what an attempt has left is never named. Rows
+    without a destination are an error, not lost.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        if exists(spark, f"{folder}/log/{batch_id}"):
+            return
+        name = f"{BATCH}{batch_id}-{uuid.uuid4().hex}"
+        to = F.when(F.col(destination).isNotNull(), F.col(destination).cast("string")).otherwise(F.raise_error(F.lit("a row without destination")).cast("string"))
+        batch.withColumn(ROUTED, to).write.option("compression", "zstd").partitionBy(ROUTED).parquet(f"{folder}/{name}")
+        found = [r[0] for r in spark.read.parquet(f"{folder}/{name}").select(ROUTED).distinct().collect()] if not batch.isEmpty() else []
+        write_new(spark, f"{folder}/log/{batch_id}", json.dumps({"folder": name, "destinations": sorted(map(str, found))}))
+
+    return stream.writeStream.foreachBatch(write)
+
+
+def routed(spark: SparkSession, folder: str, destination: str, schema) -> DataFrame:
+    """The rows of all committed batches at one destination."""
+    kept = [json.loads(read_text(spark, f"{folder}/log/{n}")) for n in numbers(spark, f"{folder}/log")]
+    names = [k["folder"] for k in kept if destination in k["destinations"]]
+    if not names:
+        return spark.createDataFrame([], schema)
+    # only this destination's folders are listed and read
+    paths = [f"{folder}/{n}/{escaped(spark, ROUTED, destination)}" for n in names]
+    return spark.read.schema(schema).parquet(*paths)
+
+
 #: Parts of a keyed table that are rewritten separately.
 BUCKETS = 256
 
