@@ -21,7 +21,9 @@ RECORD     a change of ``token`` at ``watermark_ms``
 
 The work is spread over slots. Control rows are few; every slot gets all of them and
 folds the same ledger. Data rows go to the slot of their partition, and wait there in
-buckets of time, so a batch touches only the buckets that it fills or releases. Slot 0
+chunks of some CHUNK records in order of time, so a batch touches only the chunks that it
+fills or releases. A task holds HELD records or one chunk at a time, whatever a batch
+brings or releases: records travel through it as bytes, and go out chunk by chunk. Slot 0
 reports what happened to the ledger.
 
 Defined results: control rows may repeat and come in any order. What is said of a
@@ -34,18 +36,25 @@ passed it goes out at once, as ``late``. Null kinds and unknown ones fail the qu
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import pickle
+from bisect import bisect_right
+from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, Row, SparkSession
+import pandas as pd
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.streaming import StatefulProcessor
 
 EVENT = "stream string, kind string, token string, parents array<string>, watermark_ms long, start string, end string, target_start string, target_end string"
 
-#: Slots of a stream, and the width of a bucket of waiting records.
+#: Slots of a stream, and the span of time over which a chunk that the frontier cuts is halved.
 SLOTS, BUCKET_MS = 32, 60_000
+#: Records of a full chunk, and new ones that a task holds before it writes chunks.
+CHUNK, HELD = 2_000, 20_000
 #: Waiting for a merge to be complete: after this with the tokens at hand, and without any.
 RESUME_MS, RESTART_MS = 120_000, 1_200_000
 
@@ -62,7 +71,7 @@ class Ledger:
     def __init__(self, partitions: dict, merges: dict, early: dict, frontier: int | None):
         self.partitions, self.merges, self.early, self.frontier = partitions, merges, early, frontier
 
-    def apply(self, rows: Sequence[Row]) -> None:
+    def apply(self, rows: Sequence[dict]) -> None:
         """Control rows in any order: creations first, ends last."""
         place = {"CREATED": 0, "PROGRESS": 1, "MERGED": 2, "FINISHED": 2}
         for row in sorted(rows, key=lambda r: place[r["kind"]]):
@@ -100,7 +109,7 @@ class Ledger:
         if ended:
             known[0] = FINISHED
 
-    def _merge(self, row: Row) -> None:
+    def _merge(self, row: dict) -> None:
         target = (row["target_start"] or "", row["target_end"])
         self.merges.setdefault(target, {})
         if row["token"] in self.merges[target]:
@@ -164,22 +173,104 @@ def tiles(target: tuple[str, str | None], ranges: Sequence[tuple[str, str | None
     return bool(ranges) and at == target[1]
 
 
-def _plain(value):
-    """Rows at any depth as tuples, which is what the state's serializer can take."""
-    if isinstance(value, tuple):
-        return tuple(map(_plain, value))
-    if isinstance(value, list):
-        return [_plain(v) for v in value]
-    if isinstance(value, dict):
-        return {_plain(k): _plain(v) for k, v in value.items()}
-    return value
+class Waiting:
+    """The waiting records of a slot: (watermark, event) in chunks in order of time, and what the chunks hold.
+
+    Records without a watermark have chunks of their own. A chunk is at least doubled
+    when it is written again with new records, and at most halved when the frontier cuts it.
+    """
+
+    def __init__(self, chunks, index, span_ms: int):
+        self.chunks, self.index, self.span_ms = chunks, index, span_ms
+        held = index.get()
+        #: chunk -> its lowest watermark, and how many records it has
+        self.known: dict[int, tuple[int | None, int]] = pickle.loads(held[0]) if held else {}
+        self.next = max(self.known, default=-1) + 1
+        self.changed = False
+
+    def add(self, rows: list[tuple[int | None, bytes]]) -> None:
+        for timeless in (False, True):
+            part = [r for r in rows if (r[0] is None) == timeless]
+            if not part:
+                continue
+            for n, chunk in sorted((n, c) for c, (low, n) in self.known.items() if (low is None) == timeless and n < CHUNK):
+                if n > len(part) or n + len(part) > CHUNK:
+                    break
+                part += self._take(chunk)
+            if not timeless:
+                part.sort(key=lambda r: r[0])
+            for s in range(0, len(part), CHUNK):
+                self._put(part[s : s + CHUNK])
+
+    def release(self, frontier: int | None, done: bool) -> Iterator[list[bytes]]:
+        """The events that the frontier has passed, or all of them."""
+        for chunk, (low, _) in sorted(self.known.items(), key=lambda c: (c[1][0] is None, c[1][0] or 0)):
+            if not done and (low is None or frontier is None or low > frontier):
+                continue
+            rows = self._take(chunk)
+            n = len(rows) if done else bisect_right(rows, frontier, key=lambda r: r[0])
+            yield [event for _, event in rows[:n]]
+            rest = rows[n:]
+            half = len(rest) // 2 if rest and rest[-1][0] - rest[0][0] > self.span_ms else 0
+            for part in (rest[:half], rest[half:]):
+                if part:
+                    self._put(part)
+
+    def save(self) -> None:
+        if self.changed:
+            self.index.update((pickle.dumps(self.known),))
+
+    def _take(self, chunk: int) -> list[tuple[int | None, bytes]]:
+        rows = pickle.loads(self.chunks.getValue((chunk,))[0])
+        self.chunks.removeKey((chunk,))
+        del self.known[chunk]
+        self.changed = True
+        return rows
+
+    def _put(self, rows: list[tuple[int | None, bytes]]) -> None:
+        self.chunks.updateValue((self.next,), (pickle.dumps(rows),))
+        self.known[self.next] = (rows[0][0], len(rows))
+        self.next += 1
+        self.changed = True
+
+
+#: What control rows say besides their kind, token and watermark.
+_SAID = ("parents", "start", "end", "target_start", "target_end")
+
+
+@F.arrow_udf(T.BinaryType())
+def _packed(*columns: pa.Array) -> pa.Array:
+    """Events as bytes: kind, token, watermark, what a control row says, or a record's data."""
+    n = 3 + len(_SAID)
+    rows = zip(*(c.to_pylist() for c in columns))
+    return pa.array([pickle.dumps((*r[:3], r[3:n], None) if r[0] in CONTROL else (*r[:3], None, r[n:])) for r in rows], pa.binary())
+
+
+def _unpacked(event: Column, fields: Sequence[T.StructField], types: Sequence[pa.DataType]) -> Column:
+    """Kind, token, watermark and data of the events."""
+
+    @F.arrow_udf(T.StructType(list(fields)))
+    def run(events: pa.Array) -> pa.Array:
+        rows = [(*e[:3], *(e[4] or (None,) * (len(types) - 3))) for e in map(pickle.loads, events.to_pylist())]
+        columns = [pa.array(c, t) for c, t in zip(zip(*rows), types)] if rows else [pa.array([], t) for t in types]
+        return pa.StructArray.from_arrays(columns, names=[f.name for f in fields])
+
+    return run(event)
+
+
+def _frame(stream: str, events: list[bytes], late: bool = False) -> pd.DataFrame:
+    return pd.DataFrame({"stream": pd.Series([stream] * len(events), dtype=object), "late": pd.Series([late] * len(events), dtype=bool), "event": pd.Series(events, dtype=object)})
+
+
+def _news(kind: str, token: str | None, watermark: int | None) -> bytes:
+    return pickle.dumps((kind, token, watermark, None, None))
 
 
 class Gate(StatefulProcessor):
     """One slot of a stream: the ledger, and the records that wait."""
 
-    def __init__(self, columns: Sequence[str], data: T.StructType, recover: bool, resume_ms: int, restart_ms: int, bucket_ms: int):
-        self.columns, self.data, self.recover, self.resume_ms, self.restart_ms, self.bucket_ms = list(columns), data, recover, resume_ms, restart_ms, bucket_ms
+    def __init__(self, recover: bool, resume_ms: int, restart_ms: int, bucket_ms: int):
+        self.recover, self.resume_ms, self.restart_ms, self.bucket_ms = recover, resume_ms, restart_ms, bucket_ms
 
     def init(self, handle) -> None:
         self.handle = handle
@@ -187,8 +278,9 @@ class Gate(StatefulProcessor):
         self.merges = handle.getMapState("merges", "target_start string, target_end string, token string", "start string, end string, watermark_ms long")
         self.early = handle.getMapState("early", "token string", "watermark_ms long, ended boolean")
         self.at = handle.getValueState("at", "frontier long, done boolean")
-        self.waiting = handle.getMapState("waiting", "bucket long", T.StructType([T.StructField("rows", T.ArrayType(self.data))]))
-        self.buckets = handle.getValueState("buckets", "ids array<long>")
+        # of other types than in checkpoints with buckets of rows, so that Spark refuses those
+        self.waiting = handle.getMapState("waiting", "chunk long", "rows binary")
+        self.buckets = handle.getValueState("buckets", "chunks binary")
         self.overdue = handle.getValueState("overdue", "targets array<struct<start:string,end:string>>")
 
     # -- state as plain values and back, only what has changed
@@ -213,12 +305,26 @@ class Gate(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues):
         stream, slot = key
-        control, data = [], []
-        for row in rows:
-            (control if row["kind"] in CONTROL else data).append(row)
         at = self.at.get()
-        frontier, done = (at[0], at[1]) if at else (None, False)
-        news = []
+        before, done = (at[0], at[1]) if at else (None, False)
+        frontier = before
+        waiting = Waiting(self.waiting, self.buckets, self.bucket_ms)
+        control, held, news = [], [], []
+        for frame in rows:
+            late = []
+            for event in frame["event"]:
+                kind, token, watermark, said, _ = pickle.loads(event)
+                if kind in CONTROL:
+                    control.append(dict(zip(_SAID, said), kind=kind, token=token, watermark_ms=watermark))
+                elif watermark is not None and before is not None and watermark <= before:
+                    late.append(event)
+                else:
+                    held.append((watermark, event))
+            if late:
+                yield _frame(stream, late, True)
+            if len(held) >= HELD:
+                waiting.add(held)
+                held = []
         if control:
             ledger, partitions, merges, early = self._ledger()
             ledger.apply(control)
@@ -232,45 +338,14 @@ class Gate(StatefulProcessor):
             self.at.update((frontier, done))
             if self.recover and slot == 0 and ledger.merges and not list(self.handle.listTimers()):
                 self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.resume_ms)
-        if slot == 0:
-            for kind, token, watermark in news:
-                yield self._said(stream, kind, token, watermark)
-        yield from self._released(stream, data, at[0] if at else None, frontier, done, bool(control))
-
-    def _released(self, stream: str, data: list[Row], before: int | None, frontier: int | None, done: bool, moved: bool):
+        if slot == 0 and news:
+            yield _frame(stream, [_news(*n) for n in news])
         due = lambda w: done or (w is not None and frontier is not None and w <= frontier)
-        late = lambda w: w is not None and before is not None and w <= before
-        kept: dict[int, list] = {}
-        for row in data:
-            if due(row["watermark_ms"]):
-                yield self._record(stream, row, late(row["watermark_ms"]))
-            else:
-                bucket = -1 if row["watermark_ms"] is None else row["watermark_ms"] // self.bucket_ms
-                kept.setdefault(bucket, []).append(self._data(row))
-        held = self.buckets.get()
-        ids = set(held[0]) if held else set()
-        if moved:  # only buckets that the frontier reaches are read
-            for bucket in sorted(ids):
-                if not done and (bucket < 0 or frontier is None or bucket * self.bucket_ms > frontier):
-                    continue
-                rows = [Row(**dict(zip(self.data.names, r))) for r in self.waiting.getValue((bucket,))[0]]
-                rest = []
-                for row in rows:
-                    if due(row["watermark_ms"]):
-                        yield self._record(stream, row, False)
-                    else:
-                        rest.append(_plain(row))
-                if rest:
-                    self.waiting.updateValue((bucket,), (rest,))
-                else:
-                    self.waiting.removeKey((bucket,))
-                    ids.discard(bucket)
-        for bucket, rows in kept.items():
-            own = self.waiting.getValue((bucket,))[0] if bucket in ids else []
-            self.waiting.updateValue((bucket,), ([*map(_plain, own), *rows],))
-            ids.add(bucket)
-        if kept or moved:
-            self.buckets.update((sorted(ids),))
+        yield _frame(stream, [event for w, event in held if due(w)])
+        waiting.add([r for r in held if not due(r[0])])
+        for events in waiting.release(frontier, done):
+            yield _frame(stream, events)
+        waiting.save()
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
         """Merges that still lack parents are to be resumed with the tokens at hand; those that lack them at the second look, to be restarted."""
@@ -278,21 +353,11 @@ class Gate(StatefulProcessor):
         waiting = sorted({(k[0], k[1]) for k in self.merges.keys()}, key=lambda t: (t[0], t[1] or ""))
         seen = {tuple(t) for t in (self.overdue.get() or ([],))[0]}
         for target in waiting:
-            yield self._said(key[0], "RESTART" if target in seen else "RESUME", f"[{target[0]},{'' if target[1] is None else target[1]})", now)
+            yield _frame(key[0], [_news("RESTART" if target in seen else "RESUME", f"[{target[0]},{'' if target[1] is None else target[1]})", now)])
         self.overdue.update((waiting,))
         if waiting:
             self.handle.registerTimer(now + max(self.restart_ms - self.resume_ms, 1))
 
-    def _data(self, row: Row) -> tuple:
-        return tuple(_plain(row[c]) for c in self.data.names)
-
-    def _record(self, stream: str, row: Row, late: bool) -> Row:
-        values = dict(stream=stream, kind="RECORD", token=row["token"], watermark_ms=row["watermark_ms"], late=late)
-        return Row(**values, **{c: row[c] for c in self.columns})
-
-    def _said(self, stream: str, kind: str, token: str | None, watermark: int | None) -> Row:
-        return Row(stream=stream, kind=kind, token=token, watermark_ms=watermark, late=False, **{c: None for c in self.columns})
-
     def close(self) -> None:
         pass
 
@@ -313,10 +378,15 @@ def gated(events: DataFrame, slots: int = SLOTS, recover: bool = False, resume_m
     checked = events.withColumn("kind", F.when(known, F.col("kind")).otherwise(F.raise_error(F.concat(F.lit("no event of a change stream is "), F.coalesce("kind", F.lit("null")))).cast("string")))
     every = F.sequence(F.lit(0), F.lit(slots - 1))
     slot = F.when(F.col("kind") == "RECORD", F.array(F.pmod(F.xxhash64("token"), F.lit(slots)).cast("int"))).otherwise(every)
-    schema = T.StructType([*T.StructType.fromDDL(OUTPUT).fields, *data])
-    waiting = T.StructType([own["token"], own["watermark_ms"], *data])
-    processor = Gate([f.name for f in data], waiting, recover, resume_ms, restart_ms, bucket_ms)
-    return checked.withColumn("slot", F.explode(slot)).groupBy("stream", "slot").transformWithState(processor, schema, "append", "processingTime" if recover else "none")
+    named = lambda f: F.col("`" + f.name.replace("`", "``") + "`")
+    event = _packed("kind", "token", "watermark_ms", *_SAID, *map(named, data))
+    fields = [T.StructField("kind", T.StringType()), own["token"], own["watermark_ms"], *data]
+    types = to_arrow_schema(T.StructType(fields)).types
+    gate = Gate(recover, resume_ms, restart_ms, bucket_ms)
+    keyed = checked.withColumn("slot", F.explode(slot)).select("stream", "slot", event.alias("event")).groupBy("stream", "slot")
+    out = keyed.transformWithStateInPandas(gate, "stream string, late boolean, event binary", "append", "processingTime" if recover else "none")
+    out = out.select("stream", "late", _unpacked(F.col("event"), fields, types).alias("event")).select("stream", "late", "event.*")
+    return out.select(*T.StructType.fromDDL(OUTPUT).names, *map(named, data))
 
 
 @contextmanager

@@ -1,5 +1,6 @@
 """Change-stream ledgers as streaming state: replay, restarts, late parents, merges, regressions."""
 
+import pickle
 import random
 import time
 
@@ -148,3 +149,51 @@ def test_tiles():
     assert lineage.tiles(whole, [("m", None), ("", "m")]) and lineage.tiles(whole, [("", None), ("", None)])
     assert not any(lineage.tiles(whole, x) for x in ([], [("", "m")], [("", "m"), ("n", None)], [("", "n"), ("m", None)], [("a", None)]))
     assert lineage.tiles(("b", "d"), [("b", "c"), ("c", "d")]) and not lineage.tiles(("b", "d"), [("b", "c"), ("c", "e")])
+
+
+class Kept(dict):
+    """A map state of one slot; it refuses chunks of more records than a task may hold."""
+
+    def getValue(self, key):
+        return self[key]
+
+    def updateValue(self, key, value):
+        assert len(pickle.loads(value[0])) <= lineage.CHUNK
+        self[key] = value
+
+    def removeKey(self, key):
+        del self[key]
+
+
+class Held:
+    value = None
+
+    def get(self):
+        return self.value
+
+    def update(self, value):
+        self.value = value
+
+
+def test_a_slot_holds_few_records_at_a_time(monkeypatch):
+    """Large batches wait in chunks, in order of time, and go out chunk by chunk, each record once and none too early."""
+    monkeypatch.setattr(lineage, "CHUNK", 16)
+    r = random.Random(8)
+    chunks, index = Kept(), Held()
+    expected, released = {}, []
+    for at in range(0, 1000, 50):
+        new = [(r.choice([None, *range(at, 1200)]), f"{at}-{k}".encode()) for k in range(r.choice([1, 3, 100]))]
+        waiting = lineage.Waiting(chunks, index, 7)
+        waiting.add(new)
+        expected |= {e: w for w, e in new}
+        for part in waiting.release(at, False):
+            assert 0 < len(part) <= 16 and all(expected[e] is not None and expected[e] <= at for e in part)
+            released += part
+        waiting.save()
+        assert sorted(released) == sorted(e for e, w in expected.items() if w is not None and w <= at)
+        sizes = [n for _, n in waiting.known.values()]
+        assert sizes == [len(pickle.loads(chunks[(c,)][0])) for c in waiting.known] and sum(sizes) == len(expected) - len(released)
+    waiting = lineage.Waiting(chunks, index, 7)
+    for part in waiting.release(None, True):
+        released += part
+    assert sorted(released) == sorted(expected) and not chunks
