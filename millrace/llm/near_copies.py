@@ -2,12 +2,17 @@
 
 Two texts are near copies when the sets of their shingles of ``shingle`` words have a
 Jaccard similarity of at least ``similarity``; components join what such pairs connect.
-Words are those of simhash. MinHash bands find the candidates: a pair at a similarity
-of s shares one of BANDS bands of ROWS values with a chance of 1 - (1 - s^ROWS)^BANDS,
-which misses 3 pairs in a million at 0.8 and fewer above. Every candidate is then
+Words are those of simhash. The candidates come from SimHash and its index: a text's long
+fingerprint is cut into tables, each a window of 64 bits. The leading bits of a window,
+as many as give nodes of some NODE_SIZE members, are the masked pattern of a topmost node;
+within a node simhash's Gray-ordered tree finds the members whose windows differ in at
+most RADIUS bits. Fingerprints of two texts at a similarity of 0.8 differ in up to 0.1615
+of their bits (0.1875, if they have 4 and 5 shingles; both counted over all sizes), so a
+pair is found in a table with a chance that follows, and there are as many tables as let
+MISSED of such pairs through in all; of more similar ones fewer. Every candidate is then
 verified on the shingle sets themselves, so nothing less similar is linked.
 
-The texts that share a band form a group. One task holds the distinct texts of one
+What a tree connects within a node forms a group. One task holds the distinct texts of one
 group at a time and reports links as a forest, never all pairs.
 """
 
@@ -15,6 +20,7 @@ from __future__ import annotations
 
 from fractions import Fraction
 from itertools import repeat
+from math import acos, ceil, comb, log, pi
 
 import numpy as np
 import pyarrow as pa
@@ -23,17 +29,16 @@ from pyspark.sql import functions as F
 
 from .bpe import slices
 from .common import checkpointed, text_digest, text_or_empty
-from .simhash import BROADCAST_IDS, HASH_SEED, _LOWER, components, keep_first
+from .simhash import BROADCAST_IDS, HASH_SEED, _LOWER, _roots, components, keep_first, linked_pairs
 
 SHINGLE = 5
 SIMILARITY = 0.8
-BANDS = 32
-ROWS = 5
-
-_EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
-_FACTORS, _TERMS = np.random.default_rng(HASH_SEED).integers(0, 1 << 64, (2, BANDS * ROWS, 1), np.uint64)
-_FACTORS |= np.uint64(1)
-
+#: The share of pairs at the threshold that no table finds.
+MISSED = 1e-5
+#: Members that a topmost node should have.
+NODE_SIZE = 128
+#: Texts of so few shingles are in more tables, as their votes are close.
+FEW = 5
 
 def shingle_set(text: str, shingle: int = SHINGLE) -> np.ndarray:
     """The sorted hashes of the distinct shingles; fewer than ``shingle`` words form one, none give none."""
@@ -44,15 +49,46 @@ def shingle_set(text: str, shingle: int = SHINGLE) -> np.ndarray:
     return np.unique(np.fromiter(map(xxh64_intdigest, joined, repeat(HASH_SEED)), np.uint64))
 
 
-def bands(shingles: np.ndarray) -> list[int]:
-    """The hash of each band of the MinHash signature."""
-    from xxhash import xxh64_intdigest
-
-    least = np.full(BANDS * ROWS, _EMPTY)
-    for s in range(0, len(shingles), 512):
-        least = np.minimum(least, (_FACTORS * shingles[s : s + 512] + _TERMS).min(axis=1))
-    values = least.tobytes()
-    return [xxh64_intdigest(values[i * 8 * ROWS : (i + 1) * 8 * ROWS], i) for i in range(BANDS)]
+class Tables:
+    """Windows of long fingerprints for n texts: leading bits, radius, and how many a text is in."""
+
+    def __init__(self, n: int, similarity: float = SIMILARITY):
+        self.width = max(-(-n // NODE_SIZE) - 1, 0).bit_length()
+        expected = acos(2 * similarity / (1 + similarity)) / pi  # two sets of equal size
+        self.radius = int(64 * expected) + 3
+        self.most, self.few = (self._tables(expected + more) for more in (0.01, 0.0385))
+        #: Windows overlap where their leading bits decide, and only in bits behind these.
+        self.step = max(self.width, 16) if self.width >= 8 else 64
+        self.words = [-(-((k - 1) * self.step + 64) // 64) for k in (self.most, self.few)]
+
+    def _tables(self, differing: float) -> int:
+        open_bits = 64 - self.width
+        near = sum(comb(open_bits, k) * differing**k * (1 - differing) ** (open_bits - k) for k in range(self.radius + 1))
+        return ceil(log(MISSED) / log(1 - (1 - differing) ** self.width * near))
+
+    def fingerprint(self, shingles: np.ndarray) -> bytes:
+        """A bit is set where over half of the shingles' hashes have it; 64 bits of hash for each word of it."""
+        n, words = len(shingles), self.words[len(shingles) <= FEW]
+        votes = np.zeros(64 * words, np.int64)
+        steps = np.arange(1, words + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        for s in range(0, n, 255):
+            h = shingles[s : s + 255, None] + steps
+            h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+            h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+            h ^= h >> np.uint64(31)
+            votes += np.unpackbits(h.view(np.uint8), axis=1).sum(axis=0, dtype=np.uint8)
+        return np.packbits(2 * votes > n).tobytes()
+
+    def windows(self, prints: list[bytes]):
+        """For each table the positions of the texts in it, and their windows."""
+        by_length: dict[int, list[int]] = {}
+        for i, p in enumerate(prints):
+            by_length.setdefault(len(p), []).append(i)
+        for length, at in by_length.items():
+            bits = np.unpackbits(np.frombuffer(b"".join(prints[i] for i in at), np.uint8).reshape(-1, length), axis=1)
+            for t in range(self.few if length == 8 * self.words[1] else self.most):
+                start = t * self.step
+                yield t, np.array(at), np.packbits(bits[:, start : start + 64], axis=1).view(">u8").reshape(-1).astype(np.uint64)
 
 
 def similar_roots(sets: list[np.ndarray], similarity: float = SIMILARITY) -> np.ndarray:
@@ -102,26 +138,56 @@ def _with_vertex(docs: DataFrame) -> DataFrame:
     return docs.select(text_digest(text_or_empty("text")).alias("vertex"), text_or_empty("text").alias("text"))
 
 
-def _groups(texts: DataFrame, shingle: int) -> DataFrame:
-    """The distinct groups of vertices that share a band, as sorted arrays."""
+def _prints(texts: DataFrame, shingle: int, tables: Tables) -> DataFrame:
+    """vertex, its fingerprint and a number for it."""
 
     def run(batches):
         for whole in batches:
             for batch in slices(whole):
-                keys = [bands(shingle_set(t, shingle)) for t in batch.column(1).to_pylist()]
-                flat = pa.array(np.array(keys, np.uint64).reshape(-1).view(np.int64))
-                ends = pa.array(np.arange(len(keys) + 1, dtype=np.int32) * BANDS)
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(ends, flat)], names=["vertex", "bands"])
-
-    return (
-        texts.mapInArrow(run, "vertex binary, bands array<long>")
-        .select("vertex", F.explode("bands").alias("band"))
-        .groupBy("band")
-        .agg(F.collect_set("vertex").alias("members"))
-        .filter(F.size("members") > 1)
-        .select(F.array_sort("members").alias("members"))
-        .distinct()
-    )
+                prints = [tables.fingerprint(shingle_set(t, shingle)) for t in batch.column(1).to_pylist()]
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(prints, pa.binary())], names=["vertex", "print"])
+
+    prints = texts.mapInArrow(run, "vertex binary, print binary").dropDuplicates(["vertex"])
+    return checkpointed(prints.withColumn("id", F.monotonically_increasing_id()))
+
+
+def _groups(prints: DataFrame, tables: Tables) -> DataFrame:
+    """The distinct groups of texts that the trees of the nodes connect, as sorted arrays of numbers."""
+
+    def deal(batches):
+        for batch in batches:
+            ids = batch.column(0).to_numpy()
+            for t, at, codes in tables.windows(batch.column(1).to_pylist()):
+                node = np.int64(t << 32) | (codes >> np.uint64(32) >> np.uint64(32 - tables.width)).view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(codes.view(np.int64)), pa.array(ids[at])], names=["node", "code", "id"])
+
+    def connected(rows: pa.Table, whole: bool):
+        """The groups of all nodes but, unless ``whole``, the last; and the rows of that one."""
+        node, code, ids = (rows.column(c).to_numpy() for c in ("node", "code", "id"))
+        end = len(node) if whole else int(np.searchsorted(node, node[-1]))
+        group = node[:end]
+        label = _roots(end, linked_pairs(group, code[:end].view(np.uint64), tables.radius)) if end else np.zeros(0, np.int64)
+        at = np.flatnonzero(np.bincount(label, minlength=end)[label] > 1) if end else label
+        at = at[np.lexsort((ids[at], label[at]))]
+        starts = np.flatnonzero(np.concatenate([[True], label[at][1:] != label[at][:-1]])) if len(at) else at
+        members = pa.ListArray.from_arrays(pa.array(np.append(starts, len(at)).astype(np.int32)), pa.array(ids[at]))
+        return pa.RecordBatch.from_arrays([members], names=["members"]), rows.slice(end)
+
+    def run(batches):
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            if batch.num_rows == 0:
+                continue
+            held.append(batch)
+            if sum(b.num_rows for b in held) >= 100_000:
+                out, rest = connected(pa.Table.from_batches(held).combine_chunks(), False)
+                held = rest.to_batches()
+                yield out
+        if held:
+            yield connected(pa.Table.from_batches(held).combine_chunks(), True)[0]
+
+    nodes = prints.select("id", "print").mapInArrow(deal, "node long, code long, id long")
+    return nodes.repartition("node").sortWithinPartitions("node").mapInArrow(run, "members array<long>").distinct()
 
 
 def _sets(texts: DataFrame, shingle: int) -> DataFrame:
@@ -163,8 +229,10 @@ def _links_in(members: DataFrame, similarity: float) -> DataFrame:
 def similar_texts(docs: DataFrame, similarity: float = SIMILARITY, shingle: int = SHINGLE) -> DataFrame:
     """vertex (``text_digest``) and component (its smallest vertex) of every text that has a near copy."""
     texts = _with_vertex(docs)
-    groups = checkpointed(_groups(texts, shingle))
-    members = groups.withColumn("group", F.monotonically_increasing_id()).select("group", F.explode("members").alias("vertex"))
+    tables = Tables(docs.count(), similarity)
+    prints = _prints(texts, shingle, tables)
+    groups = checkpointed(_groups(prints, tables))
+    members = groups.withColumn("group", F.monotonically_increasing_id()).select("group", F.explode("members").alias("id")).join(prints.select("id", "vertex"), "id")
     wanted = checkpointed(members.select("vertex").distinct())
     if wanted.count() <= BROADCAST_IDS:  # then only the candidates' texts move
         wanted = F.broadcast(wanted)

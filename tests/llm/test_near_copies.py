@@ -4,6 +4,7 @@ import random
 import time
 
 import numpy as np
+import pytest
 
 import corpus_pipeline
 from millrace.llm import near_copies
@@ -74,3 +75,27 @@ def test_large_groups_of_several_clusters():
     began = time.perf_counter()
     assert near_copies.similar_roots(sets).tolist() == wanted
     assert time.perf_counter() - began < 60
+
+
+@pytest.mark.parametrize("n, sizes", [(300, (200, 22)), (30_000, (200, 22)), (30_000, (5, 1)), (3_000_000, (45, 5))])
+def test_tables_find_pairs_at_the_threshold(n, sizes):
+    """SimHash windows of texts at a similarity of 0.8 (or the nearest above) meet in a node within the radius."""
+    tables = near_copies.Tables(n)
+    rng = np.random.default_rng(7)
+    size, apart = sizes  # sets of ``size``: as many shingles of each, ``apart`` of them not of the other (in small ones, one more)
+    for _ in range(150):
+        shared = rng.integers(0, 1 << 63, size - apart, np.uint64)
+        a, b = (np.unique(np.concatenate([shared, rng.integers(0, 1 << 63, k, np.uint64)])) for k in ((apart, 0) if size == 5 else (apart // 2, apart - apart // 2)))
+        assert len(np.intersect1d(a, b)) * 5 >= 4 * len(np.union1d(a, b))
+        one, other = ({t: int(codes[0]) for t, _, codes in tables.windows([tables.fingerprint(x)])} for x in (a, b))
+        assert any((x ^ y) >> (64 - tables.width) == 0 and (x ^ y).bit_count() <= tables.radius for x, y in ((one[t], other[t]) for t in one.keys() & other.keys()))
+
+
+def test_candidates_come_from_the_fingerprints_index(spark):
+    words = [f"w{i}" for i in range(60)]
+    df = spark.createDataFrame([(1, " ".join(words)), (2, " ".join(words[:-2])), (3, " ".join(reversed(words)))], "doc_id long, text string")
+    tables = near_copies.Tables(3)
+    prints = near_copies._prints(near_copies._with_vertex(df), 5, tables)
+    vertex = {bytes(r["vertex"]): r["id"] for r in prints.collect()}
+    own = {r["doc_id"]: vertex[bytes(r["vertex"])] for r in df.select("doc_id", near_copies.text_digest("text").alias("vertex")).collect()}
+    assert [tuple(r["members"]) for r in near_copies._groups(prints, tables).collect()] == [tuple(sorted((own[1], own[2])))]
