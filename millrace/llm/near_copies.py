@@ -2,25 +2,30 @@
 
 Two texts are near copies when the sets of their shingles of ``shingle`` words have a
 Jaccard similarity of at least ``similarity``; components join what such pairs connect.
-Words are those of simhash. The candidates come from SimHash and its index: a text's long
-fingerprint is cut into tables, each a window of 64 bits. The leading bits of a window,
-as many as give nodes of some NODE_SIZE members, are the masked pattern of a topmost node;
-within a node simhash's Gray-ordered tree finds the members whose windows differ in at
-most RADIUS bits. Fingerprints of two texts at a similarity of 0.8 differ in up to 0.1615
-of their bits (0.1875, if they have 4 and 5 shingles; both counted over all sizes), so a
-pair is found in a table with a chance that follows, and there are as many tables as let
-MISSED of such pairs through in all; of more similar ones fewer. Every candidate is then
-verified on the shingle sets themselves, so nothing less similar is linked.
-
-What a tree connects within a node forms a group. One task holds the distinct texts of one
-group at a time and reports links as a forest, never all pairs.
+Words are those of simhash. The candidates come from SimHash and its index. A text's long
+fingerprint has a part for each of some 20 tables: a few leading bits, which name a node
+of the table, and a code of CODE bits. Nodes are shuffled, so each text moves once for
+each table, however many texts there are. Within a node the same is done again in
+memory: bits of the code, as many as divide the node by NODE_SIZE, are the masked pattern
+of a lower node, for several choices of bits; and within a lower node simhash's
+Gray-ordered tree finds the members that differ in at most ``radius`` of 64 bits. What
+differs in more than ``limit`` bits of the whole code is dropped: hardly any pair is left
+that is not similar at all. Fingerprints of two texts at a similarity of 0.8 differ in up
+to 0.1615 of their bits (0.19, if they have 4 and 5 shingles; both counted over all
+sizes), so a pair is found in a table with a chance that follows, and there are as many
+tables as let MISSED of such pairs through in all; of more similar ones fewer. Every
+candidate is then verified on the shingle sets themselves, so nothing less similar is linked.
+
+What candidates connect is one group, and the text of each candidate moves to it once. One
+task holds the distinct texts of one group at a time and reports links as a forest, never
+all pairs. Groups of LARGE texts and more are compared by what a single node connects.
 """
 
 from __future__ import annotations
 
 from fractions import Fraction
 from itertools import repeat
-from math import acos, ceil, comb, log, pi
+from math import acos, ceil, log, pi, sqrt
 
 import numpy as np
 import pyarrow as pa
@@ -35,8 +40,14 @@ SHINGLE = 5
 SIMILARITY = 0.8
 #: The share of pairs at the threshold that no table finds.
 MISSED = 1e-5
-#: Members that a topmost node should have.
+#: Members that a lowest node should have.
 NODE_SIZE = 128
+#: Leading bits of the nodes that are shuffled; the most bits that divide these in memory; bits of a code.
+OUTER, INNER, CODE = 5, 12, 192
+#: The share of near codes of a node that its lower nodes should find.
+FOUND = 0.95
+#: Texts in groups of so many are compared by the groups of single nodes.
+LARGE = 20_000
 #: Texts of so few shingles are in more tables, as their votes are close.
 FEW = 5
 
@@ -50,21 +61,23 @@ def shingle_set(text: str, shingle: int = SHINGLE) -> np.ndarray:
 
 
 class Tables:
-    """Windows of long fingerprints for n texts: leading bits, radius, and how many a text is in."""
+    """Tables of long fingerprints for n texts: leading bits, radius, and how many a text is in."""
 
     def __init__(self, n: int, similarity: float = SIMILARITY):
         self.width = max(-(-n // NODE_SIZE) - 1, 0).bit_length()
+        self.outer = min(self.width, max(OUTER, self.width - INNER))
+        self.inner = self.width - self.outer
         expected = acos(2 * similarity / (1 + similarity)) / pi  # two sets of equal size
-        self.radius = int(64 * expected) + 3
-        self.most, self.few = (self._tables(expected + more) for more in (0.01, 0.0385))
-        #: Windows overlap where their leading bits decide, and only in bits behind these.
-        self.step = max(self.width, 16) if self.width >= 8 else 64
-        self.words = [-(-((k - 1) * self.step + 64) // 64) for k in (self.most, self.few)]
+        most, few = expected + 0.01, expected + 0.0385
+        self.radius, self.limit = (int(bits * few + 3 * sqrt(bits * few * (1 - few))) for bits in (64 - self.width, CODE))
+        self.parts = ceil(log(1 - FOUND) / log(1 - (1 - most) ** self.inner)) if self.inner else 1
+        self.most, self.few = self._tables(most), self._tables(few)
+        #: The codes of tables overlap, their leading bits don't.
+        self.words = [k - 1 - (-(self.outer + CODE) // 64) for k in (self.most, self.few)]
 
     def _tables(self, differing: float) -> int:
-        open_bits = 64 - self.width
-        near = sum(comb(open_bits, k) * differing**k * (1 - differing) ** (open_bits - k) for k in range(self.radius + 1))
-        return ceil(log(MISSED) / log(1 - (1 - differing) ** self.width * near))
+        within = 0.99 * (1 - (1 - (1 - differing) ** self.inner) ** self.parts if self.inner else 1)
+        return ceil(log(MISSED) / log(1 - (1 - differing) ** self.outer * within))
 
     def fingerprint(self, shingles: np.ndarray) -> bytes:
         """A bit is set where over half of the shingles' hashes have it; 64 bits of hash for each word of it."""
@@ -79,16 +92,40 @@ class Tables:
             votes += np.unpackbits(h.view(np.uint8), axis=1).sum(axis=0, dtype=np.uint8)
         return np.packbits(2 * votes > n).tobytes()
 
-    def windows(self, prints: list[bytes]):
-        """For each table the positions of the texts in it, and their windows."""
+    def codes(self, prints: list[bytes]):
+        """For each table the positions of the texts in it, their leading bits as a number, and their codes in words."""
         by_length: dict[int, list[int]] = {}
         for i, p in enumerate(prints):
             by_length.setdefault(len(p), []).append(i)
         for length, at in by_length.items():
             bits = np.unpackbits(np.frombuffer(b"".join(prints[i] for i in at), np.uint8).reshape(-1, length), axis=1)
             for t in range(self.few if length == 8 * self.words[1] else self.most):
-                start = t * self.step
-                yield t, np.array(at), np.packbits(bits[:, start : start + 64], axis=1).view(">u8").reshape(-1).astype(np.uint64)
+                start = t * 64 + self.outer
+                lead = bits[:, t * 64 : start].astype(np.int64) @ (1 << np.arange(self.outer)[::-1])
+                yield t, np.array(at), lead, np.packbits(bits[:, start : start + CODE], axis=1).view(np.uint64)
+
+    def within(self, t: int, lead: np.ndarray, words: np.ndarray):
+        """The 64-bit codes of each lower part of table ``t``: the leading bits, those that divide a node, and others."""
+        bits = np.ascontiguousarray(np.unpackbits(words.view(np.uint8), axis=1).T)
+        head = (lead >> np.arange(self.outer)[::-1, None] & 1).astype(np.uint8)
+        rng = np.random.default_rng([HASH_SEED, t])
+        disjoint = CODE // max(self.inner, 1)
+        for j in range(self.parts):
+            if j % disjoint == 0:
+                order = rng.permutation(CODE)
+            places = np.roll(order, -(j % disjoint) * self.inner)[: 64 - self.outer]
+            whole = np.packbits(np.concatenate([head, bits[places]]), axis=0)
+            yield np.ascontiguousarray(whole.T).view(">u8").reshape(-1).astype(np.uint64)
+
+    def pattern(self, codes: np.ndarray) -> np.ndarray:
+        """The leading ``width`` bits of 64-bit codes."""
+        return (codes >> np.uint64(32) >> np.uint64(32 - self.width)).view(np.int64)
+
+    def windows(self, prints: list[bytes]):
+        """For each lower part of each table the positions of the texts in it, and their 64-bit codes."""
+        for t, at, lead, words in self.codes(prints):
+            for j, codes in enumerate(self.within(t, lead, words)):
+                yield t * self.parts + j, at, codes
 
 
 def similar_roots(sets: list[np.ndarray], similarity: float = SIMILARITY) -> np.ndarray:
@@ -152,57 +189,90 @@ def _prints(texts: DataFrame, shingle: int, tables: Tables) -> DataFrame:
 
 
 def _groups(prints: DataFrame, tables: Tables) -> DataFrame:
-    """The distinct groups of texts that the trees of the nodes connect, as sorted arrays of numbers."""
+    """The distinct groups of texts that the nodes connect, as sorted arrays of numbers."""
 
     def deal(batches):
-        for batch in batches:
-            ids = batch.column(0).to_numpy()
-            for t, at, codes in tables.windows(batch.column(1).to_pylist()):
-                node = np.int64(t << 32) | (codes >> np.uint64(32) >> np.uint64(32 - tables.width)).view(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(codes.view(np.int64)), pa.array(ids[at])], names=["node", "code", "id"])
-
-    def connected(rows: pa.Table, whole: bool):
-        """The groups of all nodes but, unless ``whole``, the last; and the rows of that one."""
-        node, code, ids = (rows.column(c).to_numpy() for c in ("node", "code", "id"))
-        end = len(node) if whole else int(np.searchsorted(node, node[-1]))
-        group = node[:end]
-        label = _roots(end, linked_pairs(group, code[:end].view(np.uint64), tables.radius)) if end else np.zeros(0, np.int64)
-        at = np.flatnonzero(np.bincount(label, minlength=end)[label] > 1) if end else label
+        for whole in batches:
+            for batch in slices(whole, 10_000):
+                ids = batch.column(0).to_numpy()
+                for t, at, lead, words in tables.codes(batch.column(1).to_pylist()):
+                    order = np.argsort(lead, kind="stable")
+                    starts = np.flatnonzero(np.diff(lead[order], prepend=-1))
+                    ends = np.append(starts, len(order)).astype(np.int32)
+                    columns = [(ids[at[order]], ends), (words[order].view(np.int64).reshape(-1), ends * np.int32(words.shape[1]))]
+                    lists = [pa.ListArray.from_arrays(pa.array(e), pa.array(c)) for c, e in columns]
+                    yield pa.RecordBatch.from_arrays([pa.array(t << tables.outer | lead[order][starts]), *lists], names=["node", "ids", "words"])
+
+    def connected(node: int, ids: np.ndarray, words: np.ndarray) -> pa.RecordBatch:
+        """The groups of one node."""
+        n = len(ids)
+        label = np.arange(n)
+
+        def near(order: np.ndarray, codes: np.ndarray):
+            for i, j in linked_pairs(tables.pattern(codes)[order], codes[order], tables.radius, known=label[order]):
+                i, j = order[i], order[j]
+                alike = np.bitwise_count(words[i] ^ words[j]).sum(axis=1, dtype=np.int64) <= tables.limit
+                yield label[i[alike]], label[j[alike]]
+
+        if n > 1:
+            t, lead = node >> tables.outer, node & ((1 << tables.outer) - 1)
+            for codes in tables.within(t, np.full(n, lead), words):
+                label = _roots(n, near(np.argsort(codes, kind="stable"), codes))[label]
+        at = np.flatnonzero(np.bincount(label, minlength=n)[label] > 1)
         at = at[np.lexsort((ids[at], label[at]))]
-        starts = np.flatnonzero(np.concatenate([[True], label[at][1:] != label[at][:-1]])) if len(at) else at
+        starts = np.flatnonzero(np.diff(label[at], prepend=-1))
         members = pa.ListArray.from_arrays(pa.array(np.append(starts, len(at)).astype(np.int32)), pa.array(ids[at]))
-        return pa.RecordBatch.from_arrays([members], names=["members"]), rows.slice(end)
+        return pa.RecordBatch.from_arrays([members], names=["members"])
 
     def run(batches):
-        held: list[pa.RecordBatch] = []
+        node, ids, words = None, [], []
+
+        def groups() -> pa.RecordBatch:
+            return connected(node, np.concatenate(ids), np.concatenate(words).view(np.uint64).reshape(-1, CODE // 64))
+
         for batch in batches:
-            if batch.num_rows == 0:
-                continue
-            held.append(batch)
-            if sum(b.num_rows for b in held) >= 100_000:
-                out, rest = connected(pa.Table.from_batches(held).combine_chunks(), False)
-                held = rest.to_batches()
-                yield out
-        if held:
-            yield connected(pa.Table.from_batches(held).combine_chunks(), True)[0]
-
-    nodes = prints.select("id", "print").mapInArrow(deal, "node long, code long, id long")
+            keys = batch.column(0).to_numpy()
+            starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else keys
+            for s, e in zip(starts.tolist(), [*starts[1:].tolist(), len(keys)]):
+                if keys[s] != node:
+                    if ids:
+                        yield groups()
+                    node, ids, words = int(keys[s]), [], []
+                ids.append(batch.column(1).slice(s, e - s).flatten().to_numpy())
+                words.append(batch.column(2).slice(s, e - s).flatten().to_numpy())
+        if ids:
+            yield groups()
+
+    nodes = prints.select("id", "print").mapInArrow(deal, "node long, ids array<long>, words array<long>")
     return nodes.repartition("node").sortWithinPartitions("node").mapInArrow(run, "members array<long>").distinct()
 
 
-def _sets(texts: DataFrame, shingle: int) -> DataFrame:
-    def run(batches):
-        for whole in batches:
-            for batch in slices(whole):
-                sets = [shingle_set(t, shingle).tobytes() for t in batch.column(1).to_pylist()]
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], names=["vertex", "shingles"])
-
-    return texts.mapInArrow(run, "vertex binary, shingles binary")
+def _members(groups: DataFrame, large: int) -> tuple[DataFrame, DataFrame | None]:
+    """group and id: of what groups connect, and of the groups in what has ``large`` texts or more."""
+    joined = components(groups.select(F.explode("members").alias("a"), F.col("members")[0].alias("b")))
+    whole = joined.select("component", "vertex").unionByName(joined.select("component", F.col("component").alias("vertex")).distinct())
+    crowded = checkpointed(whole.groupBy("component").count().filter(F.col("count") >= large).select("component"))
+    if crowded.isEmpty():
+        return whole.toDF("group", "id"), None
+    first = whole.join(crowded, "component", "left_semi").select(F.col("vertex").alias("first"))
+    again = groups.join(first, F.col("members")[0] == F.col("first"), "left_semi")
+    again = checkpointed(again.withColumn("group", F.monotonically_increasing_id())).select("group", F.explode("members").alias("id"))
+    return whole.join(crowded, "component", "left_anti").toDF("group", "id"), again
 
 
-def _links_in(members: DataFrame, similarity: float) -> DataFrame:
+def _links_in(texts: DataFrame, members: DataFrame, similarity: float, shingle: int) -> DataFrame:
     """Verified links of all groups; a task reads its groups one after another and holds one at a time."""
 
+    def once(batches):
+        """Of the copies of a text in a task one moves."""
+        seen = set()
+        for batch in batches:
+            new = []
+            for key in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                new.append(key not in seen)
+                seen.add(key)
+            yield batch.filter(pa.array(new, pa.bool_()))
+
     def run(batches):
         group, vertices, sets = None, [], []
 
@@ -212,32 +282,38 @@ def _links_in(members: DataFrame, similarity: float) -> DataFrame:
             a, b = ([vertices[i] for i in at.tolist()] for at in (linked, label[linked]))
             return pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], names=["a", "b"])
 
-        for batch in batches:
-            for g, vertex, shingles in zip(*(c.to_pylist() for c in batch.columns)):
-                if g != group:
-                    if len(sets) > 1:
-                        yield links()
-                    group, vertices, sets = g, [], []
-                vertices.append(vertex)
-                sets.append(np.frombuffer(shingles, np.uint64))
+        for whole in batches:
+            for batch in slices(whole):
+                for g, vertex, text in zip(*(c.to_pylist() for c in batch.columns)):
+                    if g != group:
+                        if len(sets) > 1:
+                            yield links()
+                        group, vertices, sets = g, [], []
+                    if not vertices or vertex != vertices[-1]:
+                        vertices.append(vertex)
+                        sets.append(shingle_set(text, shingle))
         if len(sets) > 1:
             yield links()
 
-    return members.select("group", "vertex", "shingles").repartition("group").sortWithinPartitions("group").mapInArrow(run, "a binary, b binary")
+    members = checkpointed(members)
+    if members.count() <= BROADCAST_IDS:  # then only the candidates' texts move
+        members = F.broadcast(members)
+    rows = texts.join(members, "vertex").select("group", "vertex", "text").mapInArrow(once, "group long, vertex binary, text string")
+    return rows.repartition("group").sortWithinPartitions("group", "vertex").mapInArrow(run, "a binary, b binary")
 
 
-def similar_texts(docs: DataFrame, similarity: float = SIMILARITY, shingle: int = SHINGLE) -> DataFrame:
+def similar_texts(docs: DataFrame, similarity: float = SIMILARITY, shingle: int = SHINGLE, large: int = LARGE) -> DataFrame:
     """vertex (``text_digest``) and component (its smallest vertex) of every text that has a near copy."""
     texts = _with_vertex(docs)
     tables = Tables(docs.count(), similarity)
     prints = _prints(texts, shingle, tables)
-    groups = checkpointed(_groups(prints, tables))
-    members = groups.withColumn("group", F.monotonically_increasing_id()).select("group", F.explode("members").alias("id")).join(prints.select("id", "vertex"), "id")
-    wanted = checkpointed(members.select("vertex").distinct())
-    if wanted.count() <= BROADCAST_IDS:  # then only the candidates' texts move
-        wanted = F.broadcast(wanted)
-    sets = _sets(texts.join(wanted, "vertex", "left_semi").dropDuplicates(["vertex"]).select("vertex", "text"), shingle)
-    return components(_links_in(members.join(sets, "vertex"), similarity))
+    whole, crowded = _members(checkpointed(_groups(prints, tables)), large)
+    vertices = prints.select("id", "vertex")
+    # a group that holds all that is connected has the components, too
+    found = _links_in(texts, whole.join(vertices, "id").select("group", "vertex"), similarity, shingle).select(F.col("a").alias("vertex"), F.col("b").alias("component"))
+    if crowded is None:
+        return checkpointed(found)
+    return checkpointed(found.unionByName(components(_links_in(texts, crowded.join(vertices, "id").select("group", "vertex"), similarity, shingle))))
 
 
 def first_of_similar(docs: DataFrame, similarity: float = SIMILARITY, shingle: int = SHINGLE) -> DataFrame:

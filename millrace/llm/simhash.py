@@ -117,17 +117,22 @@ def _levels(group: np.ndarray, codes: np.ndarray) -> list[Level]:
     return levels
 
 
-def linked_pairs(group: np.ndarray, codes: np.ndarray, radius: int, visited: list[int] | None = None):
+def linked_pairs(group: np.ndarray, codes: np.ndarray, radius: int, visited: list[int] | None = None, known: np.ndarray | None = None):
     """All pairs of different positions of a group whose codes differ in at most ``radius`` bits.
 
     Equal values of ``group`` are neighbours, the codes of a group distinct. Yields
     arrays (i, j) of positions, a bounded number of node pairs at a time, so that dense
-    nodes need little memory. ``visited`` takes the numbers of pairs that met.
+    nodes need little memory. ``visited`` takes the numbers of pairs that met. Positions
+    of one ``known`` label are linked already: pairs of nodes that hold no other are left out.
     """
     if len(codes) < 2:
         return
     order = np.lexsort((gray_rank(codes), np.cumsum(np.concatenate([[0], group[1:] != group[:-1]]))))
     levels = _levels(group[order], codes[order])
+    low = high = [] if known is None else [known[order]]
+    if known is not None:
+        for level in levels[1:]:
+            low, high = [*low, np.minimum.reduceat(low[-1], level.starts)], [*high, np.maximum.reduceat(high[-1], level.starts)]
     roots = np.arange(len(levels[-1].group))
     stack = [(len(levels) - 1, roots, roots, np.zeros(len(roots), np.int64))]
     child = np.arange(FAN_OUT)
@@ -149,6 +154,8 @@ def linked_pairs(group: np.ndarray, codes: np.ndarray, radius: int, visited: lis
             if visited is not None:
                 visited.append(len(a))
             near = total <= radius
+            if known is not None:
+                near &= np.minimum(low[level - 1][a], low[level - 1][b]) < np.maximum(high[level - 1][a], high[level - 1][b])
             if near.any():
                 stack.append((level - 1, a[near], b[near], total[near]))
 

@@ -99,3 +99,48 @@ def test_candidates_come_from_the_fingerprints_index(spark):
     vertex = {bytes(r["vertex"]): r["id"] for r in prints.collect()}
     own = {r["doc_id"]: vertex[bytes(r["vertex"])] for r in df.select("doc_id", near_copies.text_digest("text").alias("vertex")).collect()}
     assert [tuple(r["members"]) for r in near_copies._groups(prints, tables).collect()] == [tuple(sorted((own[1], own[2])))]
+
+
+def test_a_text_moves_as_often_in_tables_of_any_size():
+    for n in (8_000, 200_000, 2_000_000, 16_000_000):
+        tables = near_copies.Tables(n)
+        assert tables.most <= 24 and tables.few <= 33
+
+
+def test_texts_that_share_nothing_are_no_candidates(spark):
+    """Their fingerprints agree here and there in the nodes of a table for many texts."""
+    r = random.Random(8)
+    texts = [" ".join(f"w{r.randrange(10**6)}" for _ in range(30)) for _ in range(3000)]
+    near = texts[0].rsplit(" ", 1)[0]
+    df = spark.createDataFrame(list(enumerate([*texts, near])), "doc_id long, text string").repartition(2)
+    tables = near_copies.Tables(11_000_000)
+    groups = near_copies._groups(near_copies._prints(near_copies._with_vertex(df), 5, tables), tables).collect()
+    assert [len(g["members"]) for g in groups] == [2]
+
+
+def test_each_candidate_moves_once_and_large_groups_by_node(spark):
+    r = random.Random(9)
+    texts, start = [], [f"w{i}" for i in range(100)]
+    for _ in range(8):  # chains: each is similar to the one before
+        words = [f"{r.random()}{w}" for w in start]
+        for k in range(8):
+            words[11 * k : 11 * k + 3] = ["x", str(r.random()), "y"]
+            texts.append(" ".join(words))
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts + texts[:5])], "doc_id long, text string").repartition(3)
+    of = {bytes(x["vertex"]): x["doc_id"] for x in df.select("doc_id", near_copies.text_digest("text").alias("vertex")).collect()}
+    groups = spark.createDataFrame([([1, 2, 3],), ([2, 4],), ([7, 8],)], "members array<long>")
+    whole, crowded = near_copies._members(groups, 4)
+    assert sorted(map(tuple, whole.collect())) == [(7, 7), (7, 8)]
+    by_group = {}
+    for x in crowded.collect():
+        by_group.setdefault(x["group"], []).append(x["id"])
+    assert sorted(map(sorted, by_group.values())) == [[1, 2, 3], [2, 4]]
+    whole, crowded = near_copies._members(groups, 5)
+    assert crowded is None and sorted(map(tuple, whole.collect())) == [(1, 1), (1, 2), (1, 3), (1, 4), (7, 7), (7, 8)]
+    wanted = brute_components(dict(enumerate(texts)))
+    for large in (3, 1000):
+        found = {}
+        for x in near_copies.similar_texts(df, large=large).collect():
+            found.setdefault(bytes(x["component"]), {bytes(x["component"])}).add(bytes(x["vertex"]))
+        got = sorted(sorted({of[v] % len(texts) for v in g}) for g in found.values())
+        assert got == sorted(g for g in (sorted(i for i in wanted if wanted[i] == c) for c in set(wanted.values())) if len(g) > 1)

@@ -197,3 +197,11 @@ def test_hot_fingerprints_and_rows_without_an_id(spark):
     assert len(out) == len(rows) and len(shared) == 298 and {c for _, c in shared} == {3}
     assert of[f"{brute_fingerprint(rows[-4][1]):016x}"] == [(None, None)] * 2
     assert of[f"{brute_fingerprint('alone'):016x}"] == [(1, 1)] * 2
+
+
+def test_linked_pairs_leave_out_what_is_linked():
+    rng = np.random.default_rng(4)
+    codes = np.unique(rng.integers(0, 1 << 9, 400, np.uint64))
+    group, known = np.zeros(len(codes), np.int64), (codes >> np.uint64(7)).astype(np.int64)
+    pairs = [{tuple(sorted(p)) for i, j in simhash.linked_pairs(group, codes, 3, known=k) for p in zip(i.tolist(), j.tolist())} for k in (None, known)]
+    assert pairs[1] == {(i, j) for i, j in pairs[0] if known[i] != known[j]} != pairs[0]
